@@ -1,0 +1,4 @@
+"""All registered queries, in one place."""
+
+from . import model_queries  # noqa: F401
+from .registry import QUERIES, SQL  # noqa: F401
