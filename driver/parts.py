@@ -5,7 +5,7 @@ INSTANT = "'%Y-%m-%d %H:%M:%S.%f'"
 
 EVENT_LOG = """
   SELECT user_id AS nr_usuario, event_type AS ie_evento, value AS vl_evento, props AS ds_props, ts,
-         epoch_ms(ts) AS ts_ms, event_id AS txid, event_type = 'error' AS is_deleted,
+         epoch_us(ts) // 1000 AS ts_ms, event_id AS txid, event_type = 'error' AS is_deleted,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op
   FROM events
 """

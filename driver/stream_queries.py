@@ -1,0 +1,67 @@
+"""Streams over the event topic; each must equal its batch form."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marelake import operators as op
+from marelake import streaming as st
+from marelake.plans import layers
+from marelake.session import shared_dir
+
+from . import parts as P
+from . import standins as S
+from .change_queries import LATEST, STATE, _state
+from .registry import plain, query
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    schema = S.table(spark, d, "events").schema
+    return st.stream_files(spark, d, schema, glob="events.parquet")
+
+
+@query("q37_stream_topic_counts", """
+  SELECT 'events.parquet' AS topic, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 2""")
+def q37(spark: SparkSession, d: str) -> DataFrame:
+    """Files arrive, are routed by their own path, and are appended exactly once."""
+    work = shared_dir(spark, "stream")
+    routed = st.with_topic(_events(spark, d), d)
+    st.append_to_log(routed, f"{work}/log", f"{work}/checkpoint", ["topic"])
+    # nothing new has arrived: a second run must add nothing
+    st.append_to_log(routed, f"{work}/log", f"{work}/checkpoint", ["topic"])
+    log = spark.read.parquet(f"{work}/log")
+    return log.groupBy("topic", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")
+    )
+
+
+@query("q38_stream_drop_replays", f"""
+  SELECT event_id, user_id, event_type, strftime(ts, {P.INSTANT}) AS event_at FROM events""")
+def q38(spark: SparkSession, d: str) -> DataFrame:
+    """The topic and a replay of its second half, each event kept once."""
+    work = shared_dir(spark, "stream")
+    columns = ["event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_at")]
+    first = _events(spark, d).select(*columns)
+    replay = _events(spark, d).select(*columns).where(F.col("event_at") >= F.lit("2024-01-16").cast("timestamp"))
+    once = st.drop_replays(first.unionByName(replay), "event_at", ["event_id"])
+    st.append_to_log(once, f"{work}/log", f"{work}/checkpoint")
+    return plain(spark.read.parquet(f"{work}/log"))
+
+
+@query("q39_stream_current_state", f"{STATE} FROM ({LATEST}) WHERE NOT is_deleted")
+def q39(spark: SparkSession, d: str) -> DataFrame:
+    """Micro-batches of the topic merged into a stored state; the result is that of q06."""
+    work = shared_dir(spark, "stream")
+    events = S.table(spark, d, "events")
+    # files split by key hash, not by time, so later batches bring older events
+    events.repartition(3, "event_id").write.parquet(f"{work}/topic")
+    arriving = st.stream_files(spark, f"{work}/topic", events.schema, files_per_batch=1)
+    changes = layers.bronze_rows(S.event_change_rows(arriving), "raw/events", S.as_of())
+    table = op.KeyedTable(spark, f"{work}/state", S.EVENT_SPEC.keys, buckets=4)
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return layers.silver_rows(batch, S.EVENT_SPEC, S.as_of(), S.RUN_ID)
+
+    st.maintain_state(changes, table, to_rows, f"{work}/checkpoint")
+    return _state(table.read())

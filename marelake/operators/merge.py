@@ -141,7 +141,7 @@ class KeyedTable:
         ``touched_by`` is any cheaper frame with the same keys (the raw batch), used
         to find the buckets; the answer has at most ``buckets`` numbers.
         """
-        touched = [r[0] for r in (touched_by or source).select(self._bucket()).distinct().collect()]
+        touched = [r[0] for r in (source if touched_by is None else touched_by).select(self._bucket()).distinct().collect()]
         generation = max(self._generations(), default=0) + 1
         live = self._live_folders()
         folders = [live[b] for b in touched if b in live]
@@ -154,5 +154,6 @@ class KeyedTable:
             merged = upsert(*both_kb, self.keys, self.order, self.set_once, partition=["kb"])
         else:
             merged = incoming.repartition(max(1, len(touched)), "kb")
-        merged.write.mode("overwrite").partitionBy("kb").parquet(f"{self.path}/gen={generation}")
+        # a generation is written once, so the plain committer and its _SUCCESS mark apply
+        merged.write.mode("error").partitionBy("kb").parquet(f"{self.path}/gen={generation}")
         return generation
