@@ -450,3 +450,38 @@ def ft10(spark: SparkSession, d: str) -> DataFrame:
         "sk_dispensacao_estoque sk_data sk_medicamento nk_movimento_estoque ie_controlado_material qt_movimento vl_movimento "
         "vl_movimento_custo qt_movimento_sem_valorizacao ie_nivel_alerta_movimento",
     )
+
+
+# -- layers ----------------------------------------------------------------------------------
+
+
+@query("q28_fact_upsert", f"""
+  SELECT {sk('nr_lote')} AS sk_sla_dispensacao, nr_lote AS nk_lote, qt_itens,
+         CASE WHEN nr_lote % 2 = 0 THEN 'second' ELSE ds_turno END AS ds_turno,
+         CASE WHEN nr_lote % 2 = 0 THEN '2024-02-01 21:00:00.000000' ELSE '2024-01-31 21:00:00.000000' END AS gold_loaded_at
+  FROM ({P.DISPENSACAO}) WHERE ie_status_lote = 'r'""")
+def q28(spark: SparkSession, d: str) -> DataFrame:
+    """A fact loaded twice: the second load sees the rebuilt half only and replaces it by key."""
+    from pyspark.sql import functions as F
+
+    from marelake.operators import context_audit
+    from marelake.plans.star import last_consumed, load_fact
+    from marelake.session import shared_dir
+
+    target = shared_dir(spark, "fact")
+    lots = dispensacao(spark, d)
+    first = context_audit(lots, S.as_of(), "run-1")
+    load_fact(spark, "gold_fct_sla_dispensacao", {"dispensacao": first}, target, S.as_of(), buckets=8)
+    later = F.lit("2024-02-02 00:00:00").cast("timestamp")
+    rebuilt = context_audit(
+        lots.where(F.col("nr_lote") % 2 == 0).withColumn("ds_turno", F.lit("second")), later, "run-2"
+    )
+    both = first.unionByName(rebuilt)
+    table = load_fact(
+        spark, "gold_fct_sla_dispensacao", {"dispensacao": both}, target, later, last_consumed(first), buckets=8
+    )
+    return plain(
+        table.read().select(
+            "sk_sla_dispensacao", "nk_lote", "qt_itens", "ds_turno", F.col("_gold_loaded_at").alias("gold_loaded_at")
+        )
+    )

@@ -44,7 +44,7 @@ def lookup_join(
         heavy_left = F.col(lead).isin(list(hot)) | F.col(lead).isNull()
         spread = F.pmod(F.xxhash64(*_row_identity(left)), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", F.when(heavy_left, spread).otherwise(F.lit(0)))
-        all_salts = F.array(*[F.lit(i) for i in range(salts)])
+        all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
         heavy_right = F.col("_r0").isin(list(hot))
         renamed = renamed.withColumn(
             "_rsalt", F.explode(F.when(heavy_right, all_salts).otherwise(F.array(F.lit(0))))

@@ -129,7 +129,7 @@ class KeyedTable:
         if not folders:
             return None
         rows = self._load(folders)
-        return rows if with_deleted else drop_deleted(rows)
+        return rows if with_deleted or "_is_deleted" not in rows.columns else drop_deleted(rows)
 
     # -- writing -----------------------------------------------------------------
     def _bucket(self):

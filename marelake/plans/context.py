@@ -356,3 +356,21 @@ def material(materials: DataFrame) -> DataFrame:
     return df.withColumns(
         {"ie_categoria_funcional": first_true(rules, "outro"), "ie_ativo": yes_no(F.col("ie_situacao") == "a")}
     )
+
+
+# model -> (function, silver tables it reads, in argument order)
+CONTEXT = {
+    "atendimento": (atendimento, ("atendimento_paciente", "conta_paciente")),
+    "procedimento": (procedimento, ("procedimento_paciente", "proc_paciente_convenio", "atendimento_paciente")),
+    "movimentacao_paciente": (movimentacao_paciente, ("atend_paciente_unidade", "atendimento_paciente")),
+    "prescricao": (prescricao, ("prescr_medica", "prescr_material")),
+    "dispensacao": (dispensacao, ("ap_lote", "ap_lote_item", "classif_lote_disp_far", "regra_turno_disp")),
+    "item_dispensacao": (item_dispensacao, ("ap_lote_item", "ap_lote", "material", "prescr_mat_hor")),
+    "movimento_estoque": (
+        movimento_estoque, ("movimento_estoque", "movimento_estoque_valor", "operacao_estoque", "material"),
+    ),
+    "consumo_material": (consumo_material, ("material_atend_paciente", "material")),
+    "erro_prescricao": (erro_prescricao, ("prescr_medica_erro", "prescr_medica", "regra_consiste_prescr")),
+    "analise_farmaceutica": (analise_farmaceutica, ("log_analise_prescr", "prescr_medica")),
+    "material": (material, ("material",)),
+}

@@ -87,9 +87,10 @@ def dim_medicamento(materials: DataFrame) -> DataFrame:
     return _dimension(_with_unknown(materials.drop(*audit, *own), "cd_material"), "cd_material", "medicamento")
 
 
+# dimension -> (function, context model it reads)
 DIMENSIONS = {
-    "dim_medico": dim_medico,
-    "dim_convenio": dim_convenio,
-    "dim_procedimento": dim_procedimento,
-    "gold_dim_medicamento": dim_medicamento,
+    "dim_medico": (dim_medico, "procedimento"),
+    "dim_convenio": (dim_convenio, "procedimento"),
+    "dim_procedimento": (dim_procedimento, "procedimento"),
+    "gold_dim_medicamento": (dim_medicamento, "material"),
 }

@@ -318,15 +318,16 @@ def dispensacao_estoque(moves: DataFrame) -> DataFrame:
     )
 
 
+# fact -> (function, its key, context models it reads, in argument order)
 FACTS = {
-    "fct_producao_medica": (producao_medica, "sk_producao"),
-    "gold_fct_sla_dispensacao": (sla_dispensacao, "sk_sla_dispensacao"),
-    "gold_fct_cancelamento_lote": (cancelamento_lote, "sk_cancelamento_lote"),
-    "gold_fct_volume_dispensacao": (volume_dispensacao, "sk_volume_dispensacao"),
-    "gold_fct_cobertura_dispensacao": (cobertura_dispensacao, "sk_cobertura"),
-    "gold_fct_prescricao_medicamento": (prescricao_medicamento, "sk_prescricao"),
-    "gold_fct_erro_prescricao": (erro_prescricao, "sk_erro_prescricao"),
-    "gold_fct_analise_farmaceutica": (analise_farmaceutica, "sk_analise_farmaceutica"),
-    "gold_fct_consumo_atendimento": (consumo_atendimento, "sk_consumo_atendimento"),
-    "gold_fct_dispensacao_estoque": (dispensacao_estoque, "sk_dispensacao_estoque"),
+    "fct_producao_medica": (producao_medica, "sk_producao", ("procedimento",)),
+    "gold_fct_sla_dispensacao": (sla_dispensacao, "sk_sla_dispensacao", ("dispensacao",)),
+    "gold_fct_cancelamento_lote": (cancelamento_lote, "sk_cancelamento_lote", ("dispensacao",)),
+    "gold_fct_volume_dispensacao": (volume_dispensacao, "sk_volume_dispensacao", ("item_dispensacao",)),
+    "gold_fct_cobertura_dispensacao": (cobertura_dispensacao, "sk_cobertura", ("prescricao", "item_dispensacao")),
+    "gold_fct_prescricao_medicamento": (prescricao_medicamento, "sk_prescricao", ("prescricao",)),
+    "gold_fct_erro_prescricao": (erro_prescricao, "sk_erro_prescricao", ("erro_prescricao",)),
+    "gold_fct_analise_farmaceutica": (analise_farmaceutica, "sk_analise_farmaceutica", ("analise_farmaceutica",)),
+    "gold_fct_consumo_atendimento": (consumo_atendimento, "sk_consumo_atendimento", ("consumo_material",)),
+    "gold_fct_dispensacao_estoque": (dispensacao_estoque, "sk_dispensacao_estoque", ("movimento_estoque",)),
 }

@@ -61,9 +61,9 @@ def load_bronze(
 ) -> None:
     """Append the new events of a topic to its log.
 
-    The log is partitioned by event day, so the watermark filter of the next layer
-    and every replay prune folders; rows are spread by day and hash so that a busy
-    day is not written by one task.
+    The log is partitioned by event day, so replays prune folders.  Rows are
+    rebalanced by day before the write: AQE merges small days into one task and
+    splits a day too big for one, so files have a sensible size either way.
     """
     log = _read_if_exists(spark, target)
     start = window_start_ms(high_watermark(log), lookback_hours, reprocess_hours, as_of_ms)
@@ -71,7 +71,7 @@ def load_bronze(
     branches = [read_topic(spark, p, site.fmt, start, spec.null_ts_as_zero) for p in paths]
     changes = branches[0] if len(branches) == 1 else union_topics(branches)
     rows = bronze_rows(changes, ",".join(paths), as_of).withColumn("_cdc_day", F.to_date("_cdc_event_at"))
-    rows.write.mode("append").partitionBy("_cdc_day").parquet(target)
+    rows.hint("rebalance", "_cdc_day").write.mode("append").partitionBy("_cdc_day").parquet(target)
 
 
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

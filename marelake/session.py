@@ -23,6 +23,8 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call-site capture costs a third of the time it takes to build a wide plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import day_folders
+
 # Metadata columns of a flat change record and their types.
 CHANGE_META = {
     "__deleted": "string",
@@ -95,9 +97,18 @@ def read_topic(
     null_ts_as_zero: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Read a topic of either layout; the layout is seen from the schema alone."""
+    """Read a topic of either layout; the layout is seen from the schema alone.
+
+    Only the day folders the window can touch are listed; ``from_ms`` also goes to
+    the scan as a filter.
+    """
     extra = AVRO_READ_OPTIONS if fmt == "avro" else {}
-    paths = [path] if isinstance(path, str) else list(path)
+    roots = [path] if isinstance(path, str) else list(path)
+    paths = [folder for root in roots for folder in day_folders(spark, root, from_ms)]
+    if not paths:  # nothing arrived since: an empty frame of the topic's schema
+        whole = spark.read.format(fmt).options(recursiveFileLookup="true", **extra, **options).load(roots)
+        raw = whole.where(F.lit(False))
+        return scan_envelope(raw) if detect_layout(raw) == "envelope" else raw
     raw = spark.read.format(fmt).options(recursiveFileLookup="true", **extra, **options).load(paths)
     if detect_layout(raw) == "envelope":
         return scan_envelope(raw, from_ms, null_ts_as_zero)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,27 @@ def hour_folder_globs(topic_path: str, hour: dt.datetime) -> list[str]:
     ]
 
 
+def day_folders(spark: SparkSession, topic_path: str, from_ms: int) -> list[str]:
+    """Day folders of a topic, in both layouts, that can hold events from ``from_ms`` on.
+
+    A file lies in the folder of the hour it arrived, which is never before its
+    events, so older folders need not be listed or opened.  A topic without day
+    folders is read whole.
+    """
+    root = topic_path.rstrip("/")
+    if from_ms <= 0:
+        return [root]
+    first = dt.datetime.fromtimestamp(from_ms / 1000, dt.timezone.utc).strftime("%Y%m%d")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for layout in ("year=*/month=*/day=*", "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]"):
+        for status in fs.globStatus(path(f"{root}/{layout}")) or []:
+            folder = status.getPath().toString()
+            found.append((re.sub(r"\D", "", "".join(folder.split("/")[-3:])), folder))
+    return [folder for day, folder in found if day >= first] if found else [root]
+
+
 def partition_hour(key: Column | str) -> Column:
     """UTC hour a file key lies in; NULL when the key has neither layout."""
     k = F.col(key) if isinstance(key, str) else key
