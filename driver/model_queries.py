@@ -261,17 +261,11 @@ def dm03(spark: SparkSession, d: str) -> DataFrame:
   UNION ALL SELECT md5('-1'), -1, NULL, NULL, NULL""")
 def dm04(spark: SparkSession, d: str) -> DataFrame:
     return plain(
-        dimensions.dim_procedimento(_with_cost_table(procedimento(spark, d))),
+        dimensions.dim_procedimento(procedimento(spark, d)),
         "sk_procedimento nk_procedimento ds_procedimento cd_grupo cd_tabela_servico",
     )
 
 
-def _with_cost_table(df: DataFrame) -> DataFrame:
-    from marelake.functions.naming import missing
-
-    return df if "cd_tabela_custo" in df.columns else df.withColumn("cd_tabela_custo", missing("cd_tabela_custo"))
-
-
 @query("dm05_dim_medicamento", f"""
   SELECT {sk('cd_material')} AS sk_medicamento, cd_material AS nk_medicamento, ds_material, ds_reduzida, cd_grupo_material,
          ie_controlado, {CATEGORY} FROM ({P.MATERIALS}) WHERE cd_material <> -1

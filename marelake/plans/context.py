@@ -129,7 +129,11 @@ def movimentacao_paciente(stays: DataFrame, encounters: DataFrame) -> DataFrame:
 
 def procedimento(procedures: DataFrame, insurer_codes: DataFrame, encounters: DataFrame) -> DataFrame:
     """Performed procedure with the insurer's coding and facts of its encounter."""
-    left = business(procedures, "nr_atendimento cd_procedimento cd_convenio cd_medico cd_medico_executor")
+    left = business(
+        procedures,
+        "nr_atendimento cd_procedimento cd_convenio cd_medico cd_medico_executor cd_especialidade cd_tabela_servico "
+        "cd_tabela_custo dt_procedimento",
+    )
     own = {c: c for c in left.columns if c != "nr_sequencia"}
     left = left.withColumns(_restandardize(left, "procedimento_paciente", own))
     coding = "ds_procedimento cd_unidade_medida tx_conversao_qtde cd_grupo nr_proc_interno"

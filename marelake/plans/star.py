@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marelake.operators import KeyedTable, context_audit, gold_audit, loaded_since
 
-from .calendar import dim_tempo
+from .calendar import FIRST_DAY, LAST_DAY, dim_tempo
 from .context import CONTEXT
 from .dimensions import DIMENSIONS
 from .facts import FACTS
@@ -24,10 +24,16 @@ def build_context(
     return {n: context_audit(fn(*[silver[t] for t in needs]), as_of, run_id) for n, (fn, needs) in ready.items()}
 
 
-def build_dimensions(spark: SparkSession, context: Mapping[str, DataFrame], as_of: Column) -> dict[str, DataFrame]:
+def build_dimensions(
+    spark: SparkSession,
+    context: Mapping[str, DataFrame],
+    as_of: Column,
+    first_day: dt.date = FIRST_DAY,
+    last_day: dt.date = LAST_DAY,
+) -> dict[str, DataFrame]:
     """The calendar and every dimension whose context model is there."""
     dims = {n: fn(context[model]) for n, (fn, model) in DIMENSIONS.items() if model in context}
-    dims["dim_tempo"] = dim_tempo(spark, as_of.cast("date"))
+    dims["dim_tempo"] = dim_tempo(spark, as_of.cast("date"), first_day, last_day)
     return {n: gold_audit(df, as_of) for n, df in dims.items()}
 
 
