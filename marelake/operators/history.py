@@ -10,34 +10,31 @@ from pyspark.sql import functions as F
 from marelake.functions import surrogate_key
 
 
-def version_history(df: DataFrame, keys: Sequence[str], valid_from: str, chunk: str = "day") -> DataFrame:
+def version_history(df: DataFrame, keys: Sequence[str], valid_from: str, chunk: str = "hour") -> DataFrame:
     """Adds ``sk_version``, ``_valid_from``, ``_valid_to`` and ``_is_current``.
 
     ``_valid_to`` is the start of the next version of the key.  One key may own a
-    large part of all rows, so no task sees a whole key.  Rows are shuffled by
-    (key, day) and look ahead inside the day; the last rows of a day take the
-    first start of the key's next day with data, found on a table with one row
-    per (key, day).
+    large part of all rows, so no task sees a whole key: rows are shuffled by
+    (key, hour) and look ahead inside the hour.  What follows an hour is found on a
+    narrow table with one row per (key, hour), and comes in as a marker row at the
+    end of the hour, so the look-ahead needs no join.
     """
     start = F.col(valid_from)
     cut = df.withColumn("_chunk", F.date_trunc(chunk, start))
 
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(valid_from)
     firsts = cut.groupBy(*keys, "_chunk").agg(F.min(valid_from).alias("_first"))
-    across = firsts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_chunk").alias("_k_chunk"),
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_next_first"),
+    following = F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    markers = firsts.select(*keys, "_chunk", following.alias(valid_from), F.lit(True).alias("_marker")).where(
+        start.isNotNull()
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_chunk") == F.col("_k_chunk")]
-    joined = cut.withColumn("_next_in_chunk", F.lead(valid_from).over(in_chunk)).join(across, same, "left")
+    rows = cut.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
 
-    valid_to = F.coalesce("_next_in_chunk", "_next_first")
-    return joined.withColumns(
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(valid_from)
+    ahead = rows.withColumn("_valid_to", F.lead(valid_from).over(in_chunk)).where(~F.col("_marker"))
+    return ahead.withColumns(
         {
             "sk_version": surrogate_key(*keys, valid_from),
             "_valid_from": start,
-            "_valid_to": valid_to,
-            "_is_current": valid_to.isNull(),
+            "_is_current": F.col("_valid_to").isNull(),
         }
     ).select(*df.columns, "sk_version", "_valid_from", "_valid_to", "_is_current")

@@ -43,14 +43,18 @@ def upsert(
     both = append_new_columns(
         target.withColumn("_incoming", F.lit(0)), source.withColumn("_incoming", F.lit(1))
     )
-    group = Window.partitionBy(*partition, *keys)
-    stored = {c: F.max(F.when(F.col("_incoming") == 0, F.col(c))).over(group) for c in set_once if c in both.columns}
-    if stored:
-        both = both.withColumns({c: F.coalesce(v, F.col(c)) for c, v in stored.items()})
     newest = [F.coalesce(F.col(c), F.lit(0)).desc() for c in order if c in both.columns]
     newest.append(F.col("_incoming").desc())
-    ranked = both.withColumn("_rn", F.row_number().over(group.orderBy(*newest)))
-    return ranked.where(F.col("_rn") == 1).drop("_rn", "_incoming")
+    ranked = Window.partitionBy(*partition, *keys).orderBy(*newest)
+    # same partitioning and order, so both window expressions share one sort
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    once = {
+        c: F.coalesce(F.max(F.when(F.col("_incoming") == 0, F.col(c))).over(whole), F.col(c))
+        for c in set_once
+        if c in both.columns
+    }
+    chosen = both.withColumns({"_rn": F.row_number().over(ranked), **once})
+    return chosen.where(F.col("_rn") == 1).drop("_rn", "_incoming")
 
 
 def delete_tombstones(table: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
