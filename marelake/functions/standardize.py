@@ -35,6 +35,7 @@ UNKNOWN_NUMBER = -1
 UNKNOWN_DATE = dt.date(1900, 1, 1)
 UNKNOWN_TIMESTAMP = dt.datetime(1900, 1, 1)
 FIRST_INVALID_YEAR = 2900
+SOURCE_SCALE = 6
 
 
 def _col(c: Column | str) -> Column:
@@ -62,10 +63,11 @@ def fill_null_bigint(c: Column | str, sentinel: int = UNKNOWN_NUMBER) -> Column:
 
 
 def normalize_decimal(c: Column | str, scale: int = 2, sentinel: int = UNKNOWN_NUMBER) -> Column:
-    """Number rounded half up to ``scale`` digits, which the result type keeps."""
-    wide = _col(c).cast(f"decimal(28,{scale + 2})")
+    """Number taken at six digits, rounded half up to ``scale``, which the result type keeps."""
+    taken = _col(c).cast(f"decimal(38,{SOURCE_SCALE})")
     target = f"decimal(28,{scale})"
-    return F.coalesce(F.round(wide, scale).cast(target), F.lit(sentinel).cast(target))
+    rounded = taken if scale >= SOURCE_SCALE else F.round(taken, scale)
+    return F.coalesce(rounded.cast(target), F.lit(sentinel).cast(target))
 
 
 def _plausible(parsed: Column, unknown: Column) -> Column:

@@ -38,6 +38,9 @@ def test_numbers(spark):
         Decimal("-1.0000"), Decimal("1.2346"), Decimal("2.5000"), Decimal("-1.0050"), Decimal("0.1250"),
     ]
     assert evaluate(spark, numbers, "string", fn.normalize_decimal("v", 2))[3:] == [Decimal("-1.01"), Decimal("0.13")]
+    # rounding once from six digits: 0.00499 is below the half
+    assert evaluate(spark, ["0.00499", "0.005"], "string", fn.normalize_decimal("v", 2)) == [Decimal("0.00"), Decimal("0.01")]
+    assert evaluate(spark, ["1.2345678"], "string", fn.normalize_decimal("v", 6)) == [Decimal("1.234568")]
     assert evaluate(spark, [None, -1, 3], "bigint", fn.measure("v")) == [None, None, 3]
 
 
