@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from marelake import operators as op
 from marelake import sources as src
-from marelake.operators.compaction import first_keys
 from marelake.operators.quality import Check
 from marelake.session import shared_dir
 
@@ -127,9 +126,17 @@ def q42_health(spark: SparkSession, d: str) -> DataFrame:
     return op.file_health(files, ["topic", "day"]).withColumnsRenamed(dict(zip(bands, names)))
 
 
-@query("q42_sample_keys", f"SELECT key FROM ({LISTING}) ORDER BY key LIMIT 5")
+@query("q42_sample_keys", f"""
+  SELECT topic, key FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY key) AS rn FROM ({LISTING})) WHERE rn <= 5""")
 def q42_sample(spark: SparkSession, d: str) -> DataFrame:
-    return first_keys(listing(spark, d))
+    return op.first_keys(listing(spark, d).withColumn("topic", src.topic_name("key", *PREFIXES)), ["topic"])
+
+
+@query("q42_merged_topics", f"""
+  SELECT topic, 'raw/raw-topics/stream/' AS prefix, count(*) AS files FROM ({LISTING}) WHERE key LIKE 'raw/raw-topics/%' GROUP BY 1""")
+def q42_topics(spark: SparkSession, d: str) -> DataFrame:
+    """Topics lie under both prefixes; the first prefix wins."""
+    return src.merged_topics(listing(spark, d), *PREFIXES)
 
 
 @query("q43_compaction", """

@@ -446,6 +446,35 @@ def ft10(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# -- queries over the star ------
+
+
+@query("q34_role_playing", f"""
+  WITH seen AS (SELECT cd_medico AS k, cd_especialidade AS e, dt_procedimento AS t FROM ({P.PROCEDIMENTO})
+                UNION SELECT cd_medico_executor, cd_especialidade, dt_procedimento FROM ({P.PROCEDIMENTO})),
+  dim AS (SELECT k, CAST(e AS VARCHAR) AS e FROM (
+            SELECT *, row_number() OVER (PARTITION BY k ORDER BY t DESC, e DESC) AS rn FROM seen WHERE k <> -1) WHERE rn = 1
+          UNION ALL SELECT -1, 'Desconhecido')
+  SELECT a.e AS asked_by, b.e AS done_by, count(*) AS n, CAST(sum(vl_procedimento) AS DOUBLE) AS vl_procedimento
+  FROM ({P.PROCEDIMENTO}) f JOIN dim a ON a.k = f.cd_medico JOIN dim b ON b.k = f.cd_medico_executor GROUP BY 1, 2""")
+def q34(spark: SparkSession, d: str) -> DataFrame:
+    """One physician dimension in two roles. The fact is folded by both keys before it is joined."""
+    from pyspark.sql import functions as F
+
+    procedures = procedimento(spark, d)
+    physicians = dimensions.dim_medico(procedures).select("sk_medico", "cd_especialidade")
+    roles = ["sk_medico_solicitante", "sk_medico_executor"]
+    per_pair = facts.producao_medica(procedures).groupBy(*roles).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("vl_procedimento").alias("vl_procedimento")
+    )
+    for role, name in zip(roles, ("asked_by", "done_by")):
+        dim = physicians.select(F.col("sk_medico").alias(role), F.col("cd_especialidade").alias(name))
+        per_pair = per_pair.join(dim, role)
+    return plain(
+        per_pair.groupBy("asked_by", "done_by").agg(F.sum("n").alias("n"), F.sum("vl_procedimento").alias("vl_procedimento"))
+    )
+
+
 # -- layers ----------------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """DataFrame building blocks."""
 
 from .audit import bronze_audit, context_audit, gold_audit, silver_audit  # noqa: F401
-from .compaction import compact_hour, compaction_plan, file_health, latest_files  # noqa: F401
+from .compaction import compact_hour, compact_topics, compaction_plan, file_health, first_keys, latest_files  # noqa: F401
 from .current import drop_deleted, latest_per_key  # noqa: F401
 from .history import version_history  # noqa: F401
 from .joins import frequent_keys, lookup_join  # noqa: F401

@@ -6,7 +6,7 @@ import datetime as dt
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marelake.functions import first_true
@@ -50,7 +50,7 @@ def _expected(target_bytes: int):
 
 
 def file_health(files: DataFrame, by: Sequence[str], target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Size histogram, extremes, expected file count, sample keys and a verdict per group."""
+    """Size histogram, extremes, expected file count and a verdict per group."""
     size = F.col("size_bytes")
     band = first_true([(size < limit, name) for limit, name in SIZE_BANDS], LARGEST_BAND)
     names = [name for _, name in SIZE_BANDS] + [LARGEST_BAND]
@@ -79,9 +79,38 @@ def file_health(files: DataFrame, by: Sequence[str], target_bytes: int = TARGET_
     return stats.withColumn("verdict", verdict).drop("_medium")
 
 
-def first_keys(files: DataFrame, n: int = SAMPLE_KEYS) -> DataFrame:
-    """The first ``n`` keys of a listing, as the report shows them."""
-    return files.select("key").orderBy("key").limit(n)
+def first_keys(files: DataFrame, by: Sequence[str], n: int = SAMPLE_KEYS) -> DataFrame:
+    """The first ``n`` keys of every group, as the report shows them (ranked below the shuffle)."""
+    ranked = files.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy("key")))
+    return ranked.where(F.col("_rn") <= n).select(*by, "key")
+
+
+def hour_before(execution: dt.datetime, lag_hours: int = 1) -> dt.datetime:
+    """The UTC hour a run at ``execution`` compacts."""
+    utc = execution.astimezone(dt.timezone.utc) if execution.tzinfo else execution
+    return utc.replace(minute=0, second=0, microsecond=0, tzinfo=None) - dt.timedelta(hours=lag_hours)
+
+
+def compact_topics(
+    spark: SparkSession, root: str, hour: dt.datetime | None = None, only: str = "", **options: object
+) -> dict[str, dict[str, object]]:
+    """Compact one hour of every topic below ``root``: ``hour``, or that of each topic's newest file.
+
+    One row per topic comes to the driver; each topic is its own Spark job, since
+    topics differ in schema.
+    """
+    base = root.rstrip("/") + "/"
+    files = list_files(spark, base)
+    tail = F.substring_index("key", base, -1)
+    newest = latest_files(files.withColumn("topic", F.split_part(tail, F.lit("/"), F.lit(1))))
+    rows = newest.where(F.col("topic").contains(only)).select("topic", F.date_format("hour", "yyyyMMddHH").alias("h"))
+    done = {}
+    for topic, newest_hour in rows.collect():
+        chosen = hour or (dt.datetime.strptime(newest_hour, "%Y%m%d%H") if newest_hour else None)
+        done[topic] = (
+            compact_hour(spark, base + topic, chosen, **options) if chosen else {"skipped": "no hour in the newest key"}
+        )
+    return done
 
 
 def compact_hour(

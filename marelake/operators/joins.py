@@ -42,7 +42,7 @@ def lookup_join(
     if salts > 1 and hot:
         lead = pairs[0][0]
         heavy_left = F.col(lead).isin(list(hot)) | F.col(lead).isNull()
-        spread = F.pmod(F.xxhash64(*_row_identity(left)), F.lit(salts)).cast("int")
+        spread = F.pmod(F.xxhash64(*_row_identity(left, on)), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", F.when(heavy_left, spread).otherwise(F.lit(0)))
         all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
         heavy_right = F.col("_r0").isin(list(hot))
@@ -54,10 +54,11 @@ def lookup_join(
     return left.join(renamed, condition, "left").drop(*drop)
 
 
-def _row_identity(df: DataFrame) -> list[str]:
-    """A few columns that tell rows apart; hashing all of a wide row would be waste."""
+def _row_identity(df: DataFrame, on: Mapping[str, str]) -> list[str]:
+    """A few columns that tell rows of one key apart; hashing all of a wide row would be waste."""
     numeric = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("bigint", "int")]
-    return (numeric or df.columns)[:4]
+    apart = [c for c in numeric if c not in on] or [c for c in df.columns if c not in on]
+    return (apart or df.columns)[:4]
 
 
 def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list[object]:

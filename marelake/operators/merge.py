@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .current import drop_deleted, latest_per_key
 
@@ -32,17 +33,20 @@ def upsert(
     order: Sequence[str] = EVENT_ORDER,
     set_once: Sequence[str] = SET_ONCE,
     partition: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """``target`` after an upsert of ``source``.
 
     A key in both is replaced only if the incoming row is not older by ``order``;
     ``set_once`` columns keep the value of the first insert.  Union plus window
     instead of a join: both sides are shuffled once, by key, and sorted once.
-    ``partition`` names columns that already determine the shuffle (a key bucket).
+    ``partition`` names a key bucket to shuffle by instead, into ``partitions`` parts.
     """
     both = append_new_columns(
         target.withColumn("_incoming", F.lit(0)), source.withColumn("_incoming", F.lit(1))
     )
+    if partition:
+        both = both.repartition(partitions, *partition)
     newest = [F.coalesce(F.col(c), F.lit(0)).desc() for c in order if c in both.columns]
     newest.append(F.col("_incoming").desc())
     ranked = Window.partitionBy(*partition, *keys).orderBy(*newest)
@@ -98,9 +102,11 @@ class KeyedTable:
         buckets: int = 256,
         order: Sequence[str] = EVENT_ORDER,
         set_once: Sequence[str] = SET_ONCE,
+        sync_columns: bool = False,
     ):
+        """``sync_columns`` lets a merge drop columns its source lacks (facts); else columns are only added."""
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.buckets, self.order, self.set_once = buckets, order, set_once
+        self.buckets, self.order, self.set_once, self.sync_columns = buckets, order, set_once, sync_columns
 
     # -- folders -----------------------------------------------------------------
     def _list(self, path: str) -> list[str]:
@@ -122,17 +128,16 @@ class KeyedTable:
         return live
 
     # -- reading -----------------------------------------------------------------
-    def _load(self, folders: Sequence[str]) -> DataFrame:
-        newest = max(folders, key=lambda f: int(f.split("gen=")[1].split("/")[0]))
-        # columns are only ever added, so the newest footer knows them all
-        schema = self.spark.read.parquet(newest).schema
-        return self.spark.read.schema(schema).parquet(*folders)
+    def _schema(self, live: dict[int, str]) -> StructType:
+        """Columns of the table: those of its newest generation, which every merge carries on."""
+        newest = max(live.values(), key=lambda f: int(f.split("gen=")[1].split("/")[0]))
+        return self.spark.read.parquet(newest).schema
 
     def read(self, with_deleted: bool = False) -> DataFrame | None:
-        folders = list(self._live_folders().values())
-        if not folders:
+        live = self._live_folders()
+        if not live:
             return None
-        rows = self._load(folders)
+        rows = self.spark.read.schema(self._schema(live)).parquet(*live.values())
         return rows if with_deleted or "_is_deleted" not in rows.columns else drop_deleted(rows)
 
     # -- writing -----------------------------------------------------------------
@@ -149,15 +154,40 @@ class KeyedTable:
         generation = max(self._generations(), default=0) + 1
         live = self._live_folders()
         folders = [live[b] for b in touched if b in live]
-        incoming = source.withColumn("kb", self._bucket())
+        incoming = source
+        if live:
+            schema = self._schema(live)
+            if not self.sync_columns:
+                incoming = append_new_columns(self.spark.createDataFrame([], schema), source)
+        incoming = incoming.withColumn("kb", self._bucket())
+        n = max(1, len(touched))
+        # one shuffle by bucket serves the window and the partitioned write
         if folders:
-            stored = self._load(folders).withColumn("kb", self._bucket())
-            n = max(1, len(touched))
-            # one shuffle by bucket serves the window and the partitioned write
-            both_kb = [d.repartition(n, "kb") for d in (stored, incoming)]
-            merged = upsert(*both_kb, self.keys, self.order, self.set_once, partition=["kb"])
+            stored = self.spark.read.schema(schema).parquet(*folders)
+            if self.sync_columns:
+                stored = stored.select(*[c for c in stored.columns if c in source.columns])
+            stored = stored.withColumn("kb", self._bucket())
+            merged = upsert(stored, incoming, self.keys, self.order, self.set_once, ["kb"], n)
         else:
-            merged = incoming.repartition(max(1, len(touched)), "kb")
+            merged = incoming.repartition(n, "kb")
         # a generation is written once, so the plain committer and its _SUCCESS mark apply
         merged.write.mode("error").partitionBy("kb").parquet(f"{self.path}/gen={generation}")
         return generation
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove bucket folders replaced more than ``keep`` generations ago; returns what went.
+
+        Readers that opened the table before then must have finished.
+        """
+        generations, live = self._generations(), set(self._live_folders().values())
+        gone = [
+            f"{self.path}/gen={g}/{n}"
+            for g in generations[: max(0, len(generations) - keep)]
+            for n in self._list(f"{self.path}/gen={g}")
+            if n.startswith("kb=") and f"{self.path}/gen={g}/{n}" not in live
+        ]
+        jvm = self.spark.sparkContext._jvm
+        for folder in gone:
+            p = jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        return gone

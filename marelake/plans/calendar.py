@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marelake.functions import local_time
+
 # Default range, names and national holidays.
 FIRST_DAY, LAST_DAY = dt.date(2010, 1, 1), dt.date(2030, 1, 1)
 WEEKDAYS = ("Domingo", "Segunda-feira", "Terça-feira", "Quarta-feira", "Quinta-feira", "Sexta-feira", "Sábado")
@@ -92,10 +94,10 @@ def dim_tempo(
 ) -> DataFrame:
     """The calendar, one row per day from ``start`` to ``end``.
 
-    ``as_of`` (a DATE, default today) fixes the relative flags.  The holiday table
+    ``as_of`` (a DATE, default today by the local clock) fixes the relative flags.  The holiday table
     has at most 14 rows a year, which is why it is broadcast.
     """
-    today = F.current_date() if as_of is None else as_of
+    today = local_time(F.current_timestamp()).cast("date") if as_of is None else as_of
     spine = days(spark, start, end)
     d = F.col("dt_data")
     df = spine.join(F.broadcast(holidays(spine)), d == F.col("dt_feriado"), "left")

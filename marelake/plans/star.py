@@ -66,7 +66,7 @@ def load_fact(
     fn, key, needs = FACTS[name]
     fresh = loaded_since(context[needs[0]], "_context_processed_at", consumed)
     rows = gold_audit(fn(fresh, *[context[m] for m in needs[1:]]), as_of)
-    table = KeyedTable(spark, target, [key], buckets, order=(), set_once=())
+    table = KeyedTable(spark, target, [key], buckets, order=(), set_once=(), sync_columns=True)
     table.merge(rows)
     return table
 

@@ -10,4 +10,4 @@ from .changes import (  # noqa: F401
     scan_flat,
     union_topics,
 )
-from .files import day_folders, hour_folder_globs, list_files, partition_hour, topic_name  # noqa: F401
+from .files import day_folders, hour_folder_globs, list_files, merged_topics, partition_hour, topic_name  # noqa: F401

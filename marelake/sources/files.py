@@ -63,6 +63,19 @@ def topic_name(key: Column | str, *prefixes: str) -> Column:
     return F.split_part(k, F.lit("/"), F.lit(1))
 
 
+def merged_topics(files: DataFrame, *prefixes: str) -> DataFrame:
+    """(topic, prefix, files): every topic under the first of the prefixes that has it."""
+    position = F.coalesce(*[F.when(F.col("key").startswith(p), F.lit(i)) for i, p in enumerate(prefixes)])
+    per_place = (
+        files.select(topic_name("key", *prefixes).alias("topic"), position.alias("_p"))
+        .where(F.col("_p").isNotNull())
+        .groupBy("topic", "_p")
+        .agg(F.count(F.lit(1)).alias("files"))
+    )
+    first = per_place.groupBy("topic").agg(F.min_by("files", "_p").alias("files"), F.min("_p").alias("_p"))
+    return first.select("topic", F.element_at(F.array(*map(F.lit, prefixes)), F.col("_p") + 1).alias("prefix"), "files")
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(key, last_modified, size_bytes) of every data file below ``path``.
 

@@ -135,6 +135,20 @@ def test_merge_rewrites_only_touched_buckets_and_adds_columns(spark):
     assert {r.k: r.v for r in table.read().collect()}[7] == 2
 
 
+def test_a_merge_elsewhere_keeps_added_columns_and_sync_drops_them(spark):
+    path = shared_dir(spark, "state")
+    table = op.KeyedTable(spark, path, ["k"], buckets=16, order=("v",), set_once=())
+    table.merge(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")))
+    table.merge(spark.createDataFrame([(7, 2, "new")], "k bigint, v int, extra string"))
+    table.merge(spark.createDataFrame([(8, 3), (500, 3)], "k bigint, v int"))  # other buckets, no such column
+    rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
+    assert rows[7] == (2, "new") and rows[8] == (3, None) and len(rows) == 101
+    assert len(table.vacuum(keep=1)) >= 1 and {r.k: (r.v, r.extra) for r in table.read().collect()} == rows
+    synced = op.KeyedTable(spark, path, ["k"], buckets=16, order=(), set_once=(), sync_columns=True)
+    synced.merge(spark.createDataFrame([(9, 4)], "k bigint, v int"))
+    assert synced.read().columns == ["k", "v"] and synced.read().count() == 101
+
+
 def test_upsert_keeps_stored_row_against_older_event(spark):
     schema = "k int, v string, _cdc_ts_ms bigint, _cdc_txid bigint, _silver_processed_at string"
     old = spark.createDataFrame([(1, "new", 5, 5, "first"), (2, "a", 1, 1, "first")], schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marelake import operators as op
 from marelake import sources as src
+from marelake.operators.compaction import hour_before
 from marelake.operators.quality import Check
 from marelake.plans import checks, specs
 from marelake.plans.calendar import dim_tempo, easter_sunday
@@ -148,6 +149,20 @@ def test_compaction(spark, layout):
     assert op.compact_hour(spark, topic, dt.datetime(2026, 4, 20, 23), fmt="parquet") == {"skipped": "no files in hour"}
 
 
+def test_compaction_of_all_topics(spark):
+    root = shared_dir(spark, "topics")
+    for name, hour in (("t.a", dt.datetime(2026, 4, 20, 22)), ("t.b", dt.datetime(2026, 4, 21, 3))):
+        for h in (hour, hour - dt.timedelta(days=1)):
+            spark.range(50).repartition(4).write.parquet(src.hour_folder_globs(f"{root}/{name}", h)[h.day % 2])
+    # the newest file decides the hour of a topic; the older day was written last
+    done = op.compact_topics(spark, root, fmt="parquet")
+    assert {t: (r["files_before"], r["files_after"], r["rows"]) for t, r in done.items()} == {"t.a": (4, 1, 50), "t.b": (4, 1, 50)}
+    assert "19/22" in done["t.a"]["folder"] or "day=19" in done["t.a"]["folder"]
+    fixed = op.compact_topics(spark, root, hour=dt.datetime(2026, 4, 21, 3), only="b", fmt="parquet")
+    assert list(fixed) == ["t.b"] and fixed["t.b"]["files_before"] == 4
+    assert hour_before(dt.datetime(2026, 4, 20, 0, 30), 2) == dt.datetime(2026, 4, 19, 22)
+
+
 def done_bytes(result, files):
     return -(-result["bytes"] // files)
 
