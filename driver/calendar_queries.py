@@ -61,7 +61,8 @@ PERIODS = (
          CASE WHEN month(d) <= 6 THEN year(d) || '-06-30' ELSE year(d) || '-12-31' END AS dt_fim_semestre,
          year(d) AS nr_ano, year(d) AS nr_ano_fiscal, year(d) || '-01-01' AS dt_inicio_ano, year(d) || '-12-31' AS dt_fim_ano,
          day(last_day(make_date(year(d), 2, 1))) = 29 AS ie_ano_bissexto, qt_pedidos
-  FROM ({SPINE})""")
+  FROM ({SPINE})""", INTEGER="nr_dia_mes nr_dia_ano nr_dia_semana nr_semana_ano_iso nr_semana_mes nr_mes nr_ano_mes nr_dias_no_mes nr_trimestre "
+    "nr_semestre nr_ano nr_ano_fiscal")
 def q30(spark: SparkSession, d: str) -> DataFrame:
     return plain(calendar(spark, d), PERIODS)
 

@@ -384,7 +384,7 @@ def salted_lookup(spark: SparkSession, d: str) -> DataFrame:
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS vl_total, sum(l_linenumber) AS qt_linhas,
          avg(l_linenumber) AS avg_qt_linhas, quantile_cont(l_linenumber, 0.5) AS median_qt_linhas,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(CAST(l_quantity AS BIGINT)) AS preco_medio
-  FROM lineitem GROUP BY 1""")
+  FROM lineitem GROUP BY 1""", BIGINT="qt_linhas")
 def q36(spark: SparkSession, d: str) -> DataFrame:
     fact = S.table(spark, d, "lineitem").select(
         fn.date_key(F.col("l_shipdate").cast("date")).alias("sk_data"),

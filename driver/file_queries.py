@@ -85,7 +85,7 @@ LISTING = """
 @query("q41_partition_hours", f"""
   SELECT topic, strftime(hour, '%Y-%m-%d %H:%M') AS hour, count(*) AS files, sum(size_bytes) AS total_bytes,
          CAST(greatest(1, ceil(sum(size_bytes) / 134217728)) AS BIGINT) AS target_files
-  FROM ({LISTING}) GROUP BY 1, 2""")
+  FROM ({LISTING}) GROUP BY 1, 2""", BIGINT="total_bytes")
 def q41(spark: SparkSession, d: str) -> DataFrame:
     files = listing(spark, d).select(
         src.topic_name("key", *PREFIXES).alias("topic"),
@@ -116,7 +116,7 @@ def q42_latest(spark: SparkSession, d: str) -> DataFrame:
     FROM ({LISTING}) GROUP BY 1, 2)
   SELECT *, CASE WHEN files <= expected_files + 2 AND size_max >= 67108864 THEN 'likely_compacted_or_large_parts'
       WHEN files > expected_files * 2 AND under_100k + under_1m + under_10m > 5 THEN 'likely_not_compacted_many_small_or_medium_files'
-      WHEN files > expected_files * 2 THEN 'likely_not_compacted_file_count_above_target' ELSE 'unknown' END AS verdict FROM s""")
+      WHEN files > expected_files * 2 THEN 'likely_not_compacted_file_count_above_target' ELSE 'unknown' END AS verdict FROM s""", BIGINT="total_bytes")
 def q42_health(spark: SparkSession, d: str) -> DataFrame:
     files = listing(spark, d).withColumns(
         {"topic": src.topic_name("key", *PREFIXES), "day": F.date_format("last_modified", "yyyy-MM-dd")}
@@ -140,7 +140,7 @@ def q42_topics(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q43_compaction", """
-  SELECT event_type, count(*) AS n, sum(event_id) AS ids, 16 AS files_before, 1 AS files_after FROM events GROUP BY 1""")
+  SELECT event_type, count(*) AS n, sum(event_id) AS ids, 16 AS files_before, 1 AS files_after FROM events GROUP BY 1""", BIGINT="ids")
 def q43(spark: SparkSession, d: str) -> DataFrame:
     """Sixteen small files of an hour folder rewritten in place: same rows, planned file count."""
     topic = shared_dir(spark, "topic")

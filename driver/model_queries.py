@@ -62,7 +62,7 @@ def procedimento(spark: SparkSession, d: str) -> DataFrame:
          coalesce(c_nationkey, -1) AS nr_protocolo,
          CASE WHEN c_custkey IS NULL THEN '1900-01-01 00:00:00.000000' ELSE '2024-01-02 03:04:05.000000' END
            AS conta_dh_atualizacao
-  FROM orders LEFT JOIN customer ON c_custkey * 3 = o_orderkey""")
+  FROM orders LEFT JOIN customer ON c_custkey * 3 = o_orderkey""", BIGINT="nr_protocolo")
 def cx01(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         atendimento(spark, d),
@@ -111,7 +111,7 @@ PRESCRIPTION_COLUMNS = (
   SELECT {', '.join(PRESCRIPTION_COLUMNS.split())}, {day('dt_liberacao')} AS dt_liberacao,
          {day('dt_primeira_lib_material')} AS dt_primeira_lib_material,
          {day('dt_ultima_lib_farmacia')} AS dt_ultima_lib_farmacia
-  FROM ({P.PRESCRICAO})""")
+  FROM ({P.PRESCRICAO})""", BIGINT="cd_funcao_origem qt_itens_suspensos")
 def cx04(spark: SparkSession, d: str) -> DataFrame:
     return plain(prescricao(spark, d), PRESCRIPTION_COLUMNS + " dt_liberacao dt_primeira_lib_material dt_ultima_lib_farmacia")
 
@@ -144,7 +144,7 @@ ITEM_COLUMNS = (
   SELECT {', '.join(ITEM_COLUMNS.split())}, {num('qt_dispensada')} AS qt_dispensada, {num('qt_real_disp')} AS qt_real_disp,
          strftime(t_ger, {P.INSTANT}) AS dt_geracao_lote, {day('''CASE WHEN ie_agrupador_prescrito IS NOT NULL
            THEN dt_horario_prescrito END''')} AS dt_horario_prescrito
-  FROM ({P.ITEM_DISPENSACAO})""")
+  FROM ({P.ITEM_DISPENSACAO})""", BIGINT="cd_grupo_material")
 def cx06(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         item_dispensacao(spark, d), ITEM_COLUMNS + " qt_dispensada qt_real_disp dt_geracao_lote dt_horario_prescrito"
@@ -161,7 +161,7 @@ MOVE_COLUMNS = (
   SELECT {', '.join(MOVE_COLUMNS.split())}, {num('qt_movimento')} AS qt_movimento, {num('vl_movimento')} AS vl_movimento,
          {num('vl_movimento_custo')} AS vl_movimento_custo, {num('vl_custo')} AS vl_custo,
          {day('dt_movimento_estoque')} AS dt_movimento_estoque
-  FROM ({P.MOVIMENTO})""")
+  FROM ({P.MOVIMENTO})""", BIGINT="cd_operacao_estoque cd_grupo_material")
 def cx07(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         movimento_estoque(spark, d),
@@ -179,7 +179,7 @@ CHARGE_COLUMNS = (
   SELECT {', '.join(CHARGE_COLUMNS.split())}, {num('qt_material')} AS qt_material, {num('vl_convenio')} AS vl_convenio,
          {num('vl_custo_medio')} AS vl_custo_medio, {num('vl_margem_bruta')} AS vl_margem_bruta,
          {day('dt_atendimento')} AS dt_atendimento
-  FROM ({P.CONSUMO})""")
+  FROM ({P.CONSUMO})""", BIGINT="cd_grupo_material")
 def cx08(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         consumo_material(spark, d), CHARGE_COLUMNS + " qt_material vl_convenio vl_custo_medio vl_margem_bruta dt_atendimento"
@@ -195,7 +195,7 @@ ERROR_COLUMNS = (
 @query("cx09_erro_prescricao", f"""
   SELECT {', '.join(ERROR_COLUMNS.split())}, {day('dt_erro')} AS dt_erro,
          {day("coalesce(resolved, DATE '1900-01-01')")} AS dt_resolucao, {day('dt_prescricao')} AS dt_prescricao
-  FROM ({P.ERRO})""")
+  FROM ({P.ERRO})""", INTEGER="qt_dias_resolucao")
 def cx09(spark: SparkSession, d: str) -> DataFrame:
     return plain(erro_prescricao(spark, d), ERROR_COLUMNS + " dt_erro dt_resolucao dt_prescricao")
 
@@ -223,7 +223,7 @@ CATEGORY = """
   CASE WHEN ie_situacao = 'a' THEN 'S' ELSE 'N' END AS ie_ativo"""
 
 
-@query("cx11_material", f"SELECT {', '.join(MATERIAL_COLUMNS.split())}, {CATEGORY} FROM ({P.MATERIALS})")
+@query("cx11_material", f"SELECT {', '.join(MATERIAL_COLUMNS.split())}, {CATEGORY} FROM ({P.MATERIALS})", BIGINT="cd_grupo_material")
 def cx11(spark: SparkSession, d: str) -> DataFrame:
     return plain(context.material(S.materials(spark, d)), MATERIAL_COLUMNS + " ie_categoria_funcional ie_ativo")
 
@@ -269,7 +269,7 @@ def dm04(spark: SparkSession, d: str) -> DataFrame:
 @query("dm05_dim_medicamento", f"""
   SELECT {sk('cd_material')} AS sk_medicamento, cd_material AS nk_medicamento, ds_material, ds_reduzida, cd_grupo_material,
          ie_controlado, {CATEGORY} FROM ({P.MATERIALS}) WHERE cd_material <> -1
-  UNION ALL SELECT md5('-1'), -1, NULL, NULL, NULL, NULL, NULL, NULL""")
+  UNION ALL SELECT md5('-1'), -1, NULL, NULL, NULL, NULL, NULL, NULL""", BIGINT="cd_grupo_material")
 def dm05(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         dimensions.dim_medicamento(context.material(S.materials(spark, d))),
@@ -286,7 +286,7 @@ def dm05(spark: SparkSession, d: str) -> DataFrame:
          {sk('cd_convenio')} AS sk_convenio, nr_sequencia AS nk_sequencia_procedimento, cd_pessoa_fisica AS nk_paciente,
          atend_ie_tipo_atendimento, cd_especialidade, {known('qt_procedimento')} AS qt_procedimento,
          {known('vl_procedimento')} AS vl_procedimento, {known('vl_medico')} AS vl_medico, nr_minuto_duracao
-  FROM ({P.PROCEDIMENTO})""")
+  FROM ({P.PROCEDIMENTO})""", BIGINT="nr_minuto_duracao")
 def ft01(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         facts.producao_medica(procedimento(spark, d)),
@@ -388,7 +388,7 @@ def ft06(spark: SparkSession, d: str) -> DataFrame:
          CAST(ie_criticidade IN ('a', 'alta') AS INTEGER) AS qt_erro_alta_criticidade,
          CASE WHEN resolved IS NULL AND ie_criticidade IN ('a', 'alta') THEN 'CRITICO_PENDENTE' WHEN resolved IS NULL THEN 'PENDENTE'
               WHEN qt_dias_resolucao > 7 THEN 'RESOLUCAO_TARDIA' ELSE 'RESOLVIDO' END AS ie_nivel_alerta_erro
-  FROM ({P.ERRO})""")
+  FROM ({P.ERRO})""", INTEGER="qt_dias_resolucao")
 def ft07(spark: SparkSession, d: str) -> DataFrame:
     return plain(
         facts.erro_prescricao(erro_prescricao(spark, d)),

@@ -13,11 +13,14 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, **types: str) -> Callable[[Query], Query]:
+    """Register a query; ``types`` maps an SQL type to columns whose integer width differs between engines."""
+
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            casts = [f"CAST({c} AS {kind}) AS {c}" for kind, columns in types.items() for c in columns.split()]
+            SQL[name] = f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
         return fn
 
     return register
