@@ -43,9 +43,16 @@ def build_facts(context: Mapping[str, DataFrame], as_of: Column) -> dict[str, Da
     return {n: gold_audit(fn(*[context[m] for m in needs]), as_of) for n, (fn, _, needs) in ready.items()}
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Rebuild a table in full (context models and dimensions)."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 256) -> None:
+    """Rebuild a table in full (context models and dimensions).
+
+    ``bucket_by`` stores it bucketed and sorted by that key: two tables bucketed
+    alike join and aggregate on the key without a shuffle.
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
 
 
 def load_fact(

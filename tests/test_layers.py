@@ -153,3 +153,20 @@ def test_databases_are_named_as_layers(spark):
     star.replace_table(spark.range(3), "gold.small")
     star.replace_table(spark.range(2), "gold.small")
     assert spark.table("gold.small").count() == 2
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    layers.create_databases(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, rows in (("atendimento_paciente", S.encounters), ("conta_paciente", S.accounts)):
+            # one task per bucket writes one file per bucket
+            keyed = rows(spark, SF).repartition(8, "nr_atendimento")
+            star.replace_table(keyed, f"silver.{name}", "nr_atendimento", 8)
+        silver = {n: spark.table(f"silver.{n}") for n in ("atendimento_paciente", "conta_paciente")}
+        model = star.build_context(silver, now(), "run")["atendimento"]
+        plan = model._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert model.count() == spark.table("silver.atendimento_paciente").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
