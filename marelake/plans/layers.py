@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marelake.functions import (
     above_to_null,
@@ -21,6 +23,7 @@ from marelake.operators import (
     drop_deleted,
     high_watermark,
     latest_per_key,
+    loaded_since,
     silver_audit,
     window_start_ms,
 )
@@ -58,26 +61,52 @@ def load_bronze(
     lookback_hours: int = 2,
     reprocess_hours: int = 0,
     as_of_ms: int | None = None,
-) -> None:
-    """Append the new events of a topic to its log.
+) -> int:
+    """Append the new events of a topic to its log; returns the first event time read.
 
     The log is partitioned by event day, so replays prune folders.  Rows are
     rebalanced by day before the write: AQE merges small days into one task and
     splits a day too big for one, so files have a sensible size either way.
     """
-    log = _read_if_exists(spark, target)
-    start = window_start_ms(high_watermark(log), lookback_hours, reprocess_hours, as_of_ms)
+    start = window_start_ms(log_watermark(spark, target), lookback_hours, reprocess_hours, as_of_ms)
     paths = [site.path(db, spec.table) for db, _ in spec.sources]
     branches = [read_topic(spark, p, site.fmt, start, spec.null_ts_as_zero) for p in paths]
     changes = branches[0] if len(branches) == 1 else union_topics(branches)
     rows = bronze_rows(changes, ",".join(paths), as_of).withColumn("_cdc_day", F.to_date("_cdc_event_at"))
     rows.hint("rebalance", "_cdc_day").write.mode("append").partitionBy("_cdc_day").parquet(target)
+    return start
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.option("mergeSchema", "true").parquet(path) if fs.exists(p) else None
+def log_watermark(spark: SparkSession, target: str) -> int:
+    """High watermark of a day-partitioned log: the largest event time lies in its newest day.
+
+    The newest day is a folder name, so one column of one day is read, however long the log is.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = [s.getPath().getName() for s in fs.globStatus(path(f"{target}/_cdc_day=[0-9]*")) or []]
+    return high_watermark(spark.read.parquet(f"{target}/{max(days)}") if days else None)
+
+
+def read_log(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame:
+    """The whole log, with the columns of every file.
+
+    Without ``schema`` the columns are gathered from all file footers, by a Spark
+    job; on a long log keep the schema in the catalog and pass it.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(target)
+    return spark.read.option("mergeSchema", "true").parquet(target)
+
+
+def fresh_rows(log: DataFrame, consumed: dt.datetime | None, from_ms: int = 0) -> DataFrame:
+    """Rows of the log the last silver load has not consumed.
+
+    ``from_ms`` is what ``load_bronze`` returned (the smallest of several runs): no
+    row it appended is older, so earlier days of the log are pruned.
+    """
+    day = F.timestamp_millis(F.lit(from_ms)).cast("date")
+    return loaded_since(log.where(F.col("_cdc_day") >= day), "_bronze_loaded_at", consumed)
 
 
 # -- silver ------------------------------------------------------------------------

@@ -47,7 +47,16 @@ def test_bronze_loads_incrementally_with_overlap(spark):
     layers.load_bronze(spark, spec, site, target, now())
     got = sorted(r[0] for r in spark.read.parquet(target).select("__source_txid").collect())
     assert got == ["1", "1", "2", "2", "3"]  # watermark 1 h, overlap 2 h: both first events come again
-    layers.load_bronze(spark, spec, site, target, now(), reprocess_hours=1, as_of_ms=DAY0 + 27 * HOUR_MS)
+    assert layers.log_watermark(spark, target) == DAY0 + 27 * HOUR_MS
+    late = "2024-03-06 00:00:00"
+    start = layers.load_bronze(spark, spec, site, target, now(late), reprocess_hours=1, as_of_ms=DAY0 + 27 * HOUR_MS)
+    assert start == DAY0 + 26 * HOUR_MS
+    log = layers.read_log(spark, target)
+    assert layers.read_log(spark, target, log.schema).count() == log.count() == 6
+    fresh = layers.fresh_rows(log, dt.datetime(2024, 3, 5), start)
+    assert [r[0] for r in fresh.select("__source_txid").collect()] == ["3"]
+    scan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_cdc_day" in scan and layers.fresh_rows(log, None).count() == 6
     assert spark.read.parquet(target).where("__source_txid = '3'").count() == 2
 
 
