@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from driver import standins as S
+from lakequeries import standins as S
 from marelake.operators import run_checks
 from marelake.operators.watermark import HOUR_MS
 from marelake.plans import checks, layers, star
