@@ -50,7 +50,7 @@ LOT_ITEMS = """
 INITCAP = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 
 MATERIALS = f"""
-  SELECT p_partkey AS cd_material, {INITCAP.format('p_name')} AS ds_material,
+  SELECT p_partkey * 2 AS cd_material, {INITCAP.format('p_name')} AS ds_material,
          {INITCAP.format('p_brand')} AS ds_reduzida, {INITCAP.format('p_type')} AS ds_principio_ativo,
          p_size AS cd_grupo_material, CAST(p_size % 6 AS VARCHAR) AS ie_tipo_material,
          CASE WHEN p_size % 7 = 0 THEN 'i' ELSE 'a' END AS ie_situacao,
@@ -59,13 +59,13 @@ MATERIALS = f"""
          CASE WHEN p_size % 4 = 0 THEN 's' ELSE 'n' END AS ie_controlado,
          CASE WHEN p_size % 3 = 0 THEN 's' ELSE 'n' END AS ie_alto_risco,
          CASE WHEN p_size % 2 = 0 THEN 's' ELSE 'n' END AS ie_medicamento
-  FROM part WHERE p_partkey % 20 <> 7
+  FROM part
 """
 
 HOURS = """
-  SELECT o_orderkey AS nr_seq_mat_hor, CAST(o_orderdate + to_hours(o_orderkey % 48) AS DATE) AS dt_horario,
+  SELECT o_orderkey * 2 AS nr_seq_mat_hor, CAST(o_orderdate + to_hours(o_orderkey % 48) AS DATE) AS dt_horario,
          substr(o_orderpriority, 1, 1) AS ie_agrupador
-  FROM orders WHERE o_orderkey % 3 <> 0
+  FROM orders
 """
 
 PRESCRIPTIONS = """

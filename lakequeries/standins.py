@@ -172,13 +172,12 @@ def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def materials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some parts are left out, so that their items find no material."""
+    """Codes are doubled, so that items of odd parts find no material."""
     size = F.col("p_size")
     return silver(
         table(spark, sf_dir, "part")
-        .where(F.col("p_partkey") % 20 != 7)
         .select(
-            F.col("p_partkey").alias("cd_material"),
+            (F.col("p_partkey") * 2).alias("cd_material"),
             F.col("p_name").alias("ds_material"),
             F.col("p_brand").alias("ds_reduzida"),
             F.col("p_type").alias("ds_principio_ativo"),
@@ -198,10 +197,8 @@ def materials(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return silver(
-        table(spark, sf_dir, "orders")
-        .where(key % 3 != 0)
-        .select(
-            key.alias("nr_sequencia"),
+        table(spark, sf_dir, "orders").select(
+            (key * 2).alias("nr_sequencia"),
             plus("o_orderdate", key % 48, "hours").alias("dh_horario"),
             F.col("o_orderpriority").substr(1, 1).alias("ie_agrupador"),
         ),
