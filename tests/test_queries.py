@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakequeries import catalog
 from tools.check_queries import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +21,9 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     rows = df.collect()
     assert rows, name
     cur = duck.execute(SQL[name])
