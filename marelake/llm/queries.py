@@ -54,3 +54,10 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     from . import packing
 
     return packing.pack(table(spark, d, "documents"), tokenizer_file())
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    from . import simhash
+
+    return simhash.near_duplicates(table(spark, d, "documents"))
