@@ -61,3 +61,24 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     from . import simhash
 
     return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    from . import language_id
+
+    return language_id.train_and_identify(table(spark, d, "documents"))
+
+
+@query("op6_topk", r"""
+  WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x)))),
+  s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+    FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+  SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    from . import topk
+
+    vectors = table(spark, d, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
