@@ -71,8 +71,8 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("op6_topk", r"""
-  WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
-    WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x)))),
+  WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND NOT list_bool_or([x IS NULL OR NOT isfinite(x) FOR x IN embedding])),
   s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
     FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
   r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
@@ -82,3 +82,10 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
 
     vectors = table(spark, d, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    from . import toxicity
+
+    return toxicity.train_and_score(table(spark, d, "documents"), table(spark, d, "labels"))

@@ -133,7 +133,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64,
 
 def _blocks(asked: DataFrame, block: int, dim: int, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of at most ``block`` queries; the driver holds one at a time."""
-    cuts = asked.approxQuantile("vec_id", [i / max(1, -(-asked.count() // block)) for i in range(1, max(1, -(-asked.count() // block)))], 0.001)
+    n = -(-asked.count() // block)
+    cuts = asked.approxQuantile("vec_id", [i / n for i in range(1, n)], 0.001) if n > 1 else []
     ends = sorted({int(c) for c in cuts})
     for low, high in zip([None, *ends], [*ends, None], strict=True):
         part = asked
