@@ -89,3 +89,10 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     from . import toxicity
 
     return toxicity.train_and_score(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op1_decontaminate")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
