@@ -96,3 +96,10 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
     from . import decontaminate
 
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op10_html_extract")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    from . import html_extract
+
+    return html_extract.extract(table(spark, d, "pages"))
