@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -103,3 +104,16 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
     from . import html_extract
 
     return html_extract.extract(table(spark, d, "pages"))
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    from . import pii
+
+    found = pii.find(table(spark, d, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
