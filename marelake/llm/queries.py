@@ -117,3 +117,12 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
 
     counts = [count(k) for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    from . import suffix_dedup
+
+    cut = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    digest = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
