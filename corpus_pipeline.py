@@ -1,25 +1,53 @@
-"""A corpus pipeline of five stages; each stage's result is written as Parquet and read as the next one's documents."""
+"""A corpus pipeline of five stages; each stage's result is written as Parquet and read as the next one's documents.
+
+Toxic documents go, repeated lines go, one document of each group of near copies stays, documents with passages of the
+benchmark go, and the rest is packed into training sequences.  A stage judges all that its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marelake.llm import line_dedup, packing
+from marelake.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from marelake.llm.common import store, table
 from marelake.llm.queries import tokenizer_file
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold; the model learns from the labels of the training fold."""
+    model = toxicity.fit(docs, toxicity.train_labels(table(spark, sf_dir, "labels")))
+    return toxicity.keep_clean(docs, model)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.apply(docs, line_dedup.drop_bitmaps(docs)).drop("n_lines", "n_dropped").select(docs.columns)
+    """All documents, without the lines that at least three hold and another one keeps."""
+    kept = line_dedup.apply(docs, line_dedup.drop_bitmaps(docs))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints the document with the smallest id; documents without an id stay."""
+    copies = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences."""
     return packing.pack(docs, tokenizer_file())
 
 
-STAGES = [("line dedup", dedup_lines), ("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic), ("line dedup", dedup_lines), ("simhash near-dedup", dedup_near_copies),
+    ("benchmark decontamination", drop_contaminated), ("packing", pack),
+]
 
-#: tokenizing and learned decisions have no SQL form
+#: learned decisions, fingerprints and tokens have no SQL form
 ORACLE_SQL = None
 
 
