@@ -11,6 +11,7 @@ from marelake import functions as fn
 from marelake import operators as op
 from marelake import sources as src
 from marelake.plans import layers
+from marelake.plans.specs import BronzeSpec, Site
 from marelake.session import shared_dir
 
 from . import parts as P
@@ -108,12 +109,49 @@ def q04_append(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+STATE_ROWS = f"""
+  WITH log AS ({P.EVENT_LOG})
+  SELECT nr_usuario, ie_evento, CAST(CAST(vl_evento AS DECIMAL(18,2)) AS DOUBLE) AS vl_evento, ds_props,
+         strftime(ts, {P.INSTANT}) AS dh_evento, is_deleted, op AS cdc_op, ts_ms AS cdc_ts_ms, txid AS cdc_txid"""
+
+
+@query("q44_layers_from_files", f"""
+  {STATE_ROWS}, CASE WHEN ts_ms >= epoch_ms(TIMESTAMP '{HALF}') THEN 'Late' END AS ds_origem, (SELECT count(*) FROM log) AS n_log
+  FROM (SELECT *, row_number() OVER (PARTITION BY nr_usuario ORDER BY ts_ms DESC, txid DESC) AS rn FROM log) WHERE rn = 1 AND NOT is_deleted""")
+def q44(spark: SparkSession, d: str) -> DataFrame:
+    """The topic as files, in both folder layouts and loose at its root; the later ones have one more column.
+
+    Bronze is loaded twice and silver after each load, from where it stopped.
+    """
+    root = shared_dir(spark, "lake")
+    spec, site = BronzeSpec("evento", (("main", "flat"),), False), Site(f"{root}/raw", fmt="parquet")
+    topic, log, state = site.path("main", "evento"), f"{root}/bronze", f"{root}/silver"
+    changes = S.event_changes(spark, d)
+    at, txid = F.timestamp_millis("__ts_ms"), F.col("__source_txid").cast("bigint")
+    early = changes.where(at < half())
+    later = changes.where(at >= half()).withColumn("ds_origem", F.lit("late"))
+    early.where(txid % 3 == 0).write.mode("append").parquet(f"{topic}/2024/01/01/00")
+    early.where(txid % 3 == 1).write.mode("append").parquet(f"{topic}/year=2024/month=01/day=02/hour=00")
+    early.where(txid % 3 == 2).write.mode("append").parquet(topic)
+    for run, (part, stamp) in enumerate(((None, half()), (later, F.lit("2024-01-31").cast("timestamp")))):
+        if part is not None:
+            part.where(txid % 3 == 0).write.mode("append").parquet(f"{topic}/2024/01/30/00")
+            part.where(txid % 3 == 1).write.mode("append").parquet(f"{topic}/year=2024/month=01/day=31/hour=05")
+            part.where(txid % 3 == 2).write.mode("append").parquet(f"{topic}/nohour")
+        start = layers.load_bronze(spark, spec, site, log, stamp)
+        fresh = layers.fresh_rows(layers.read_log(spark, log), layers.consumed_until(spark, S.EVENT_SPEC, state, 8), start)
+        table = layers.load_silver(spark, S.EVENT_SPEC, fresh, state, stamp, f"run-{run}", buckets=8)
+    # a replayed event counts once
+    n_log = layers.read_log(spark, log).select("__source_txid").distinct().count()
+    rows = table.read()
+    return _state(rows).join(rows.select("nr_usuario", "ds_origem"), "nr_usuario").withColumn("n_log", F.lit(n_log).cast("bigint"))
+
+
 @query("q05_replay_hours", f"""
   SELECT nr_usuario, ie_evento, ts_ms FROM ({P.EVENT_LOG}) WHERE ts_ms >= epoch_ms(TIMESTAMP '2024-01-31') - 48 * 3600 * 1000""")
 def q05(spark: SparkSession, d: str) -> DataFrame:
-    log = S.event_log(spark, d)
     as_of_ms = int(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc).timestamp() * 1000)
-    start = op.window_start_ms(op.high_watermark(log), reprocess_hours=48, as_of_ms=as_of_ms)
+    start = op.window_start_ms(0, reprocess_hours=48, as_of_ms=as_of_ms)
     return src.scan_flat(S.event_changes(spark, d), start).select("nr_usuario", "ie_evento", F.col("__ts_ms").alias("ts_ms"))
 
 
@@ -249,7 +287,7 @@ def q13(spark: SparkSession, d: str) -> DataFrame:
         history.select(
             "nr_usuario", "event_type", F.col("_valid_from").alias("valid_from"), F.col("_valid_to").alias("valid_to"),
             F.col("_is_current").alias("is_current"),
-            fn.surrogate_key("nr_usuario", F.unix_micros("_valid_from")).alias("sk_version"),
+            "sk_version",
         )
     )
 
@@ -281,8 +319,9 @@ def q14(spark: SparkSession, d: str) -> DataFrame:
          CAST(round(CAST(l_extendedprice AS DECIMAL(28,4)), 2) AS DOUBLE) AS price_2
   FROM lineitem""")
 def q15(spark: SparkSession, d: str) -> DataFrame:
-    key = F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey"))
-    discount = F.when(F.col("l_suppkey") % 5 != 0, F.col("l_discount") / 8)
+    # text that is no number counts as missing
+    key = F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey").cast("string")).when(F.col("l_partkey") % 2 == 0, "x1")
+    discount = F.when(F.col("l_suppkey") % 5 != 0, (F.col("l_discount") / 8).cast("string")).otherwise("n/a")
     return plain(
         S.table(spark, d, "lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", fn.fill_null_bigint(key).alias("part_or_unknown"),
@@ -383,19 +422,19 @@ def salted_lookup(spark: SparkSession, d: str) -> DataFrame:
   SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS nr_ano_mes,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS vl_total, sum(l_linenumber) AS qt_linhas,
          avg(l_linenumber) AS avg_qt_linhas, quantile_cont(l_linenumber, 0.5) AS median_qt_linhas,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(CAST(l_quantity AS BIGINT)) AS preco_medio
+         round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(CAST(l_quantity AS BIGINT)), 6) AS preco_medio
   FROM lineitem GROUP BY 1""", BIGINT="qt_linhas")
 def q36(spark: SparkSession, d: str) -> DataFrame:
     fact = S.table(spark, d, "lineitem").select(
         fn.date_key(F.col("l_shipdate").cast("date")).alias("sk_data"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("vl_total"),
         F.col("l_linenumber").cast("bigint").alias("qt_linhas"), F.col("l_quantity").cast("bigint").alias("qt"),
-    ).withColumn("vl", F.col("vl_total"))
+    ).withColumn("vl", F.col("vl_total").cast("double"))
     out = op.monthly_measures(
         fact, "sk_data", additive=["vl_total", "qt_linhas", "qt"], averaged=["qt_linhas"], median=["qt_linhas"],
-        ratios={"preco": ("vl", "qt")},
+        ratios={"preco_medio": ("vl", "qt")},
     )
     return out.select(
         "nr_ano_mes", F.col("vl_total").cast("double"), "qt_linhas", "avg_qt_linhas", "median_qt_linhas",
-        (F.col("vl_total").cast("double") / F.col("qt")).alias("preco_medio"),
+        F.round("preco_medio", 6).alias("preco_medio"),
     )

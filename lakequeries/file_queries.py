@@ -55,7 +55,7 @@ def q40(spark: SparkSession, d: str) -> DataFrame:
 
 
 # The two prefixes topics may lie under.
-PREFIXES = ("raw/raw-topics/stream/", "raw/raw_topics/stream/")
+PREFIXES = ("landing/stream-a/", "landing/stream_b/")
 
 
 def listing(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +75,7 @@ def listing(spark: SparkSession, d: str) -> DataFrame:
 
 
 LISTING = """
-  SELECT (CASE WHEN event_id % 3 = 0 THEN 'raw/raw_topics/stream/' ELSE 'raw/raw-topics/stream/' END) || event_type || '/'
+  SELECT (CASE WHEN event_id % 3 = 0 THEN 'landing/stream_b/' ELSE 'landing/stream-a/' END) || event_type || '/'
          || CASE WHEN event_id % 10 = 9 THEN 'nohour/' WHEN event_id % 2 = 0 THEN strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H/')
                  ELSE strftime(ts, '%Y/%m/%d/%H/') END || event_id || '.avro' AS key,
          event_type AS topic, ts, CAST(floor(value * 400000) AS BIGINT) AS size_bytes,
@@ -134,7 +134,7 @@ def q42_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q42_merged_topics", f"""
-  SELECT topic, 'raw/raw-topics/stream/' AS prefix, count(*) AS files FROM ({LISTING}) WHERE key LIKE 'raw/raw-topics/%' GROUP BY 1""")
+  SELECT topic, 'landing/stream-a/' AS prefix, count(*) AS files FROM ({LISTING}) WHERE key LIKE 'landing/stream-a/%' GROUP BY 1""")
 def q42_topics(spark: SparkSession, d: str) -> DataFrame:
     """Topics lie under both prefixes; the first prefix wins."""
     return src.merged_topics(listing(spark, d), *PREFIXES)

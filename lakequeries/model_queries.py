@@ -458,11 +458,15 @@ def ft10(spark: SparkSession, d: str) -> DataFrame:
   SELECT a.e AS asked_by, b.e AS done_by, count(*) AS n, CAST(sum(vl_procedimento) AS DOUBLE) AS vl_procedimento
   FROM ({P.PROCEDIMENTO}) f JOIN dim a ON a.k = f.cd_medico JOIN dim b ON b.k = f.cd_medico_executor GROUP BY 1, 2""")
 def q34(spark: SparkSession, d: str) -> DataFrame:
-    """One physician dimension in two roles. The fact is folded by both keys before it is joined."""
+    """One stored physician dimension in two roles. The fact is folded by both keys before it is joined."""
     from pyspark.sql import functions as F
 
+    from marelake.session import shared_dir
+
     procedures = procedimento(spark, d)
-    physicians = dimensions.dim_medico(procedures).select("sk_medico", "cd_especialidade")
+    stored = shared_dir(spark, "dim_medico")
+    dimensions.dim_medico(procedures).write.parquet(stored)
+    physicians = spark.read.parquet(stored).select("sk_medico", "cd_especialidade")
     roles = ["sk_medico_solicitante", "sk_medico_executor"]
     per_pair = facts.producao_medica(procedures).groupBy(*roles).agg(
         F.count(F.lit(1)).alias("n"), F.sum("vl_procedimento").alias("vl_procedimento")

@@ -22,11 +22,15 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q37_stream_topic_counts", """
-  SELECT 'events.parquet' AS topic, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 2""")
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'beta' ELSE 'alpha' END AS topic, event_type, count(*) AS n, count(DISTINCT user_id) AS users
+  FROM events GROUP BY 1, 2""")
 def q37(spark: SparkSession, d: str) -> DataFrame:
-    """Files arrive, are routed by their own path, and are appended exactly once."""
+    """Files of two topics arrive, are routed by their own path, and are appended exactly once."""
     work = shared_dir(spark, "stream")
-    routed = st.with_topic(_events(spark, d), d)
+    events = S.table(spark, d, "events")
+    for topic, own in (("alpha", F.col("event_id") % 3 != 0), ("beta", F.col("event_id") % 3 == 0)):
+        events.where(own).write.parquet(f"{work}/in/{topic}/2024/01/01/00")
+    routed = st.with_topic(st.stream_files(spark, f"{work}/in", events.schema), f"{work}/in")
     st.append_to_log(routed, f"{work}/log", f"{work}/checkpoint", ["topic"])
     # nothing new has arrived: a second run must add nothing
     st.append_to_log(routed, f"{work}/log", f"{work}/checkpoint", ["topic"])
@@ -49,6 +53,30 @@ def q38(spark: SparkSession, d: str) -> DataFrame:
     return plain(spark.read.parquet(f"{work}/log"))
 
 
+@query("q38_stream_late_rows", f"""
+  SELECT event_id, event_type, strftime(ts, {P.INSTANT}) AS event_at,
+    CASE WHEN event_id % 4 = 0 AND ts < (SELECT max(ts) FROM events WHERE event_id % 4 <> 0) - INTERVAL 2 HOUR THEN 'late' ELSE 'log' END AS place
+  FROM events""")
+def q38_late(spark: SparkSession, d: str) -> DataFrame:
+    """The last file is older than the watermark: main log and side log together hold every event once."""
+    work = shared_dir(spark, "stream")
+    events = S.table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("event_at"))
+    first, last = events.where("event_id % 4 <> 0"), events.where("event_id % 4 = 0")
+
+    def take() -> None:
+        arriving = st.stream_files(spark, f"{work}/topic", events.schema)
+        st.append_once(arriving, "event_at", ["event_id"], f"{work}/log", f"{work}/late", f"{work}/checkpoint")
+
+    first.write.parquet(f"{work}/topic/a")
+    take()
+    # the newest hours of the first file come again, together with the late quarter
+    newest = first.agg(F.max("event_at")).first()[0]
+    last.unionAll(first.where(F.col("event_at") >= F.lit(newest) - F.expr("INTERVAL 1 HOUR"))).write.parquet(f"{work}/topic/b")
+    take()
+    log, late = (spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{work}/{n}") for n in ("log", "late"))
+    return plain(log.withColumn("place", F.lit("log")).unionAll(late.withColumn("place", F.lit("late"))))
+
+
 @query("q39_stream_current_state", f"{STATE} FROM ({LATEST}) WHERE NOT is_deleted")
 def q39(spark: SparkSession, d: str) -> DataFrame:
     """Micro-batches of the topic merged into a stored state; the result is that of q06."""

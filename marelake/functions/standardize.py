@@ -59,12 +59,13 @@ def standardize_enum(c: Column | str, literal: str = UNKNOWN_CODE) -> Column:
 
 
 def fill_null_bigint(c: Column | str, sentinel: int = UNKNOWN_NUMBER) -> Column:
-    return F.coalesce(_col(c).cast("bigint"), F.lit(sentinel).cast("bigint"))
+    """BIGINT; NULL and unreadable text become the sentinel."""
+    return F.coalesce(_col(c).try_cast("bigint"), F.lit(sentinel).cast("bigint"))
 
 
 def normalize_decimal(c: Column | str, scale: int = 2, sentinel: int = UNKNOWN_NUMBER) -> Column:
-    """Number taken at six digits, rounded half up to ``scale``, which the result type keeps."""
-    taken = _col(c).cast(f"decimal(38,{SOURCE_SCALE})")
+    """Number taken at six digits, rounded half up to ``scale``, which the result type keeps; unreadable text is unknown."""
+    taken = _col(c).try_cast(f"decimal(38,{SOURCE_SCALE})")
     target = f"decimal(28,{scale})"
     rounded = taken if scale >= SOURCE_SCALE else F.round(taken, scale)
     return F.coalesce(rounded.cast(target), F.lit(sentinel).cast(target))

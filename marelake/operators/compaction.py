@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marelake.functions import first_true
+from marelake.sources.changes import AVRO_READ_OPTIONS
 from marelake.sources.files import STAGING_MARK, hour_folder_globs, list_files, partition_hour
 
 # Target size of a file, histogram bounds and verdict texts of the health report.
@@ -92,25 +95,28 @@ def hour_before(execution: dt.datetime, lag_hours: int = 1) -> dt.datetime:
 
 
 def compact_topics(
-    spark: SparkSession, root: str, hour: dt.datetime | None = None, only: str = "", **options: object
+    spark: SparkSession, root: str, hour: dt.datetime | None = None, only: str = "", at_once: int = 4, **options: object
 ) -> dict[str, dict[str, object]]:
     """Compact one hour of every topic below ``root``: ``hour``, or that of each topic's newest file.
 
     One row per topic comes to the driver; each topic is its own Spark job, since
-    topics differ in schema.
+    topics differ in schema, and ``at_once`` of them run side by side.
     """
     base = root.rstrip("/") + "/"
     files = list_files(spark, base)
     tail = F.substring_index("key", base, -1)
     newest = latest_files(files.withColumn("topic", F.split_part(tail, F.lit("/"), F.lit(1))))
     rows = newest.where(F.col("topic").contains(only)).select("topic", F.date_format("hour", "yyyyMMddHH").alias("h"))
-    done = {}
-    for topic, newest_hour in rows.collect():
+
+    def one(row) -> tuple[str, dict[str, object]]:
+        topic, newest_hour = row
         chosen = hour or (dt.datetime.strptime(newest_hour, "%Y%m%d%H") if newest_hour else None)
-        done[topic] = (
-            compact_hour(spark, base + topic, chosen, **options) if chosen else {"skipped": "no hour in the newest key"}
-        )
-    return done
+        if chosen is None:
+            return topic, {"skipped": "no hour in the newest key"}
+        return topic, compact_hour(spark, base + topic, chosen, **options)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(pool.map(one, rows.collect()))
 
 
 def compact_hour(
@@ -123,33 +129,64 @@ def compact_hour(
 ) -> dict[str, object]:
     """Rewrite one hour of a topic into ``ceil(bytes / target)`` files.
 
-    The first layout that has files is taken.  With ``output`` the result goes to a
-    separate place.  Without, it is written beside the input, its rows are counted
-    against the input's, and only then replaces it: originals are removed after the
-    new files are in place, never before.
+    The first layout that has files is taken.  The files are listed once: exactly
+    those are read, with the columns of all of them, and exactly those are removed,
+    so a file that lands meanwhile stays for the next run.  With ``output`` the
+    result goes to a separate place.  Without, it is written beside the input, its
+    rows are counted against the input's (both counts are observed while the rows
+    pass), and only then replaces it: originals are removed after the new files are
+    in place, never before.
     """
     for folder in hour_folder_globs(topic_path, hour):
-        if not _exists(spark, folder):
-            continue
-        listed = list_files(spark, folder).agg(F.count(F.lit(1)), F.sum("size_bytes")).first()
-        if listed[0]:
+        files, nested = _files(spark, folder)
+        if nested:
+            raise RuntimeError(f"{folder}: holds folders ({nested[0]} ...); not an hour of plain files")
+        if files:
             break
     else:
         return {"skipped": "no files in hour"}
-    n_before, n_bytes = listed
+    n_bytes = sum(size for _, size in files)
     n_after = max(1, math.ceil(n_bytes / target_bytes))
     separate = output is not None
     result = output or f"{topic_path.rstrip('/')}/{STAGING_MARK}/{hour:%Y%m%d%H}"
     options = {"compression": "deflate"} if fmt == "avro" else {}
-    source = spark.read.format(fmt).load(folder)
-    source.repartition(n_after).write.mode("overwrite").format(fmt).options(**options).save(result)
-    written = spark.read.format(fmt).schema(source.schema).load(result)
-    rows_in, rows_out = source.count(), written.count()
-    if rows_in != rows_out:
-        raise RuntimeError(f"{folder}: {rows_in} rows read, {rows_out} written; originals kept")
+    paths = [path for path, _ in files]
+    read, wrote = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("n")
+    source = _all_columns(spark, fmt, paths).observe(read, count)
+    dealt = source.repartition(n_after).observe(wrote, count)
+    dealt.write.mode("overwrite").format(fmt).options(**options).save(result)
+    rows_in, rows_out = read.get["n"], wrote.get["n"]
+    stored = spark.read.format(fmt).load(result).count()
+    if not rows_in == rows_out == stored:
+        raise RuntimeError(f"{folder}: {rows_in} rows read, {stored} written; originals kept")
     if not separate:
-        _swap(spark, result, folder)
-    return {"folder": folder, "files_before": n_before, "files_after": n_after, "rows": rows_out, "bytes": n_bytes}
+        _swap(spark, result, folder, paths)
+    return {"folder": folder, "files_before": len(files), "files_after": n_after, "rows": stored, "bytes": n_bytes}
+
+
+def _files(spark: SparkSession, folder: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """(path, size) of the data files of a folder, and the folders in it."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return [], []
+    found = [s for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+    return (
+        [(s.getPath().toString(), s.getLen()) for s in found if s.isFile()],
+        [s.getPath().getName() for s in found if not s.isFile()],
+    )
+
+
+def _all_columns(spark: SparkSession, fmt: str, paths: Sequence[str]) -> DataFrame:
+    """The files with the columns of all of them; Avro has no merged schema, so its files are united by name."""
+    if fmt != "avro":
+        return spark.read.format(fmt).option("mergeSchema", "true").load(list(paths))
+    frames = [spark.read.format(fmt).options(**AVRO_READ_OPTIONS).load(p) for p in paths]
+    same: dict[str, list[str]] = {}
+    for frame, path in zip(frames, paths, strict=True):
+        same.setdefault(frame.schema.json(), []).append(path)
+    parts = [spark.read.format(fmt).options(**AVRO_READ_OPTIONS).load(group) for group in same.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -157,13 +194,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _swap(spark: SparkSession, staged: str, folder: str) -> None:
-    """Move the staged files in, then remove the originals they replace.
+def _swap(spark: SparkSession, staged: str, folder: str, originals: Sequence[str]) -> None:
+    """Move the staged files in, then remove ``originals``, the files they replace, and no other.
 
     New names carry the staged job's unique id, so both sets can lie side by side.
     Between the two steps a reader may see rows twice, which the change log allows
@@ -171,11 +203,10 @@ def _swap(spark: SparkSession, staged: str, folder: str) -> None:
     """
     new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs, target = _fs(spark, folder)
-    originals = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
     for s in fs.listStatus(_fs(spark, staged)[1]):
         if s.isFile() and s.getPath().getName().startswith("part-"):
             if not fs.rename(s.getPath(), new_path(target, s.getPath().getName())):
                 raise RuntimeError(f"could not move {s.getPath()}; originals kept")
     for p in originals:
-        fs.delete(p, False)
+        fs.delete(new_path(p), False)
     fs.delete(_fs(spark, staged)[1], True)

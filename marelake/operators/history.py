@@ -13,7 +13,8 @@ from marelake.functions import surrogate_key
 def version_history(df: DataFrame, keys: Sequence[str], valid_from: str, chunk: str = "hour") -> DataFrame:
     """Adds ``sk_version``, ``_valid_from``, ``_valid_to`` and ``_is_current``.
 
-    ``_valid_to`` is the start of the next version of the key.  One key may own a
+    ``sk_version`` hashes the key and the start in microseconds since 1970, whatever
+    the session's time zone.  ``_valid_to`` is the start of the next version of the key.  One key may own a
     large part of all rows, so no task sees a whole key: rows are shuffled by
     (key, hour) and look ahead inside the hour.  What follows an hour is found on a
     narrow table with one row per (key, hour), and comes in as a marker row at the
@@ -33,7 +34,7 @@ def version_history(df: DataFrame, keys: Sequence[str], valid_from: str, chunk:
     ahead = rows.withColumn("_valid_to", F.lead(valid_from).over(in_chunk)).where(~F.col("_marker"))
     return ahead.withColumns(
         {
-            "sk_version": surrogate_key(*keys, valid_from),
+            "sk_version": surrogate_key(*keys, F.unix_micros(start)),
             "_valid_from": start,
             "_is_current": F.col("_valid_to").isNull(),
         }

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marelake.functions.standardize import UNKNOWN_NUMBER
-
 SALTS = 64
 
 
@@ -16,7 +14,7 @@ def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: Mapping[str, str],
-    hot: Sequence[object] = (UNKNOWN_NUMBER,),
+    hot: Sequence[object] = (),
     salts: int = SALTS,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``{left column: right column}``.
@@ -25,11 +23,16 @@ def lookup_join(
     not clash with those of ``left``.
 
     No broadcast hint: Spark broadcasts ``right`` when its measured size is under
-    the threshold and shuffles both sides otherwise.  For the shuffled case the
-    known heavy keys (by default the "not informed" code, and NULL) are spread over
-    ``salts`` partitions: left rows get a salt derived from the row, right rows with
-    a heavy key are repeated once per salt.  Heavy keys nobody knows beforehand are
-    split at run time by AQE.
+    the threshold and shuffles both sides otherwise.  The join is on the plain keys,
+    so sides that are bucketed or already shuffled by them are used as they lie, and
+    a chain of lookups on one key shares a shuffle.  A heavy key, such as the "not
+    informed" code, is split at run time by AQE, which may cut the left side of a
+    left join.
+
+    ``hot`` is for keys known to be heavy where that is not wanted (AQE off, or a
+    single key far over the size of a task): their left rows, and those with NULL,
+    get one of ``salts`` salts derived from the whole row, and right rows with such
+    a key are repeated once per salt.
     """
     pairs = list(on.items())
     renamed = right.select(
@@ -42,7 +45,7 @@ def lookup_join(
     if salts > 1 and hot:
         lead = pairs[0][0]
         heavy_left = F.col(lead).isin(list(hot)) | F.col(lead).isNull()
-        spread = F.pmod(F.xxhash64(*_row_identity(left, on)), F.lit(salts)).cast("int")
+        spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", F.when(heavy_left, spread).otherwise(F.lit(0)))
         all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
         heavy_right = F.col("_r0").isin(list(hot))
@@ -54,13 +57,6 @@ def lookup_join(
     return left.join(renamed, condition, "left").drop(*drop)
 
 
-def _row_identity(df: DataFrame, on: Mapping[str, str]) -> list[str]:
-    """A few columns that tell rows of one key apart; hashing all of a wide row would be waste."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("bigint", "int")]
-    apart = [c for c in numeric if c not in on] or [c for c in df.columns if c not in on]
-    return (apart or df.columns)[:4]
-
-
 def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list[object]:
     """Keys that own more than ``share`` of the rows, for ``lookup_join(hot=...)``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -88,10 +90,13 @@ class KeyedTable:
     """Current-state table on plain Parquet, for catalogs without ``MERGE INTO``.
 
     Rows are spread over key buckets.  A merge reads and rewrites only the buckets
-    its keys fall in, into a new ``gen=<n>`` folder that counts once Spark has
-    committed it (``_SUCCESS``); nothing a reader may be using is overwritten, and
-    a lost run leaves the table as it was.  Deleted keys stay as flagged rows, so
-    an older event that arrives after the delete cannot bring the key back.
+    its keys fall in, into a new ``gen=<n>`` folder, and then commits by one small
+    file, ``_commits/<n>``.  It holds the folder of every bucket, the bucket number,
+    the keys with their types, and the mark the load has consumed, so all of them
+    change at once; a reader opens the newest commit and nothing else.  What a reader
+    may be using is never overwritten, and a lost run leaves the table as it was.
+    Deleted keys stay as flagged rows, so an older event that arrives after the
+    delete cannot bring the key back.
     """
 
     def __init__(
@@ -103,91 +108,151 @@ class KeyedTable:
         order: Sequence[str] = EVENT_ORDER,
         set_once: Sequence[str] = SET_ONCE,
         sync_columns: bool = False,
+        tasks_per_bucket: int = 1,
     ):
-        """``sync_columns`` lets a merge drop columns its source lacks (facts); else columns are only added."""
+        """``sync_columns`` lets a merge drop columns its source lacks (facts); else columns are only added.
+
+        ``tasks_per_bucket`` splits the rows of a bucket by key over several tasks and files.  A table that was
+        written with other keys or another number of buckets is refused.
+        """
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.buckets, self.order, self.set_once, self.sync_columns = buckets, order, set_once, sync_columns
+        self.tasks_per_bucket = tasks_per_bucket
+        self._commit()
 
     # -- folders -----------------------------------------------------------------
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def _list(self, path: str) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _generations(self) -> list[int]:
-        return sorted(int(n.split("=")[1]) for n in self._list(self.path) if n.startswith("gen="))
+    def _commits(self) -> list[int]:
+        return sorted(int(n) for n in self._list(f"{self.path}/_commits") if n.isdigit())
 
-    def _live_folders(self) -> dict[int, str]:
-        """Bucket -> newest committed folder."""
-        live: dict[int, str] = {}
-        for g in self._generations():
-            names = self._list(f"{self.path}/gen={g}")
-            if "_SUCCESS" in names:
-                live.update({int(n.split("=")[1]): f"{self.path}/gen={g}/{n}" for n in names if n.startswith("kb=")})
-        return live
+    def _commit(self, number: int | None = None) -> dict:
+        """A commit, by default the newest; an empty one for a table that is not there yet."""
+        found = self._commits()
+        if not found:
+            return {"generation": 0, "live": {}, "types": {}, "mark": None}
+        fs, p = self._fs(f"{self.path}/_commits/{number or found[-1]:012d}")
+        stream = fs.open(p)
+        try:
+            commit = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        for name in ("keys", "buckets"):
+            if commit[name] != getattr(self, name):
+                raise ValueError(f"{self.path} was written with {name}={commit[name]}, not {getattr(self, name)}")
+        return commit
+
+    def _write_commit(self, commit: dict) -> None:
+        """Complete or not at all, and never over another writer's commit of the same number."""
+        name = f"{commit['generation']:012d}"
+        fs, staged = self._fs(f"{self.path}/_commits/.{name}-{uuid.uuid4().hex}")
+        stream = fs.create(staged)
+        try:
+            stream.write(bytearray(json.dumps(commit).encode()))
+        finally:
+            stream.close()
+        _, final = self._fs(f"{self.path}/_commits/{name}")
+        if fs.exists(final) or not fs.rename(staged, final):
+            fs.delete(staged, False)
+            raise RuntimeError(f"{self.path}: another writer has committed generation {commit['generation']}")
 
     # -- reading -----------------------------------------------------------------
-    def _schema(self, live: dict[int, str]) -> StructType:
-        """Columns of the table: those of its newest generation, which every merge carries on."""
-        newest = max(live.values(), key=lambda f: int(f.split("gen=")[1].split("/")[0]))
-        return self.spark.read.parquet(newest).schema
+    def _folders(self, commit: dict, buckets: Sequence[int] | None = None) -> list[str]:
+        live = {int(b): g for b, g in commit["live"].items()}
+        return [f"{self.path}/gen={live[b]}/kb={b}" for b in (live if buckets is None else buckets) if b in live]
+
+    def _schema(self, commit: dict) -> StructType:
+        """Columns of the table, which every merge carries on."""
+        return StructType.fromJson(commit["schema"])
 
     def read(self, with_deleted: bool = False) -> DataFrame | None:
-        live = self._live_folders()
-        if not live:
+        commit = self._commit()
+        if not commit["live"]:
             return None
-        rows = self.spark.read.schema(self._schema(live)).parquet(*live.values())
+        rows = self.spark.read.schema(self._schema(commit)).parquet(*self._folders(commit))
         return rows if with_deleted or "_is_deleted" not in rows.columns else drop_deleted(rows)
 
+    def consumed(self) -> str | None:
+        """The mark that the last merge committed with its rows."""
+        return self._commit()["mark"]
+
     # -- writing -----------------------------------------------------------------
+    def _typed(self, df: DataFrame, types: dict[str, str]) -> DataFrame:
+        """Keys in the table's types: a bucket is a hash, and hashes differ between types.  A key that does not fit fails."""
+
+        def key(k: str):
+            bad = F.concat(F.lit(f"key {k} does not fit {types[k]}: "), F.col(k).cast("string"))
+            return F.coalesce(F.col(k).try_cast(types[k]), F.when(F.col(k).isNotNull(), F.raise_error(bad)).cast(types[k]))
+
+        other = [k for k in self.keys if k in types and dict(df.dtypes)[k] != types[k]]
+        return df.withColumns({k: key(k) for k in other}) if other else df
+
     def _bucket(self):
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).alias("kb")
 
-    def merge(self, source: DataFrame, touched_by: DataFrame | None = None) -> int:
+    def merge(self, source: DataFrame, touched_by: DataFrame | None = None, mark: str | None = None) -> int:
         """Upsert ``source``; returns the new generation number.
 
         ``touched_by`` is any cheaper frame with the same keys (the raw batch), used
-        to find the buckets; the answer has at most ``buckets`` numbers.
+        to find the buckets; the answer has at most ``buckets`` numbers.  ``mark`` is
+        committed with the rows; without one the table keeps the mark it has.
         """
-        touched = [r[0] for r in (source if touched_by is None else touched_by).select(self._bucket()).distinct().collect()]
-        generation = max(self._generations(), default=0) + 1
-        live = self._live_folders()
-        folders = [live[b] for b in touched if b in live]
-        incoming = source
-        if live:
-            schema = self._schema(live)
-            if not self.sync_columns:
-                incoming = append_new_columns(self.spark.createDataFrame([], schema), source)
-        incoming = incoming.withColumn("kb", self._bucket())
-        n = max(1, len(touched))
+        commit = self._commit()
+        types = commit["types"] or {k: t for k, t in source.dtypes if k in self.keys}
+        incoming = self._typed(source, types)
+        keys = incoming if touched_by is None else self._typed(touched_by, types)
+        touched = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
+        generation = max([commit["generation"], *(int(n.split("=")[1]) for n in self._list(self.path) if n.startswith("gen="))]) + 1
+        folders = self._folders(commit, touched)
+        if commit["live"] and not self.sync_columns:
+            incoming = append_new_columns(self.spark.createDataFrame([], self._schema(commit)), incoming)
+        split = F.pmod(F.xxhash64(*self.keys), F.lit(self.tasks_per_bucket)).alias("_part")
+        incoming = incoming.withColumns({"kb": self._bucket(), "_part": split})
+        n = max(1, len(touched) * self.tasks_per_bucket)
         # one shuffle by bucket serves the window and the partitioned write
         if folders:
-            stored = self.spark.read.schema(schema).parquet(*folders)
+            stored = self.spark.read.schema(self._schema(commit)).parquet(*folders)
             if self.sync_columns:
                 stored = stored.select(*[c for c in stored.columns if c in source.columns])
-            stored = stored.withColumn("kb", self._bucket())
-            merged = upsert(stored, incoming, self.keys, self.order, self.set_once, ["kb"], n)
+            stored = stored.withColumns({"kb": self._bucket(), "_part": split})
+            merged = upsert(stored, incoming, self.keys, self.order, self.set_once, ["kb", "_part"], n)
         else:
-            merged = incoming.repartition(n, "kb")
-        # a generation is written once, so the plain committer and its _SUCCESS mark apply
+            merged = incoming.repartition(n, "kb", "_part")
+        merged = merged.drop("_part")
+        # a lost run may have left a folder of this number: it is not in any commit
         merged.write.mode("error").partitionBy("kb").parquet(f"{self.path}/gen={generation}")
+        schema = StructType([f for f in merged.schema if f.name != "kb"])
+        live = {**commit["live"], **{str(b): generation for b in touched}}
+        self._write_commit({
+            "generation": generation, "live": live, "keys": self.keys, "buckets": self.buckets, "types": types,
+            "schema": json.loads(schema.json()), "mark": mark if mark is not None else commit["mark"],
+        })
         return generation
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Remove bucket folders replaced more than ``keep`` generations ago; returns what went.
+        """Remove what none of the last ``keep`` commits and the newest one refers to; returns the folders that went.
 
-        Readers that opened the table before then must have finished.
+        Readers that opened the table before then must have finished, and no merge may be running.
         """
-        generations, live = self._generations(), set(self._live_folders().values())
-        gone = [
-            f"{self.path}/gen={g}/{n}"
-            for g in generations[: max(0, len(generations) - keep)]
-            for n in self._list(f"{self.path}/gen={g}")
-            if n.startswith("kb=") and f"{self.path}/gen={g}/{n}" not in live
-        ]
-        jvm = self.spark.sparkContext._jvm
-        for folder in gone:
-            p = jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        commits = self._commits()
+        kept = commits[-(keep + 1) :]
+        used = {f for n in kept for f in self._folders(self._commit(n))}
+        gone = []
+        for name in [n for n in self._list(self.path) if n.startswith("gen=")]:
+            folders = [f"{self.path}/{name}/{n}" for n in self._list(f"{self.path}/{name}") if n.startswith("kb=")]
+            old = [f for f in folders if f not in used]
+            gone += old
+            # a folder nobody refers to goes whole, so the list of generations stays short
+            for f in [f"{self.path}/{name}"] if len(old) == len(folders) else old:
+                fs, p = self._fs(f)
+                fs.delete(p, True)
+        for n in commits[: -(keep + 1)]:
+            fs, p = self._fs(f"{self.path}/_commits/{n:012d}")
+            fs.delete(p, False)
         return gone

@@ -101,7 +101,7 @@ def atendimento(encounters: DataFrame, accounts: DataFrame) -> DataFrame:
     taken = {_stem(c) for c in left.columns}
     names = [c for c in business(accounts).columns if c != "nr_atendimento"]
     renames = {c: f"conta_{c}" if _stem(c) in taken else c for c in names}
-    joined = lookup_join(left, lookup(accounts, "nr_atendimento", "", **renames), {"nr_atendimento": "nr_atendimento"}, hot=())
+    joined = lookup_join(left, lookup(accounts, "nr_atendimento", "", **renames), {"nr_atendimento": "nr_atendimento"})
     own = {c: c for c in left.columns if c != "nr_atendimento"}
     return joined.withColumns(
         _restandardize(joined, "atendimento_paciente", own) | _restandardize(joined, "conta_paciente", renames)
@@ -137,7 +137,7 @@ def procedimento(procedures: DataFrame, insurer_codes: DataFrame, encounters: Da
     own = {c: c for c in left.columns if c != "nr_sequencia"}
     left = left.withColumns(_restandardize(left, "procedimento_paciente", own))
     coding = "ds_procedimento cd_unidade_medida tx_conversao_qtde cd_grupo nr_proc_interno"
-    joined = lookup_join(left, lookup(insurer_codes, "nr_seq_procedimento", coding), {"nr_sequencia": "nr_seq_procedimento"}, hot=())
+    joined = lookup_join(left, lookup(insurer_codes, "nr_seq_procedimento", coding), {"nr_sequencia": "nr_seq_procedimento"})
     joined = joined.withColumns(_restandardize(joined, "proc_paciente_convenio", {c: c for c in coding.split()}))
     return _with_encounter(joined, encounters, " ".join(ENCOUNTER_FACTS))
 
@@ -170,7 +170,7 @@ def prescricao(prescriptions: DataFrame, items: DataFrame) -> DataFrame:
             F.max(unsentinel("dt_lib_farmacia")).alias("dt_ultima_lib_farmacia"),
         )
     )
-    joined = lookup_join(head, per_head, {"nr_prescricao": "nr_prescricao"}, hot=())
+    joined = lookup_join(head, per_head, {"nr_prescricao": "nr_prescricao"})
     joined = joined.withColumns({name: _zero(name) for name in ("qt_itens", *counts)})
     medicine = F.col("qt_medicamentos") > 0
     return joined.withColumns(
@@ -248,7 +248,7 @@ def dispensacao(lots: DataFrame, items: DataFrame, classes: DataFrame, shifts: D
     )
     kind = lookup(classes, "nr_sequencia", "ds_classificacao", ie_momento="ie_momento_classif", ie_tipo_lote="ie_tipo_classif")
     shift = lookup(shifts, "nr_sequencia", "ds_turno", hr_inicio="hr_turno_inicio", hr_fim="hr_turno_fim")
-    joined = lookup_join(left, per_lot, {"nr_sequencia": "nr_seq_lote"}, hot=())
+    joined = lookup_join(left, per_lot, {"nr_sequencia": "nr_seq_lote"})
     joined = lookup_join(joined, kind, {"nr_seq_classif": "nr_sequencia"})
     joined = lookup_join(joined, shift, {"nr_seq_turno": "nr_sequencia"})
     begun = unsentinel(F.col("dt_inicio_dispensacao").cast("date")).isNotNull()
@@ -311,7 +311,7 @@ def movimento_estoque(
         ds_reduzida="ds_material_reduzida", ie_controlado="ie_controlado_material",
         ie_medicamento="ie_medicamento_material",
     )
-    joined = lookup_join(left, cost, {"nr_movimento_estoque": "nr_movimento_estoque"}, hot=())
+    joined = lookup_join(left, cost, {"nr_movimento_estoque": "nr_movimento_estoque"})
     joined = lookup_join(joined, operation, {"cd_operacao_estoque": "cd_operacao_estoque"})
     joined = lookup_join(joined, material_, {"cd_material": "cd_material"})
     op = F.col("cd_operacao_estoque")

@@ -41,14 +41,11 @@ def _dimension(members: DataFrame, key: str, name: str) -> DataFrame:
 
 def dim_medico(procedures: DataFrame) -> DataFrame:
     """Physicians in either role; the specialty is that of their latest procedure."""
-    roles = [
-        procedures.select(F.col(role).alias("cd_medico"), "cd_especialidade", "dt_procedimento").where(
-            F.col(role).isNotNull() & (F.col(role) != UNKNOWN)
-        )
-        for role in ("cd_medico", "cd_medico_executor")
-    ]
-    both = roles[0].unionByName(roles[1]).distinct()
-    # a distinct row is its own attribute set: date first, specialty code as tie-break
+    role = F.explode(F.array("cd_medico", "cd_medico_executor")).alias("cd_medico")
+    both = procedures.select(role, "cd_especialidade", "dt_procedimento").where(
+        F.col("cd_medico").isNotNull() & (F.col("cd_medico") != UNKNOWN)
+    )
+    # date first, specialty code as tie-break
     newest = both.groupBy("cd_medico").agg(F.max(F.struct("dt_procedimento", "cd_especialidade")).alias("n"))
     members = newest.select("cd_medico", F.col("n.cd_especialidade").cast("string").alias("cd_especialidade"))
     known = _with_unknown(members, "cd_medico")

@@ -35,10 +35,10 @@ from .specs import LAYERS, BronzeSpec, SilverSpec, Site
 
 
 def rename_instants(df: DataFrame) -> DataFrame:
-    """Source ``dt_*`` columns carry a time of day: they become ``dh_*`` timestamps."""
+    """Source ``dt_*`` columns carry a time of day: they become ``dh_*`` timestamps, unreadable text NULL."""
     return df.select(
         *[
-            F.col(c).cast("timestamp").alias("dh_" + c[3:]) if c.startswith("dt_") else F.col(c)
+            F.col(c).try_cast("timestamp").alias("dh_" + c[3:]) if c.startswith("dt_") else F.col(c)
             for c in df.columns
         ]
     )
@@ -61,6 +61,7 @@ def load_bronze(
     lookback_hours: int = 2,
     reprocess_hours: int = 0,
     as_of_ms: int | None = None,
+    schema: StructType | None = None,
 ) -> int:
     """Append the new events of a topic to its log; returns the first event time read.
 
@@ -70,8 +71,8 @@ def load_bronze(
     """
     start = window_start_ms(log_watermark(spark, target), lookback_hours, reprocess_hours, as_of_ms)
     paths = [site.path(db, spec.table) for db, _ in spec.sources]
-    branches = [read_topic(spark, p, site.fmt, start, spec.null_ts_as_zero) for p in paths]
-    changes = branches[0] if len(branches) == 1 else union_topics(branches)
+    branches = [read_topic(spark, p, site.fmt, start, spec.null_ts_as_zero, schema) for p in paths]
+    changes = branches[0] if len(branches) == 1 else union_topics(branches, spec.types)
     rows = bronze_rows(changes, ",".join(paths), as_of).withColumn("_cdc_day", F.to_date("_cdc_event_at"))
     rows.hint("rebalance", "_cdc_day").write.mode("append").partitionBy("_cdc_day").parquet(target)
     return start
@@ -158,13 +159,28 @@ def load_silver(
 ) -> KeyedTable:
     """Merge a bronze batch into the silver table at ``target``.
 
-    The batch is the part of the log not consumed yet (``loaded_since``).
+    The batch is the part of the log not consumed yet (``fresh_rows``).  The newest
+    load time it holds is committed with the rows; ``consumed_until`` gives it back
+    to the next run.
     """
     table = KeyedTable(spark, target, spec.keys, buckets)
-    table.merge(silver_rows(batch, spec, as_of, run_id), touched_by=batch.select(*spec.keys))
+    newest = batch.agg(F.unix_micros(F.max("_bronze_loaded_at"))).first()[0]
+    table.merge(
+        silver_rows(batch, spec, as_of, run_id), touched_by=batch.select(*spec.keys),
+        mark=None if newest is None else str(max(newest, int(table.consumed() or newest))),
+    )
     return table
 
 
+def consumed_until(spark: SparkSession, spec: SilverSpec, target: str, buckets: int = 256) -> dt.datetime | None:
+    """Load time up to which the silver table at ``target`` has consumed its log; None before its first load."""
+    mark = KeyedTable(spark, target, spec.keys, buckets).consumed()
+    if mark is None:
+        return None
+    # the driver's local clock, as Spark reads and writes Python datetimes
+    return spark.sql(f"SELECT timestamp_micros({int(mark)})").first()[0]
+
+
 def create_databases(spark: SparkSession) -> None:
     """One database per layer, named as the layer."""
     for layer in LAYERS:

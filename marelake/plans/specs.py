@@ -33,11 +33,12 @@ class Site:
 
 @dataclass(frozen=True)
 class BronzeSpec:
-    """``sources`` lists (database, layout); more than one is a distinct union."""
+    """``sources`` lists (database, layout); more than one is a distinct union, in which ``types`` rule."""
 
     table: str
     sources: tuple[tuple[str, str], ...]
     null_ts_as_zero: bool
+    types: dict[str, str] = field(default_factory=dict)
 
     @property
     def name(self) -> str:

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .files import day_folders
 
@@ -74,18 +75,27 @@ def _at_or_after(raw: DataFrame, column: str, from_ms: int, null_ts_as_zero: boo
 
 
 def conform_change(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
-    """Lower-case names, add absent metadata columns, cast metadata and ``types``."""
+    """Lower-case names, add absent metadata columns, cast metadata and ``types``; what cannot be cast is NULL."""
     df = df.toDF(*[c.lower() for c in df.columns])
     wanted = {**CHANGE_META, **(types or {})}
     casts = {
-        name: (F.col(name) if name in df.columns else F.lit(None)).cast(kind) for name, kind in wanted.items()
+        name: (F.col(name) if name in df.columns else F.lit(None)).try_cast(kind) for name, kind in wanted.items()
     }
     return df.withColumns(casts)
 
 
 def union_topics(branches: Sequence[DataFrame], types: Mapping[str, str] | None = None) -> DataFrame:
-    """Distinct union by name; a column one branch lacks is NULL there."""
-    conformed = [conform_change(b, types) for b in branches]
+    """Distinct union by name; a column one branch lacks is NULL there.
+
+    A column that is text in one branch and something else in another is text in the
+    result unless ``types`` names its type, so no code is lost.
+    """
+    kinds: dict[str, set[str]] = {}
+    for branch in branches:
+        for name, kind in branch.dtypes:
+            kinds.setdefault(name.lower(), set()).add(kind)
+    mixed = {n: "string" for n, k in kinds.items() if "string" in k and len(k - {"void"}) > 1}
+    conformed = [conform_change(b, {**{n: t for n, t in mixed.items() if n in map(str.lower, b.columns)}, **(types or {})}) for b in branches]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), conformed).distinct()
 
 
@@ -95,21 +105,26 @@ def read_topic(
     fmt: str = "avro",
     from_ms: int = 0,
     null_ts_as_zero: bool = False,
+    schema: StructType | None = None,
     **options: str,
 ) -> DataFrame:
     """Read a topic of either layout; the layout is seen from the schema alone.
 
-    Only the day folders the window can touch are listed; ``from_ms`` also goes to
-    the scan as a filter.
+    Only folders the window can touch are listed; ``from_ms`` also goes to the scan
+    as a filter.  Columns are those of every file: Parquet and ORC gather them from
+    the footers.  An Avro reader takes one file's columns, so for a topic whose
+    columns have grown pass ``schema``, or the ``avroSchema`` option, from the
+    schema registry.
     """
-    extra = AVRO_READ_OPTIONS if fmt == "avro" else {}
+    extra = AVRO_READ_OPTIONS if fmt == "avro" else {"mergeSchema": "true"}
     roots = [path] if isinstance(path, str) else list(path)
     paths = [folder for root in roots for folder in day_folders(spark, root, from_ms)]
+    reader = spark.read.format(fmt).options(recursiveFileLookup="true", **{**extra, **options})
+    reader = reader if schema is None else reader.schema(schema)
     if not paths:  # nothing arrived since: an empty frame of the topic's schema
-        whole = spark.read.format(fmt).options(recursiveFileLookup="true", **extra, **options).load(roots)
-        raw = whole.where(F.lit(False))
+        raw = reader.load(roots).where(F.lit(False))
         return scan_envelope(raw) if detect_layout(raw) == "envelope" else raw
-    raw = spark.read.format(fmt).options(recursiveFileLookup="true", **extra, **options).load(paths)
+    raw = reader.load(paths)
     if detect_layout(raw) == "envelope":
         return scan_envelope(raw, from_ms, null_ts_as_zero)
     return scan_flat(raw, from_ms, null_ts_as_zero)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 NAMED_HOUR = r"year=(\d{4})/month=(\d{2})/day=(\d{2})/hour=(\d{2})/"
 PLAIN_HOUR = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/"
 STAGING_MARK = "__compaction_tmp"
+# Folder names of a year, a month and a day in either layout.
+DAY_PARTS = (r"(?:year=)?(\d{4})", r"(?:month=)?(\d{2})", r"(?:day=)?(\d{2})")
 
 
 def hour_folder_globs(topic_path: str, hour: dt.datetime) -> list[str]:
@@ -24,24 +26,42 @@ def hour_folder_globs(topic_path: str, hour: dt.datetime) -> list[str]:
 
 
 def day_folders(spark: SparkSession, topic_path: str, from_ms: int) -> list[str]:
-    """Day folders of a topic, in both layouts, that can hold events from ``from_ms`` on.
+    """What lies below a topic, less the day folders that are too old to hold events from ``from_ms`` on.
 
-    A file lies in the folder of the hour it arrived, which is never before its
-    events, so older folders need not be listed or opened.  A topic without day
-    folders is read whole.
+    A file lies in the folder of the hour it arrived, which is never before its events, so the folder of an older
+    year, month or day need not be listed.  One more day is kept, because folders may follow a local clock.
+    Everything that is not such a folder stays: files at the root, and folders of any other name.
     """
     root = topic_path.rstrip("/")
     if from_ms <= 0:
         return [root]
-    first = dt.datetime.fromtimestamp(from_ms / 1000, dt.timezone.utc).strftime("%Y%m%d")
+    first = dt.datetime.fromtimestamp(from_ms / 1000, dt.timezone.utc) - dt.timedelta(days=1)
+    bound = (f"{first:%Y}", f"{first:%m}", f"{first:%d}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for layout in ("year=*/month=*/day=*", "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]"):
-        for status in fs.globStatus(path(f"{root}/{layout}")) or []:
-            folder = status.getPath().toString()
-            found.append((re.sub(r"\D", "", "".join(folder.split("/")[-3:])), folder))
-    return [folder for day, folder in found if day >= first] if found else [root]
+
+    def kept(folder: str, level: int) -> tuple[list[str], bool]:
+        """What to read below a folder whose date so far equals the bound's, and whether something went."""
+        out, pruned = [], False
+        for status in fs.listStatus(path(folder)):
+            name, full = status.getPath().getName(), status.getPath().toString()
+            part = re.fullmatch(DAY_PARTS[level], name) if status.isDirectory() else None
+            if name.startswith(("_", ".")):
+                continue
+            if part is None or part[1] > bound[level]:
+                out.append(full)
+            elif part[1] < bound[level]:
+                pruned = True
+            elif level == 2:
+                out.append(full)
+            else:
+                below, less = kept(full, level + 1)
+                out += below if less else [full]
+                pruned |= less
+        return out, pruned
+
+    found, pruned = kept(root, 0)
+    return found if pruned else [root]
 
 
 def partition_hour(key: Column | str) -> Column:

@@ -1,6 +1,7 @@
 """Change topics under Structured Streaming."""
 
 from .changes import (  # noqa: F401
+    append_once,
     append_to_log,
     drop_replays,
     maintain_state,

@@ -51,11 +51,48 @@ def drop_replays(stream: DataFrame, event_at: str, identity: Sequence[str], late
     """Each event once, as long as its copies come within ``lateness``.
 
     State is kept per event identity and only until the watermark passes, so it is
-    bounded by the traffic of the lateness window.
+    bounded by the traffic of the lateness window.  An event that comes later than
+    that, first delivery or copy, is discarded; ``append_once`` keeps it.
     """
     return stream.withWatermark(event_at, lateness).dropDuplicatesWithinWatermark(list(identity))
 
 
+def append_once(
+    stream: DataFrame, event_at: str, identity: Sequence[str], target: str, late: str, checkpoint: str, lateness: str = LATENESS
+) -> None:
+    """Each event once in the log ``target``, and what comes too late to tell in the log ``late``.
+
+    An event is late when it is more than ``lateness`` older than the newest event
+    of earlier micro-batches; it may or may not be a copy, so it is kept apart, and
+    counting the side log tells how much came late.  Others are compared with the
+    events of that span in the log.  A micro-batch writes folders of its own number,
+    which a repetition after a failure replaces.
+    """
+    spark = stream.sparkSession
+
+    def earlier(folder: str, number: int) -> DataFrame | None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        done = [s.getPath().toString() for s in fs.globStatus(path(f"{folder}/batch=*")) or []]
+        done = [d for d in done if int(d.rsplit("=", 1)[1]) < number]
+        return spark.read.schema(stream.schema).parquet(*done) if done else None
+
+    def write(batch: DataFrame, number: int) -> None:
+        once = batch.dropDuplicates(list(identity))
+        log = earlier(target, number)
+        newest = None if log is None else log.agg(F.max(event_at)).first()[0]
+        if newest is None:
+            once.write.mode("overwrite").parquet(f"{target}/batch={number}")
+            return
+        bound = F.lit(newest) - F.expr(f"INTERVAL {lateness}")
+        batch.where(F.col(event_at) < bound).write.mode("overwrite").parquet(f"{late}/batch={number}")
+        seen = log.where(F.col(event_at) >= bound).select(*identity)
+        fresh = once.where((F.col(event_at) >= bound) | F.col(event_at).isNull()).join(seen, list(identity), "left_anti")
+        fresh.select(*stream.columns).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    run_available(stream.writeStream.foreachBatch(write), checkpoint)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process what has arrived, then stop; raises what the stream raised."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

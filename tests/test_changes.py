@@ -122,9 +122,9 @@ def test_merge_rewrites_only_touched_buckets_and_adds_columns(spark):
     path = shared_dir(spark, "state")
     table = op.KeyedTable(spark, path, ["k"], buckets=16, order=("v",), set_once=())
     table.merge(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")))
-    before = table._live_folders()
+    before = table._commit()["live"]
     table.merge(spark.createDataFrame([(7, 2, "new")], "k bigint, v int, extra string"))
-    after = table._live_folders()
+    after = table._commit()["live"]
     assert sum(before[b] != after[b] for b in before) == 1
     rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
     assert rows[7] == (2, "new") and rows[8] == (1, None) and len(rows) == 100
@@ -149,6 +149,60 @@ def test_a_merge_elsewhere_keeps_added_columns_and_sync_drops_them(spark):
     assert synced.read().columns == ["k", "v"] and synced.read().count() == 101
 
 
+@pytest.mark.parametrize("stored,batch", [("bigint", "int"), ("int", "bigint")])
+def test_merge_hashes_keys_in_the_type_they_are_stored_in(spark, stored, batch):
+    path = shared_dir(spark, "state")
+    table = op.KeyedTable(spark, path, ["k"], buckets=8, order=("v",), set_once=())
+    table.merge(spark.range(100).select(F.col("id").cast(stored).alias("k"), F.lit(1).alias("v")), mark="a")
+    table.merge(spark.createDataFrame([(3, 2), (50, 2), (99, 2)], "k bigint, v int").select(F.col("k").cast(batch), "v"))
+    rows = {r.k: r.v for r in table.read().collect()}
+    assert len(rows) == 100 == table.read().count() and {k for k, v in rows.items() if v == 2} == {3, 50, 99}
+    assert dict(table.read().dtypes)["k"] == stored and table.consumed() == "a"
+    if stored == "int":
+        with pytest.raises(Exception, match="does not fit"):
+            table.merge(spark.createDataFrame([(2**40, 1)], "k bigint, v int"))
+
+
+def test_keyed_table_refuses_other_buckets_and_keys(spark):
+    path = shared_dir(spark, "state")
+    op.KeyedTable(spark, path, ["k"], buckets=8, order=("v",), set_once=()).merge(spark.createDataFrame([(1, 1)], "k bigint, v int"))
+    for keys, buckets in ((["k"], 64), (["v"], 8)):
+        with pytest.raises(ValueError, match="was written with"):
+            op.KeyedTable(spark, path, keys, buckets=buckets)
+
+
+def test_vacuum_leaves_short_lists(spark):
+    path = shared_dir(spark, "state")
+    table = op.KeyedTable(spark, path, ["k"], buckets=4, order=("v",), set_once=(), tasks_per_bucket=3)
+    for v in range(6):
+        table.merge(spark.range(40).select(F.col("id").alias("k"), F.lit(v).alias("v")))
+    table.vacuum(keep=1)
+    assert len(table._commits()) == 2 and len([n for n in table._list(path) if n.startswith("gen=")]) == 2
+    assert {r.v for r in table.read().collect()} == {5} and table.read().count() == 40
+
+
+def test_day_folders_keep_everything_that_is_not_surely_old(spark):
+    topic = shared_dir(spark, "topic")
+    places = {"": 1, "2024/01/02/03": 2, "2024/01/03/03": 3, "2024/01/04/03": 4, "year=2023/month=12/day=31/hour=01": 5, "year=2024/month=02/day=01/hour=00": 6, "nohour": 7, "2024/odd": 8}
+    at = int(dt.datetime(2024, 1, 4, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for place, n in places.items():
+        rows = spark.createDataFrame([(n, at)], "id int, __ts_ms bigint")
+        rows = rows.withColumn("extra", F.lit("x")) if n in (4, 8) else rows
+        rows.coalesce(1).write.mode("append").parquet(f"{topic}/{place}")
+    got = src.read_topic(spark, topic, "parquet", at)
+    # the day before the window may be a local clock's; older days are not opened
+    assert {r.id for r in got.collect()} == {1, 3, 4, 6, 7, 8}
+    assert {r.id: r.extra for r in got.collect()}[8] == "x" and got.where("id = 1").first().extra is None
+    assert {r.id for r in src.read_topic(spark, topic, "parquet").collect()} == set(places.values())
+
+
+def test_a_code_that_is_text_in_one_topic_stays_text(spark):
+    a = spark.createDataFrame([("A7", 1)], "code string, __ts_ms bigint")
+    b = spark.createDataFrame([(5, 1)], "code int, __ts_ms bigint")
+    assert {r.code for r in src.union_topics([a, b]).collect()} == {"A7", "5"}
+    assert {r.code for r in src.union_topics([a, b], {"code": "bigint"}).collect()} == {None, 5}
+
+
 def test_upsert_keeps_stored_row_against_older_event(spark):
     schema = "k int, v string, _cdc_ts_ms bigint, _cdc_txid bigint, _silver_processed_at string"
     old = spark.createDataFrame([(1, "new", 5, 5, "first"), (2, "a", 1, 1, "first")], schema)

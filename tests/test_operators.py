@@ -31,7 +31,7 @@ def test_lookup_join_spreads_the_hot_key_and_loses_nothing(shuffled):
         F.col("id"), F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 100 != 1, F.col("id") % 50).cast("bigint").alias("k")
     )
     right = spark.createDataFrame([(-1, "none")] + [(i, f"n{i}") for i in range(0, 50, 2)], "code bigint, name string")
-    joined = op.lookup_join(left, right, {"k": "code"}, salts=16)
+    joined = op.lookup_join(left, right, {"k": "code"}, hot=(-1,), salts=16)
     expected = left.join(right, left.k == right.code, "left").select("id", "k", "name")
     assert joined.columns == ["id", "k", "name"]
     assert joined.exceptAll(expected).count() == 0 and joined.count() == 30000
@@ -39,13 +39,69 @@ def test_lookup_join_spreads_the_hot_key_and_loses_nothing(shuffled):
     def largest(salts):
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         try:
-            parts = op.lookup_join(left, right, {"k": "code"}, salts=salts).select(F.spark_partition_id().alias("p"))
+            parts = op.lookup_join(left, right, {"k": "code"}, hot=(-1,), salts=salts).select(F.spark_partition_id().alias("p"))
             return max(r["count"] for r in parts.groupBy("p").count().collect())
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert largest(64) < 0.7 * largest(1)
 
 
+def test_lookup_join_uses_bucketed_sides_as_they_lie(shuffled):
+    spark = shuffled
+    for name, key in (("lk_left", "k"), ("lk_right", "code")):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        rows = spark.range(2000).select((F.col("id") % 97 - 1).alias(key), F.col("id").alias(f"v_{key}"))
+        rows.write.format("parquet").bucketBy(8, key).sortBy(key).saveAsTable(name)
+    joined = op.lookup_join(spark.table("lk_left"), spark.table("lk_right"), {"k": "code"})
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sentinel_rows_of_a_lookup_are_split_at_run_time(shuffled):
+    spark = shuffled
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        text = F.sha2(F.col("id").cast("string"), 256)
+        left = spark.range(130000).select("id", F.when(F.col("id") < 100000, -1).otherwise(F.col("id") % 500).alias("k"), text.alias("t"))
+        right = spark.range(-1, 500).select(F.col("id").alias("code"), F.col("id").cast("string").alias("name"))
+        joined = op.lookup_join(left.repartition(16), right, {"k": "code"}).select("k", "name", "t", F.spark_partition_id().alias("p"))
+        rows = joined.where("k = -1 AND name = '-1'").groupBy("p").agg(F.count("t").alias("n"), F.max("t")).collect()
+        assert sum(r.n for r in rows) == 100000 and len(rows) > 1
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_compaction_keeps_late_files_and_new_columns(spark, monkeypatch):
+    from marelake.operators import compaction
+
+    topic, hour = shared_dir(spark, "topic"), dt.datetime(2024, 1, 1, 5)
+    folder = src.hour_folder_globs(topic, hour)[0]
+    spark.range(10).repartition(4).write.parquet(folder)
+    spark.range(10, 15).withColumn("new", F.lit("x")).write.mode("append").parquet(folder)
+    swap = compaction._swap
+
+    def late(*args):
+        spark.range(100, 105).coalesce(1).write.mode("append").parquet(folder)
+        swap(*args)
+
+    monkeypatch.setattr(compaction, "_swap", late)
+    done = op.compact_hour(spark, topic, hour, fmt="parquet")
+    after = spark.read.option("mergeSchema", "true").parquet(folder)
+    assert done["rows"] == 15 and {r.id for r in after.collect()} == {*range(15), *range(100, 105)} and after.count() == 20
+    assert {r.new for r in after.where("id BETWEEN 10 AND 14").collect()} == {"x"}
+    spark.range(1).write.parquet(f"{folder}/nested")
+    with pytest.raises(RuntimeError, match="holds folders"):
+        op.compact_hour(spark, topic, hour, fmt="parquet")
+
+
+def test_median_of_bounded_size(spark):
+    fact = spark.range(10001).select(F.lit(20240105).alias("d"), F.col("id").alias("v"))
+    for accuracy in (None, 1000):
+        assert abs(op.monthly_measures(fact, "d", median=["v"], median_accuracy=accuracy).first().median_v - 5000) <= 10
+
+
 def test_lookup_join_on_two_columns_and_duplicates(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (-1, "a")], "x bigint, y string")
     right = spark.createDataFrame([(1, "a", 10), (1, "a", 11), (-1, "a", 12), (-1, "a", 13)], "p bigint, q string, v int")
