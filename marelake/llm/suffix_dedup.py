@@ -23,6 +23,8 @@ other, whatever their ``doc_id``, which may be null; an empty table gives an emp
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, arrow_schema, documents, store, to_numpy
+from .common import arrow_map, arrow_schema, documents, partitions, store
 from .induced import suffix_order
 
 WINDOW, GRAM = 200, 32
 #: windows of a long text that are looked at together
 STRETCH = 1 << 22
 LOW = np.uint64((1 << 24) - 1)
-ANCHORS = "doc_id long, row_key long, t1 long, t2 long, sha string, n_bytes long, h array<long>, lo array<int>, hi array<int>"
-CONTEXTS = "t1 long, t2 long, lo int, hi int, h long, c1 long, c2 long, bytes binary"
+ROWS = "doc_id long, row_key long, t1 long, t2 long, sha string, n_bytes long"
+#: ``at`` is the first window of a run, shifted by 8 bits, and how many windows follow it
+ANCHORS = "row_key long, h long, at long"
+CONTEXTS = "row_key long, at long, h long, c1 long, c2 long, bytes binary"
 FOUND = "c1 long, c2 long, a int, b int, w1 long, w2 long, salt int"
 
 
@@ -78,26 +82,60 @@ def _halves(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:16], "big", signed=True)
 
 
-def _anchors(batch):
-    out: dict[str, list] = {f: [] for f in ("doc_id", "row_key", "t1", "t2", "sha", "n_bytes", "h", "lo", "hi")}
+def _described(batch):
+    out: dict[str, list] = {f: [] for f in ("doc_id", "row_key", "t1", "t2", "sha", "n_bytes")}
     for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("text"), strict=True):
         raw = text.as_buffer().to_pybytes()
         digest = hashlib.sha256(raw).digest()
-        h, lo, hi = runs(np.frombuffer(raw, np.uint8))
-        for name, value in zip(out, (doc, key, *_halves(digest), digest.hex(), len(raw), h, lo.astype(np.int32), hi.astype(np.int32)), strict=True):
+        for name, value in zip(out, (doc, key, *_halves(digest), digest.hex(), len(raw)), strict=True):
             out[name].append(value)
     return out
 
 
+def _packed(batch):
+    """Texts of a window and more, compressed: they move smaller."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3).compress
+    out: dict[str, list] = {f: [] for f in ("row_key", "packed")}
+    for key, text in zip(batch.column("row_key").to_pylist(), batch.column("text"), strict=True):
+        raw = text.as_buffer().to_pybytes()
+        if len(raw) >= WINDOW:
+            for name, value in zip(out, (key, press(raw)), strict=True):
+                out[name].append(value)
+    return out
+
+
+def _anchors():
+    schema = arrow_schema(T._parse_datatype_string(ANCHORS))
+
+    def run(batches):
+        import zstandard
+
+        open_ = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            parts, size = [], 0
+            for i, (key, packed) in enumerate(zip(batch.column("row_key").to_pylist(), batch.column("packed").to_pylist(), strict=True), 1):
+                h, lo, hi = runs(np.frombuffer(open_(packed), np.uint8))
+                parts.append((np.full(len(h), key), h, (lo << 8) + hi - lo))
+                size += len(h)
+                if size > 200_000 or i == batch.num_rows:
+                    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+                    parts, size = [], 0
+
+    return run
+
+
 def _contexts():
-    """Contexts of texts and, as a row without anchor, the compressed text itself."""
+    """The contexts of texts; a task ships the bytes of a context once."""
     schema = arrow_schema(T._parse_datatype_string(CONTEXTS))
 
     def run(batches):
         import zstandard
         from xxhash import xxh3_128_digest
 
-        press = zstandard.ZstdCompressor(level=1).compress
+        open_ = zstandard.ZstdDecompressor().decompress
         seen: set[bytes] = set()
         rows: list[tuple] = []
 
@@ -107,21 +145,17 @@ def _contexts():
 
         size = 0
         for batch in batches:
-            for t1, t2, text, anchors in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "text", "anchors")), strict=True):
-                raw = text.encode()
-                if _halves(hashlib.sha256(raw).digest()) != (t1, t2):
-                    continue  # another text under the same id
-                rows.append((t1, t2, None, None, None, None, None, press(raw)))
-                size += len(rows[-1][-1])
+            for key, packed, anchors in zip(*(batch.column(c).to_pylist() for c in ("row_key", "packed", "anchors")), strict=True):
+                raw = open_(packed)
                 for a in anchors:
-                    lo, hi, h = a["lo"], a["hi"], a["h"]
-                    context = raw[lo : hi + WINDOW]
+                    lo = a["at"] >> 8
+                    context = raw[lo : lo + (a["at"] & 255) + WINDOW]
                     digest = xxh3_128_digest(context)
                     if len(seen) > 300_000:
                         seen.clear()
                     new = digest not in seen
                     seen.add(digest)
-                    rows.append((t1, t2, lo, hi, h, *_halves(digest), context if new else None))
+                    rows.append((key, a["at"], a["h"], *_halves(digest), context if new else None))
                     size += 64 + len(context) * new
                 if size > 8_000_000:
                     yield flush()
@@ -162,12 +196,17 @@ def _shard(memory: int):
     def search(group: pa.Table) -> pa.Table:
         from xxhash import xxh3_128_digest
 
-        by_id = {(a, b): (c, n, s) for a, b, c, n, s in zip(*(group.column(x).to_pylist() for x in ("c1", "c2", "bytes", "salts", "salt")), strict=True)}
+        by_id, anchors = {}, Counter()
+        for h, a, b, c, n, s in zip(*(group.column(x).to_pylist() for x in ("h", "c1", "c2", "bytes", "salts", "salt")), strict=True):
+            anchors[h] += (a, b) not in by_id
+            by_id[a, b] = (h, c, n, s)
+        # an anchor with one context only has no other window to be compared with
+        by_id = {k: x for k, x in by_id.items() if anchors[x[0]] > 1 or x[2] > 1}
         rows: list[tuple] = []
         if len(by_id) > 1:
-            for (c1, c2), stretches in zip(by_id, repeated_windows([c for c, *_ in by_id.values()], memory), strict=True):
+            for (c1, c2), stretches in zip(by_id, repeated_windows([c for _, c, *_ in by_id.values()], memory), strict=True):
                 rows += [(c1, c2, a, b, None, None, None) for a, b in stretches]
-        for (c1, c2), (context, salts, salt) in by_id.items():
+        for (c1, c2), (_, context, salts, salt) in by_id.items():
             if salts > 1:
                 rows += [(c1, c2, a, a, *_halves(xxh3_128_digest(context[a : a + WINDOW])), salt) for a in range(len(context) - WINDOW + 1)]
         columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
@@ -179,20 +218,31 @@ def _shard(memory: int):
 def _cut(batch):
     import zstandard
 
-    out: dict[str, list] = {f: [] for f in ("t1", "t2", "n_removed", "n_spans", "kept")}
+    out: dict[str, list] = {f: [] for f in ("row_key", "n_removed", "n_spans", "kept")}
     open_ = zstandard.ZstdDecompressor().decompress
-    for t1, t2, packed, spans in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "bytes", "spans")), strict=True):
+    for key, packed, spans in zip(*(batch.column(c).to_pylist() for c in ("row_key", "packed", "spans")), strict=True):
         raw = np.frombuffer(open_(packed), np.uint8)
         cover = np.zeros(len(raw) + 1, np.int64)
         np.add.at(cover, [s["a"] for s in spans], 1)
         np.add.at(cover, [s["b"] + WINDOW for s in spans], -1)
         gone = np.cumsum(cover)[:-1] > 0
         n_spans = int(np.count_nonzero(np.diff(np.append(0, gone.astype(np.int8))) == 1))
-        for name, value in zip(out, (t1, t2, int(gone.sum()), n_spans, raw[~gone].tobytes()), strict=True):
+        for name, value in zip(out, (key, int(gone.sum()), n_spans, raw[~gone].tobytes()), strict=True):
             out[name].append(value)
     return out
 
 
+def _bodies(texts: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(row_key, packed) of one row per different text, bucketed: no later join moves the texts again."""
+    spark = texts.sparkSession
+    packed = arrow_map(keyed, _packed, "row_key long, packed binary")
+    one = packed.join(texts.select("row_key"), "row_key")
+    name, n = f"bodies_{uuid.uuid4().hex}", partitions(spark)
+    # the join has dealt the rows by the same hash into as many parts
+    one.write.format("parquet").option("compression", "none").bucketBy(n, "row_key").saveAsTable(name)
+    return spark.table(name)
+
+
 def remove_repeats(docs: DataFrame, shard_bytes: int = 3_000_000, hot: int = 8_000, memory: int = 200_000_000) -> DataFrame:
     """(doc_id, n_bytes, sha, n_removed, n_spans, kept) of every document.
 
@@ -200,42 +250,45 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = 3_000_000, hot: int = 8_0
     the digest of the whole text.
     """
     keyed = documents(docs).withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
-    rows = store(arrow_map(keyed, _anchors, ANCHORS), "anchors")
+    rows = store(arrow_map(keyed, _described, ROWS), "texts")
     texts = rows.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n_copies"), F.min("row_key").alias("row_key"))
-    one = rows.where(F.size("h") > 0).join(texts.select("t1", "t2", "row_key"), ["t1", "t2", "row_key"], "left_semi")
-    each = one.select("row_key", "t1", "t2", F.explode(F.arrays_zip("h", "lo", "hi")).alias("a")).select("row_key", "t1", "t2", "a.*")
-    place = F.xxhash64("t1", "t2", "lo")
-    repeated = each.groupBy("h").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("h")
-    wanted = each.join(repeated, "h").groupBy("row_key", "t1", "t2").agg(F.collect_list(F.struct("h", "lo", "hi")).alias("anchors"))
-    bodies = keyed.select("row_key", "text")
-    if rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
-        bodies = bodies.distinct()  # repeated rows would give their text twice
-    joined = wanted.join(bodies, "row_key").select("t1", "t2", "text", "anchors")
-    joined = joined.mapInArrow(_contexts(), CONTEXTS)
-    found = store(joined, "contexts")
-    contexts = found.where("h IS NOT NULL")
-    twice = contexts.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2", F.lit(0).alias("a"), F.lit(2**30).alias("b"))
-    several = contexts.groupBy("h").agg(F.min("c1").alias("least"), F.max("c1").alias("most"), F.count("bytes").alias("n")).where("least <> most")
-    several = several.select("h", F.ceil(F.col("n") / hot).cast("int").alias("salts"))
-    sent = contexts.where("bytes IS NOT NULL").select("h", "c1", "c2", "bytes").join(several, "h")
-    sent = store(sent, "shards")
+    twins = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("t1", "t2").alias("n_texts")).where("n > 1").agg(F.max("n_texts")).first()[0]
+    if twins:
+        # rows share an id: their texts tell them apart, and equal rows are one
+        keyed = keyed.withColumn("row_key", F.xxhash64("row_key", "text")).distinct()
+        rows = rows.withColumn("row_key", F.lit(None).cast("long"))
+        texts = texts.drop("row_key").join(store(arrow_map(keyed, _described, ROWS), "texts").groupBy("t1", "t2").agg(F.min("row_key").alias("row_key")), ["t1", "t2"])
+    texts = store(texts, "classes")
+    bodies = _bodies(texts, keyed)
+    each = bodies.mapInArrow(_anchors(), ANCHORS)
+    repeated = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    wanted = each.join(repeated, "h").groupBy("row_key").agg(F.collect_list(F.struct("h", "at")).alias("anchors"))
+    contexts = store(bodies.join(wanted, "row_key").select("row_key", "packed", "anchors").mapInArrow(_contexts(), CONTEXTS), "contexts")
+    twice = contexts.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2", F.lit(0).alias("a"), F.lit(255).alias("b"))
+    sent = contexts.where("bytes IS NOT NULL").select("h", "c1", "c2", "bytes")
     total = sent.agg(F.sum(F.length("bytes"))).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
-    dealt = sent.withColumn("salt", F.when(F.col("salts") > 1, F.pmod("c1", F.col("salts"))).otherwise(0).cast("int"))
-    # a shard is a bounded piece of the contexts, and a hot anchor's shares are shards of their own
-    dealt = dealt.withColumn("shard", F.when(F.col("salts") > 1, F.col("h")).otherwise(F.pmod("h", F.lit(n_shards)))).withColumn("alone", F.col("salts") > 1)
+    heavy = store(sent.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("h", F.ceil(F.col("n") / hot).cast("int").alias("salts")), "heavy")
+    if heavy.limit(1).count():
+        sent = sent.join(heavy, "h", "left").fillna(1, ["salts"])
+    else:
+        sent = sent.withColumn("salts", F.lit(1))
+    # a shard is a bounded piece of the contexts, and a heavy anchor's shares are shards of their own
+    alone = F.col("salts") > 1
+    dealt = sent.select(
+        "*", alone.alias("alone"), F.when(alone, F.pmod("c1", F.col("salts"))).otherwise(0).cast("int").alias("salt"),
+        F.when(alone, F.col("h")).otherwise(F.pmod("h", F.lit(n_shards))).alias("shard"))
     same = store(dealt.groupBy("alone", "shard", "salt").applyInArrow(_shard(memory), FOUND), "windows")
     across = same.where("salt IS NOT NULL").groupBy("w1", "w2").agg(F.min("salt").alias("x"), F.max("salt").alias("y")).where("x <> y").select("w1", "w2")
     stretches = same.where("salt IS NULL").select("c1", "c2", "a", "b").unionAll(same.where("salt IS NOT NULL").join(across, ["w1", "w2"]).select("c1", "c2", "a", "b"))
-    hits = contexts.select("t1", "t2", "lo", "hi", "c1", "c2").join(twice.unionAll(stretches), ["c1", "c2"])
-    spans = hits.groupBy("t1", "t2").agg(F.collect_list(F.struct((F.col("lo") + F.col("a")).alias("a"), F.least(F.col("lo") + F.col("b"), F.col("hi")).alias("b"))).alias("spans"))
-    packed = found.where("h IS NULL").select("t1", "t2", "bytes")
-    cut = arrow_map(packed.join(spans, ["t1", "t2"]), _cut, "t1 long, t2 long, n_removed long, n_spans long, kept binary")
-    per_text = texts.select("t1", "t2", "n_copies").join(cut, ["t1", "t2"], "left")
+    hits = contexts.select("row_key", "at", "c1", "c2").join(twice.unionAll(stretches), ["c1", "c2"])
+    lo, hi = F.shiftright("at", 8), F.shiftright("at", 8) + F.col("at").bitwiseAND(255)
+    spans = hits.groupBy("row_key").agg(F.collect_list(F.struct((lo + F.col("a")).alias("a"), F.least(lo + F.col("b"), hi).alias("b"))).alias("spans"))
+    cut = arrow_map(bodies.join(spans, "row_key").select("row_key", "packed", "spans"), _cut, "row_key long, n_removed long, n_spans long, kept binary")
+    per_text = texts.join(cut, "row_key", "left").drop("row_key")
     all_gone = (F.col("n_copies") > 1) & (F.col("n_bytes") >= WINDOW)
     return rows.select("doc_id", "t1", "t2", "sha", "n_bytes").join(per_text, ["t1", "t2"]).select(
         "doc_id", "n_bytes", "sha",
         F.when(all_gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(all_gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(all_gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
-
