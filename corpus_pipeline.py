@@ -27,9 +27,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id; documents without an id stay."""
-    copies = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of linked fingerprints the document with the smallest id, of repeated rows one.
+
+    Documents without an id stay.
+    """
+    found = store(simhash.near_duplicates(docs).where("doc_id IS NOT NULL").select("doc_id", "component_id"), "near_copies")
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id IS NULL").unionAll(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    return kept
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

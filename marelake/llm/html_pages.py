@@ -7,7 +7,7 @@ import random
 import re
 from typing import NamedTuple
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[a-z]+")
 #: fixed values of the HTML standard: elements without an end, with raw text, inside a line, and those that end an open one of their kind

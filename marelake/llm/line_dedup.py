@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BLANKS, arrow_map, arrow_schema, documents, lower_ascii, partitions, store, to_numpy
-from pyspark.sql import types as T
 
 ROWS = "h1 long, h2 long, doc_id long, pos int, kind int"
 DROP, OPEN, SUMMARY = 0, 1, 2
@@ -144,7 +144,7 @@ def kept_lines(text: str, dropped: bytes | None) -> tuple[str, int]:
     lines = text.split("\n")
     if dropped is None:
         return text, len(lines)
-    bits = np.unpackbits(np.frombuffer(zlib.decompress(dropped), np.uint8), count=None)
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(dropped), np.uint8))
     gone = set(np.flatnonzero(bits).tolist())
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines)
 

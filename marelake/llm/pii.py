@@ -87,7 +87,7 @@ def _valid(x: Column) -> Column:
     )
 
 
-def base_spans(text: Column = None) -> Column:
+def base_spans() -> Column:
     """All base spans of the column ``text`` that pass their check."""
     each = [F.when(F.col("text").rlike(NEEDS[k]), _found(k, BASE)).otherwise(_none()) for k in KINDS]
     return F.filter(F.concat(*each), _valid)

@@ -173,7 +173,8 @@ def links(fps: DataFrame, radius: int = 2, leaf: int = 4000, sample: int = 100_0
     """(a, b) fingerprints whose links have the same components as all pairs within ``radius``.
 
     ``fps`` has different values of ``fp``.  ``sample`` bounds what the trees are fitted on; ``leaf`` is the aim
-    for the fingerprints of a shard.
+    for the fingerprints of a shard.  A shard holds eight sampled ones at least, so beyond ``leaf * sample / 8``
+    fingerprints a larger sample keeps the shards small.
     """
     n = fps.count()
     # at most ``sample`` values: those with the smallest hashes, by a threshold on the hash
@@ -230,6 +231,5 @@ def near_duplicates(docs: DataFrame, radius: int = 2, words: int = 3, seed: int
     found = components(links(classes, radius))
     named = classes.join(found, classes["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     heads = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    # classes alone in their component need no second join
     component = named.join(heads, "root").select("fp", "component_id")
     return fps.join(component, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

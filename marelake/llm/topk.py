@@ -27,9 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_schema, store, to_numpy
-from pyspark.sql import types as T
 
 #: queries of one block, and vectors scored at once
 QUERIES, ROWS = 4096, 1024
@@ -134,7 +134,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64,
 def _blocks(asked: DataFrame, block: int, dim: int, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of at most ``block`` queries; the driver holds one at a time."""
     n = -(-asked.count() // block)
-    cuts = asked.approxQuantile("vec_id", [i / n for i in range(1, n)], 0.001) if n > 1 else []
+    # the error is a tenth of a block, so a block stays bounded whatever the number of queries
+    cuts = asked.approxQuantile("vec_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
     ends = sorted({int(c) for c in cuts})
     for low, high in zip([None, *ends], [*ends, None], strict=True):
         part = asked
