@@ -53,7 +53,7 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Minutes from start to end; NULL when either is missing (sentinels count as missing)."""
     unknown = F.lit(UNKNOWN_DATE).cast("timestamp")
     a, b = (unsentinel(_col(c).cast("timestamp"), unknown) for c in (start, end))
-    return ((F.unix_timestamp(b) - F.unix_timestamp(a)) / F.lit(60).cast("decimal(4,1)")).cast("decimal(12,2)")
+    return ((F.unix_seconds(b) - F.unix_seconds(a)) / F.lit(60).cast("decimal(4,1)")).cast("decimal(12,2)")
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

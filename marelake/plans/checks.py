@@ -18,8 +18,16 @@ from .specs import BRONZE, SILVER
 OPERATIONS = ("c", "u", "d", "r")
 LOT_STATES = ("g", "a", "d", "e", "r", "c", "ca", "s", "co", "rp", "erv", "i")
 YES_NO = ("S", "N")
+STORED_YES_NO = ("s", "n")
 ALLOWED = {
     ("silver_ap_lote", "ie_status_lote"): LOT_STATES,
+    ("silver_ap_lote_item", "ie_prescrito"): STORED_YES_NO,
+    ("silver_ap_lote_item", "ie_urgente"): STORED_YES_NO,
+    ("silver_prescr_material", "ie_suspenso"): STORED_YES_NO,
+    ("silver_prescr_material", "ie_acm"): STORED_YES_NO,
+    ("silver_material", "ie_situacao"): ("a", "i"),
+    ("silver_material", "ie_tipo_material"): ("0", "1", "2", "3", "4", "5", "6", "i"),
+    ("silver_movimento_estoque_valor", "cd_tipo_valor"): ("1", "2", "4", "5", "6", "7"),
     ("prescricao", "ie_status_liberacao_farmacia"): (
         "liberada_farmacia", "pendente_liberacao_farmacia", "sem_medicamento",
     ),
@@ -82,6 +90,18 @@ FACT_LINKS = {
     "sk_medicamento": ("gold_dim_medicamento", "sk_medicamento"),
 }
 
+# business key of a fact: filled, and one row each
+FACT_KEYS = {
+    "gold_fct_sla_dispensacao": "nk_lote", "gold_fct_cancelamento_lote": "nk_lote",
+    "gold_fct_volume_dispensacao": "nk_item_dispensacao", "gold_fct_cobertura_dispensacao": "nk_prescricao",
+    "gold_fct_prescricao_medicamento": "nk_prescricao", "gold_fct_erro_prescricao": "nk_erro",
+    "gold_fct_analise_farmaceutica": "nk_analise", "gold_fct_consumo_atendimento": "nk_consumo",
+    "gold_fct_dispensacao_estoque": "nk_movimento_estoque",
+}
+# filled in every row of the fact; a placeholder date has no calendar day
+FACT_FILLED = ("nk_sequencia_procedimento",)
+PLACEHOLDER_DAY = {"fct_producao_medica": ("dt_procedimento_raw", "dt_procedimento_raw <> DATE'1900-01-01'")}
+
 
 def key_checks(model: str, keys: tuple[str, ...]) -> list[Check]:
     """Key columns are filled; a single key column is unique."""
@@ -128,12 +148,21 @@ def gold_checks(columns: dict[str, list[str]]) -> list[Check]:
     for name in DIMENSIONS:
         own = "sk_" + name.removeprefix("gold_").removeprefix("dim_")
         checks += key_checks(name, (own,)) + key_checks(name, ("nk_" + own[3:],))
+        checks.append(Check(name, "_gold_loaded_at", "not_null"))
     for name, (_, key, _) in FACTS.items():
         checks += key_checks(name, (key,)) + code_checks(name)
+        checks.append(Check(name, "_gold_loaded_at", "not_null"))
+        if FACT_KEYS.get(name) in columns.get(name, []):
+            checks += key_checks(name, (FACT_KEYS[name],))
         for column in columns.get(name, []):
+            if column in FACT_FILLED or column.startswith("ie_nivel_alerta"):
+                checks.append(Check(name, column, "not_null"))
             if column in FACT_LINKS:
                 dim, field = FACT_LINKS[column]
-                checks.append(Check(name, column, "relationships", to=dim, field=field))
-                if dim != "dim_tempo":  # a missing date has no calendar day
+                day = dim == "dim_tempo"
+                checks.append(Check(name, column, "relationships", to=dim, field=field, where=f"{column} IS NOT NULL" if day else None))
+                if not day:
                     checks.append(Check(name, column, "not_null"))
+                elif PLACEHOLDER_DAY.get(name, ("",))[0] in columns[name]:
+                    checks.append(Check(name, column, "not_null", where=PLACEHOLDER_DAY[name][1]))
     return checks

@@ -25,6 +25,9 @@ RECOMMENDED_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# folders handed out by ``shared_dir``
+_WRITTEN: list[str] = []
+
 
 def build_session(app: str = "marelake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; ``conf`` wins over them."""
@@ -48,4 +51,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
-    return os.path.join(base, "marelake", f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.append(os.path.join(base, "marelake", f"{name}-{uuid.uuid4().hex}"))
+    return _WRITTEN[-1]
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this session; results that still read them must have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _WRITTEN:
+        p = path(_WRITTEN.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -152,7 +152,8 @@ REPEATED_KEYS = [
     ("movimento_estoque", "nr_movimento_estoque"), ("consumo_material", "nr_seq_consumo"),
     ("fct_producao_medica", "sk_producao"), ("gold_fct_volume_dispensacao", "sk_volume_dispensacao"),
     ("gold_fct_consumo_atendimento", "sk_consumo_atendimento"),
-    ("gold_fct_dispensacao_estoque", "sk_dispensacao_estoque"),
+    ("gold_fct_dispensacao_estoque", "sk_dispensacao_estoque"), ("gold_fct_volume_dispensacao", "nk_item_dispensacao"),
+    ("gold_fct_consumo_atendimento", "nk_consumo"), ("gold_fct_dispensacao_estoque", "nk_movimento_estoque"),
 ]
 
 
