@@ -10,8 +10,9 @@ Only few windows can repeat, so the suffix sort sees a reduced text that loses n
    that a third of all texts hold costs a row per task;
 3. anchors with several different contexts are dealt into shards by hash.  A shard's contexts are put in suffix order
    by external induced sorting (``induced``), and windows whose neighbour in that order shares ``WINDOW`` bytes are
-   repeated.  Anchors with more than ``hot`` contexts are dealt over several shards; their windows are also compared
-   across these shards by hash;
+   repeated.  The windows of an anchor with more than ``hot`` contexts are compared from coarse to fine instead, so
+   that no task holds its group: stretches of 16 windows that are equal as a whole, then, only where the bytes common
+   to a stretch occur in different stretches, single windows by hash;
 4. repeated windows return to their texts and the union of their bytes is cut.
 
 Exact copies of a text are one text in all steps; with two or more of them, all of their bytes go.
@@ -43,7 +44,11 @@ ROWS = "doc_id long, row_key long, t1 long, t2 long, sha string, n_bytes long"
 #: ``at`` is the first window of a run, shifted by 8 bits, and how many windows follow it
 ANCHORS = "row_key long, h long, at long"
 CONTEXTS = "row_key long, at long, h long, c1 long, c2 long, bytes binary"
-FOUND = "c1 long, c2 long, a int, b int, w1 long, w2 long, salt int"
+FOUND = "c1 long, c2 long, a int, b int"
+#: a stretch of windows of a context: the hash of the bytes all of them share, and of the whole stretch
+STRETCHES = "c1 long, c2 long, a int, b int, k1 long, k2 long, f1 long, f2 long, bytes binary"
+SINGLE = "c1 long, c2 long, a int, w1 long, w2 long"
+STEP = 16
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -194,27 +199,64 @@ def _shard(memory: int):
     schema = arrow_schema(T._parse_datatype_string(FOUND))
 
     def search(group: pa.Table) -> pa.Table:
-        from xxhash import xxh3_128_digest
-
         by_id, anchors = {}, Counter()
-        for h, a, b, c, n, s in zip(*(group.column(x).to_pylist() for x in ("h", "c1", "c2", "bytes", "salts", "salt")), strict=True):
+        for h, a, b, c in zip(*(group.column(x).to_pylist() for x in ("h", "c1", "c2", "bytes")), strict=True):
             anchors[h] += (a, b) not in by_id
-            by_id[a, b] = (h, c, n, s)
+            by_id[a, b] = (h, c)
         # an anchor with one context only has no other window to be compared with
-        by_id = {k: x for k, x in by_id.items() if anchors[x[0]] > 1 or x[2] > 1}
-        rows: list[tuple] = []
-        if len(by_id) > 1:
-            for (c1, c2), stretches in zip(by_id, repeated_windows([c for _, c, *_ in by_id.values()], memory), strict=True):
-                rows += [(c1, c2, a, b, None, None, None) for a, b in stretches]
-        for (c1, c2), (_, context, salts, salt) in by_id.items():
-            if salts > 1:
-                rows += [(c1, c2, a, a, *_halves(xxh3_128_digest(context[a : a + WINDOW])), salt) for a in range(len(context) - WINDOW + 1)]
+        by_id = {k: x for k, x in by_id.items() if anchors[x[0]] > 1}
+        rows = []
+        if by_id:
+            found = repeated_windows([c for _, c in by_id.values()], memory)
+            rows = [(*k, a, b) for k, stretches in zip(by_id, found, strict=True) for a, b in stretches]
         columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return search
 
 
+def _stretches(batch):
+    """Contexts of heavy anchors cut where a window's distance to its anchor passes a multiple of ``STEP``."""
+    from xxhash import xxh3_128_digest
+
+    out: dict[str, list] = {f: [] for f in ("c1", "c2", "a", "b", "k1", "k2", "f1", "f2", "bytes")}
+    for h, c1, c2, context in zip(*(batch.column(x).to_pylist() for x in ("h", "c1", "c2", "bytes")), strict=True):
+        last = len(context) - WINDOW
+        # no earlier gram of a context has the hash of its anchor
+        anchor = int(np.flatnonzero(gram_hashes(np.frombuffer(context, np.uint8)) == np.uint64(h % 2**64))[0])
+        a = 0
+        while a <= last:
+            level = (anchor - a) // STEP
+            b = min(last, anchor - level * STEP)
+            whole, tag = context[a : b + WINDOW], b"%d %d " % (h, level)
+            # what every window of the level holds, also where the context has only some of them
+            core = context[anchor - level * STEP : anchor - (level + 1) * STEP + 1 + WINDOW]
+            for name, value in zip(out, (c1, c2, a, b, *_halves(xxh3_128_digest(tag + core)), *_halves(xxh3_128_digest(tag + whole)), whole), strict=True):
+                out[name].append(value)
+            a = b + 1
+    return out
+
+
+def _single(batch):
+    from xxhash import xxh3_128_digest
+
+    rows = [(c1, c2, a + i, *_halves(xxh3_128_digest(whole[i : i + WINDOW]))) for c1, c2, a, whole in zip(*(batch.column(x).to_pylist() for x in ("c1", "c2", "a", "bytes")), strict=True) for i in range(len(whole) - WINDOW + 1)]
+    return dict(zip(("c1", "c2", "a", "w1", "w2"), zip(*rows, strict=True), strict=True)) if rows else None
+
+
+def _coarse_to_fine(sent: DataFrame) -> DataFrame:
+    """Repeated windows among the contexts of heavy anchors, by grouping hashes; (c1, c2, a, b)."""
+    cut = store(arrow_map(sent.select("h", "c1", "c2", "bytes").dropDuplicates(["c1", "c2"]), _stretches, STRETCHES), "stretches")
+    whole = cut.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f1", "f2")
+    equal = cut.join(whole, ["f1", "f2"]).select("c1", "c2", "a", "b")
+    mixed = cut.groupBy("k1", "k2").agg(F.min("f1").alias("least"), F.max("f1").alias("most")).where("least <> most").select("k1", "k2")
+    # equal stretches are one: their windows are found with it, and a stretch that is equal as a whole is done
+    open_ = cut.select("c1", "c2", "a", "f1", "f2", "k1", "k2", "bytes").join(mixed, ["k1", "k2"])
+    single = store(arrow_map(open_.select("c1", "c2", "a", "bytes"), _single, SINGLE), "single_windows")
+    again = single.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    return equal.unionAll(single.join(again, ["w1", "w2"]).select("c1", "c2", "a", F.col("a").alias("b")))
+
+
 def _cut(batch):
     import zstandard
 
@@ -268,19 +310,15 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = 3_000_000, hot: int = 8_0
     sent = contexts.where("bytes IS NOT NULL").select("h", "c1", "c2", "bytes")
     total = sent.agg(F.sum(F.length("bytes"))).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
-    heavy = store(sent.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("h", F.ceil(F.col("n") / hot).cast("int").alias("salts")), "heavy")
-    if heavy.limit(1).count():
-        sent = sent.join(heavy, "h", "left").fillna(1, ["salts"])
-    else:
-        sent = sent.withColumn("salts", F.lit(1))
-    # a shard is a bounded piece of the contexts, and a heavy anchor's shares are shards of their own
-    alone = F.col("salts") > 1
-    dealt = sent.select(
-        "*", alone.alias("alone"), F.when(alone, F.pmod("c1", F.col("salts"))).otherwise(0).cast("int").alias("salt"),
-        F.when(alone, F.col("h")).otherwise(F.pmod("h", F.lit(n_shards))).alias("shard"))
-    same = store(dealt.groupBy("alone", "shard", "salt").applyInArrow(_shard(memory), FOUND), "windows")
-    across = same.where("salt IS NOT NULL").groupBy("w1", "w2").agg(F.min("salt").alias("x"), F.max("salt").alias("y")).where("x <> y").select("w1", "w2")
-    stretches = same.where("salt IS NULL").select("c1", "c2", "a", "b").unionAll(same.where("salt IS NOT NULL").join(across, ["w1", "w2"]).select("c1", "c2", "a", "b"))
+    heavy = store(sent.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("h"), "heavy")
+    some = heavy.limit(1).count()
+    light = sent.join(heavy, "h", "left_anti") if some else sent
+    # a shard is a bounded piece of the contexts
+    dealt = light.withColumn("shard", F.pmod("h", F.lit(n_shards)))
+    stretches = dealt.groupBy("shard").applyInArrow(_shard(memory), FOUND)
+    if some:
+        stretches = stretches.unionAll(_coarse_to_fine(sent.join(heavy, "h", "left_semi")))
+    stretches = store(stretches, "windows")
     hits = contexts.select("row_key", "at", "c1", "c2").join(twice.unionAll(stretches), ["c1", "c2"])
     lo, hi = F.shiftright("at", 8), F.shiftright("at", 8) + F.col("at").bitwiseAND(255)
     spans = hits.groupBy("row_key").agg(F.collect_list(F.struct((lo + F.col("a")).alias("a"), F.least(lo + F.col("b"), hi).alias("b"))).alias("spans"))
