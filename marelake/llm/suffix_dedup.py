@@ -303,7 +303,8 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = 3_000_000, hot: int = 8_0
     texts = store(texts, "classes")
     bodies = _bodies(texts, keyed)
     each = bodies.mapInArrow(_anchors(), ANCHORS)
-    repeated = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written, so that both sides of the join are plain shuffles, whose hot keys AQE can split
+    repeated = store(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated")
     wanted = each.join(repeated, "h").groupBy("row_key").agg(F.collect_list(F.struct("h", "at")).alias("anchors"))
     contexts = store(bodies.join(wanted, "row_key").select("row_key", "packed", "anchors").mapInArrow(_contexts(), CONTEXTS), "contexts")
     twice = contexts.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2", F.lit(0).alias("a"), F.lit(255).alias("b"))
