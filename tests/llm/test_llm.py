@@ -346,6 +346,20 @@ def test_pii_adds_what_looks_alike(spark):
     assert all(len(got[i]) == 1 for i in range(1, 400, 2))
 
 
+@pytest.mark.parametrize("copies", [1, 300])
+def test_pii_adds_forms_without_a_base_span(spark, copies):
+    """At the production precision, and whatever the number of rows."""
+    added = [
+        "please write to jane.doe (at) example (dot) com today", "my mail is jane [at] example.org, thanks", "please call 0049 30 12345678 now", "Telefon 0171/1234567 abends",
+        "my visa card 4111.1111.1111.1111 is lost", "card 4111 / 1111 / 1111 / 1111 here", "please call (743) 555-3824 now", "server fe80::1ff:fe23:4567:890a is up",
+    ]
+    none = ["contact us at example.com for more", "order 4111.1111.1111.1112 shipped", "item 123456789 in stock", "isbn 978-3-16-148410-0 sold", "on 2024-05-12 1030 people at home. Then", "version 10.12.20345 is out"]
+    rows = [(i, t) for i, t in enumerate((added + none) * copies)]
+    for x in pii.find(frame(spark, rows)).collect():
+        n = x["doc_id"] % (len(added) + len(none))
+        assert len(x["spans"]) == (n < len(added)), (rows[n], x["spans"])
+
+
 # language
 
 
