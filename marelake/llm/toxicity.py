@@ -46,6 +46,8 @@ WINDOW = 8
 #: different words (of 63 classes) that a term must follow: near copies of one text repeat their context
 #: at least the first number, and half of its texts up to the second
 CONTEXTS = 5, 16
+#: times the rate of the clean texts that a term's rate among toxic texts must reach
+STANDS_OUT = 25
 
 
 class Lexicon:
@@ -143,8 +145,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
     return documents(docs).join(F.broadcast(picked.limit(2 * max_labelled)), "doc_id")
 
 
-def _mine(labelled: DataFrame, lengths: range, least: int) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
-    """Document counts (clean, toxic) of words and of word beginnings that toxic texts hold often enough."""
+def _mine(labelled: DataFrame, lengths: range, least: int, n_clean: int, n_toxic: int) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
+    """Document counts (clean, toxic) of words and of word beginnings that toxic texts hold often enough.
+
+    Rates are evened for the classes' sizes.  ``choose_terms`` compares a term that stands out with terms that hold
+    at least 0.9 of its toxic texts and no clean text more, so nothing below 0.9 of the factor is looked at.
+    """
 
     def count(batch):
         counts: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0, 0])
@@ -170,7 +176,8 @@ def _mine(labelled: DataFrame, lengths: range, least: int) -> tuple[dict[str, li
 
     parts = arrow_map(labelled.select("text", "toxic"), count, "term string, whole boolean, clean long, toxic long, follows long")
     sums = parts.groupBy("term", "whole").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.expr("bit_count(bit_or(follows))").alias("contexts"))
-    rows = sums.where((F.col("toxic") >= least) & (F.col("toxic") > 4 * F.col("clean")) & (F.col("contexts") >= F.greatest(F.lit(CONTEXTS[0]), F.least(F.lit(CONTEXTS[1]), F.col("toxic") / 2)))).collect()
+    even = (F.col("toxic") + 0.5) / (n_toxic + 1) >= 0.9 * STANDS_OUT * (F.col("clean") + 0.5) / (n_clean + 1)
+    rows = sums.where((F.col("toxic") >= least) & even & (F.col("contexts") >= F.greatest(F.lit(CONTEXTS[0]), F.least(F.lit(CONTEXTS[1]), F.col("toxic") / 2)))).collect()
     return tuple({r["term"]: [r["clean"], r["toxic"]] for r in rows if r["whole"] is whole} for whole in (True, False))
 
 
@@ -182,27 +189,33 @@ def choose_terms(words: dict, stems: dict, n_clean: int, n_toxic: int, lengths:
     """
 
     def good(clean: int, toxic: int) -> bool:
-        return (toxic + 0.5) / (n_toxic + 1) >= 25 * (clean + 0.5) / (n_clean + 1)
-
+        return (toxic + 0.5) / (n_toxic + 1) >= STANDS_OUT * (clean + 0.5) / (n_clean + 1)
+
+    longer_stems, own_words = defaultdict(list), defaultdict(list)
+    for s in stems:
+        longer_stems[s[:-1]].append(s)
+    for w in words:
+        for n in lengths:
+            if len(w) >= n:
+                own_words[w[:n]].append(w)
     chosen: dict[str, bool] = {}
     for stem in sorted((s for s, n in stems.items() if good(*n)), key=len):
         if any(stem.startswith(stem[:n]) and stem[:n] in chosen for n in lengths if n < len(stem)):
             continue
         long = stem
         while True:
-            longer = [s for s in stems if len(s) == len(long) + 1 and s.startswith(long) and stems[s][1] >= 0.97 * stems[stem][1]]
+            longer = [s for s in longer_stems[long] if stems[s][1] >= 0.97 * stems[stem][1]]
             if not longer:
                 break
             long = longer[0]
-        own = [w for w in words if w.startswith(stem)]
-        main = max(own, key=lambda w: words[w][1], default=None)
+        main = max(own_words[stem], key=lambda w: words[w][1], default=None)
         if main and words[main][1] >= 0.9 * stems[stem][1]:
             chosen[main] = True
         else:
             chosen[long] = False
-    covered = [t for t, whole in chosen.items() if not whole]
+    covered = {t for t, whole in chosen.items() if not whole}
     for word, n in words.items():
-        if word not in chosen and len(word) >= 4 and good(*n) and not any(word.startswith(t) for t in covered):
+        if word not in chosen and len(word) >= 4 and good(*n) and not any(word[:n] in covered for n in lengths):
             chosen[word] = True
     return sorted(chosen.items())
 
@@ -282,11 +295,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, pull: flo
     return beta
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 16_000, least: int = 5, share: float = 0.01) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 16_000, least: int = 5) -> Model:
     """Lexicon, weights and score from labelled rows.
 
-    A term stands in at least ``least`` toxic texts of the sample and in ``share`` of them; of exact copies with
-    one label a single text counts.
+    A term stands in at least ``least`` toxic texts of the sample, however large that is, so that a language with few
+    of the labels has terms too; of exact copies with one label a single text counts.
     """
     rates = labels.where("toxic IN (0, 1)").agg(F.avg("toxic")).first()[0]
     labelled = store(labelled_sample(docs, labels, max_labelled).dropDuplicates(["text", "toxic"]), "labelled")
@@ -294,7 +307,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 16_000, least: i
     if not n[0] or not n[1]:
         return Model([], {}, None, float(rates or 0.0))
     lengths = range(4, 9)
-    terms = choose_terms(*_mine(labelled, lengths, max(least, math.ceil(share * n[1]))), n[0], n[1], lengths)
+    terms = choose_terms(*_mine(labelled, lengths, least, n[0], n[1]), n[0], n[1], lengths)
     lexicon = Lexicon(terms)
 
     def hits(batch):

@@ -305,6 +305,26 @@ def test_toxicity(spark, odd_rows, empty):
     assert not toxicity.train_and_score(empty, known).collect()
 
 
+def test_lexicon_keeps_rare_terms_of_a_large_sample(spark):
+    """Terms of a language with under 1 % of the toxic texts, and terms that clean texts quote when toxic labels are few."""
+    r, rows, marks = random.Random(5), [], []
+    for i in range(5200):
+        toxic = i < 2000
+        word = ("grobian" if i < 15 else "scumbag") if toxic else "neighbour"
+        rows.append((i, f"{prose(r, 6)} {word} {prose(r, 6)} {i}"))
+        marks.append((i, 1, int(toxic)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    assert any("grobian".startswith(t) for t, _ in model.terms) and any("scumbag".startswith(t) for t, _ in model.terms)
+    rows, marks = [], []
+    for i in range(3300):
+        word = "scumbag" if i < 250 else "wretch" if i < 300 else "wretch" if i < 313 else "neighbour"
+        rows.append((i, f"{prose(r, 6)} {word} {prose(r, 6)} {i}"))
+        marks.append((i, 1, int(i < 300)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    assert any("wretch".startswith(t) for t, _ in model.terms)
+
+
+
 # personal data
 
 
