@@ -9,7 +9,8 @@ emits its rows undecided, with its three largest documents, and a join with at m
 
 The result is one compressed bitmap per document that loses lines, not text.  ``apply`` puts it to a text.
 
-Defined results: null text is one empty line; a document without ``doc_id`` keeps all its lines and counts for no
+Defined results: null text is one empty line; very long texts are split where they are read and only 28 bytes a line
+go on; a line that one document repeats is one document's line, and keeps all its copies in the largest document; a document without ``doc_id`` keeps all its lines and counts for no
 line; rows that repeat a ``doc_id`` count as one document; an empty table gives an empty result; other columns pass
 through ``apply`` unless they are named like its results.
 """
@@ -70,7 +71,7 @@ class _Held:
     def decided(self, rows: np.ndarray) -> np.ndarray:
         """Of whole hashes, the rows to drop: not of the first document, where enough documents hold the line."""
         if not len(rows):
-            return rows
+            return np.empty((0, 5), np.int64)
         new_hash = np.append(True, (np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0))
         document = np.cumsum(new_hash | np.append(True, np.diff(rows[:, 2]) != 0))
         first = np.flatnonzero(new_hash)

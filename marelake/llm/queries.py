@@ -126,3 +126,19 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, d, "documents"))
     digest = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
+
+
+@query("op12_warc", r"""
+  WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+  d AS (SELECT page_id, html, CAST(strlen(html) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY html) AS first,
+    [CAST(concat('0x', substring(sha1(html), 2 * i + 1, 2)) AS BIGINT) FOR i IN range(20)] AS b FROM p)
+  SELECT page_id, payload_bytes,
+    array_to_string([substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (((b[5 * i // 8 + 1] << 8)
+      + coalesce(b[5 * i // 8 + 2], 0)) >> (11 - 5 * i % 8)) % 32 AS BIGINT), 1) FOR i IN range(32)], '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+  FROM d""")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    from . import warc
+
+    return warc.archive_pages(table(spark, d, "pages"))
