@@ -99,7 +99,7 @@ OLD_1 = (
 )
 OLD_2 = (
     b"filedesc://two.arc 0.0.0.0 19970101000000 text/plain 200 - - 0 two.arc 9\n2 0 Other"
-    + b"\nhttp://w/ 10.0.0.4 19970102030405 text/html 302 ABC http://new place/ 77 two.arc 24\nHTTP/1.0 302 Found\r\n\r\nabc"
+    + b"\nhttp://w/ 10.0.0.4 19970102030405 text/html 302 ABC http://new place/ 77 two.arc 25\nHTTP/1.0 302 Found\r\n\r\nabc"
     + b"\nhttp://v/ 10.0.0.4 19970102030405 text/html - - - - two.arc 22\nHTTP/1.0 200 OK\r\n\r\nxyz"
 )
 
