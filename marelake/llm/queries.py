@@ -142,3 +142,23 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
     from . import warc
 
     return warc.archive_pages(table(spark, d, "pages"))
+
+
+@query("op13_lexical_search", r"""
+  WITH f AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents WHERE text IS NOT NULL),
+  d AS (SELECT row, doc_id, words, CAST(len(words) AS BIGINT) AS n FROM f WHERE len(words) > 0),
+  whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+  tf AS (SELECT row, word, count(*) AS tf FROM (SELECT row, unnest(words) AS word FROM d) GROUP BY row, word),
+  item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+  w AS (SELECT word, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY word, n_docs),
+  s AS (SELECT item_id, tf.row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS score
+    FROM item JOIN tf ON tf.word = item.word JOIN w ON w.word = item.word JOIN d ON d.row = tf.row, whole GROUP BY item_id, tf.row),
+  r AS (SELECT item_id, d.doc_id, s.score, row_number() OVER (PARTITION BY item_id ORDER BY s.score DESC, d.doc_id NULLS LAST) AS rank
+    FROM s JOIN d ON d.row = s.row WHERE s.score > 0)
+  SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10""")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    from . import lexical
+
+    return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
