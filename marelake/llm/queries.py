@@ -162,3 +162,32 @@ def op13(spark: SparkSession, d: str) -> DataFrame:
     from . import lexical
 
     return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op11_conversation_trie", r"""
+  WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(length(coalesce(role, '')), ':', role, text))) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+  c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce([(ascii(substring(CAST(conv_id AS VARCHAR), CAST(1 + i // 8 AS BIGINT), 1)) >> CAST(i % 8 AS INT)) & 1
+        FOR i IN range(8 * length(CAST(conv_id AS VARCHAR)))], lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1)), 4294967295), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM o)),
+  s AS (SELECT c.conv_id, 0 AS part, o.pos, role, text FROM c JOIN o ON o.conv_id = c.base WHERE pos < h
+    UNION ALL SELECT c.conv_id, 1, o.pos, role, text FROM c JOIN o ON o.conv_id = c.conv_id WHERE pos >= h),
+  t AS (SELECT conv_id, row_number() OVER w AS depth, md5(CAST(list({'role': role, 'text': text}) OVER w AS VARCHAR)) AS node,
+      CAST(len(regexp_extract_all(text, '[^ 	
+]+')) AS BIGINT) AS words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+  p AS (SELECT conv_id, depth, node, words, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS up FROM t
+    UNION ALL SELECT conv_id, 0, '', 0, NULL FROM c),
+  q AS (SELECT conv_id, depth, node, words, CASE WHEN depth = 1 THEN '' ELSE up END AS up, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+  n AS (SELECT node, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words, min(up) AS up,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM q GROUP BY node),
+  k AS (SELECT up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+  below AS (SELECT q.node, count(*) FILTER (k.up IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+    FROM n JOIN q ON q.conv_id = n.conv_id AND q.depth <= n.depth LEFT JOIN k ON k.up = n.node GROUP BY q.node)
+  SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+  FROM n JOIN below b ON b.node = n.node LEFT JOIN k ON k.up = n.node LEFT JOIN n m ON n.depth > 0 AND m.node = n.up""")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    from . import conversation_trie
+
+    return conversation_trie.trie(table(spark, d, "conversations"))
