@@ -292,6 +292,27 @@ def q13(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("q13_history_by_loads", f"""
+  WITH v AS (SELECT user_id AS nr_usuario, event_type, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS nxt FROM events)
+  SELECT nr_usuario, event_type, strftime(ts, {P.INSTANT}) AS valid_from, strftime(nxt, {P.INSTANT}) AS valid_to,
+         nxt IS NULL AS is_current, md5(concat(nr_usuario, '-', CAST(epoch_us(ts) AS VARCHAR))) AS sk_version
+  FROM v""")
+def q13_loads(spark: SparkSession, d: str) -> DataFrame:
+    """The history of q13 kept up by three loads: a late third splits what is stored, and a replay changes nothing."""
+    events = S.table(spark, d, "events")
+    versions = events.select("event_id", F.col("user_id").alias("nr_usuario"), "event_type", F.col("ts").cast("timestamp").alias("at"))
+    path = shared_dir(spark, "history")
+    late = F.col("event_id") % 3 == 0
+    for part in (versions.where(~late), versions.where(late), versions.where(F.col("event_id") % 5 == 0)):
+        table = op.load_history(spark, path, part.drop("event_id"), ["nr_usuario"], "at", buckets=8)
+    return plain(
+        table.read().select(
+            "nr_usuario", "event_type", F.col("_valid_from").alias("valid_from"), F.col("_valid_to").alias("valid_to"),
+            F.col("_is_current").alias("is_current"), "sk_version",
+        )
+    )
+
+
 # -- column functions ---------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 from .audit import bronze_audit, context_audit, gold_audit, silver_audit  # noqa: F401
 from .compaction import compact_hour, compact_topics, compaction_plan, file_health, first_keys, latest_files  # noqa: F401
 from .current import drop_deleted, latest_per_key  # noqa: F401
-from .history import version_history  # noqa: F401
+from .history import history_changes, load_history, version_history  # noqa: F401
 from .joins import frequent_keys, lookup_join  # noqa: F401
 from .measures import monthly_measures, reaggregate  # noqa: F401
 from .merge import (  # noqa: F401
@@ -11,6 +11,7 @@ from .merge import (  # noqa: F401
     append_new_columns,
     delete_tombstones,
     merge_into,
+    supports_merge,
     sync_all_columns,
     upsert,
 )

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .current import drop_deleted, latest_per_key
 
 # What decides which version of a row is newer, and what is set once.
 EVENT_ORDER = ("_cdc_ts_ms", "_cdc_txid")
 SET_ONCE = ("_silver_processed_at",)
+# Table formats with row-level operations.
+MERGE_PROVIDERS = ("iceberg", "delta")
 
 
 def append_new_columns(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -86,17 +85,23 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str], set_once: Seq
     s.mergeInto(table, same).whenMatched(newer).update(changed).whenNotMatched().insertAll().merge()
 
 
+def supports_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog's table takes ``MERGE INTO``."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    return described is not None and described.data_type.lower() in MERGE_PROVIDERS
+
+
 class KeyedTable:
-    """Current-state table on plain Parquet, for catalogs without ``MERGE INTO``.
-
-    Rows are spread over key buckets.  A merge reads and rewrites only the buckets
-    its keys fall in, into a new ``gen=<n>`` folder, and then commits by one small
-    file, ``_commits/<n>``.  It holds the folder of every bucket, the bucket number,
-    the keys with their types, and the mark the load has consumed, so all of them
-    change at once; a reader opens the newest commit and nothing else.  What a reader
-    may be using is never overwritten, and a lost run leaves the table as it was.
-    Deleted keys stay as flagged rows, so an older event that arrives after the
-    delete cannot bring the key back.
+    """``upsert`` on plain Parquet, for catalogs without ``MERGE INTO``: key buckets and Spark's partition overwrite.
+
+    Rows lie in one folder per bucket of ``bucket_by`` (by default the keys).  A merge reads the buckets its keys fall
+    in, upserts, and overwrites those partitions alone (``partitionOverwriteMode=dynamic``).  Deleted keys stay as
+    flagged rows, so an older event that arrives after the delete cannot bring the key back.
+
+    Not atomic: when the job commits, Spark puts the new files of one bucket after the other in place, so a reader in
+    between sees some buckets before and some after the merge, and a run that is lost there leaves it so.  Running the
+    same batch again completes it, as an upsert compares event order and counts nothing.  One writer at a time.  Where
+    readers need snapshots use a table that takes ``merge_into``.
     """
 
     def __init__(
@@ -109,150 +114,102 @@ class KeyedTable:
         set_once: Sequence[str] = SET_ONCE,
         sync_columns: bool = False,
         tasks_per_bucket: int = 1,
+        bucket_by: Sequence[str] = (),
     ):
         """``sync_columns`` lets a merge drop columns its source lacks (facts); else columns are only added.
 
-        ``tasks_per_bucket`` splits the rows of a bucket by key over several tasks and files.  A table that was
-        written with other keys or another number of buckets is refused.
+        ``tasks_per_bucket`` splits the rows of a bucket by key over several tasks and files.
         """
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.buckets, self.order, self.set_once, self.sync_columns = buckets, order, set_once, sync_columns
-        self.tasks_per_bucket = tasks_per_bucket
-        self._commit()
-
-    # -- folders -----------------------------------------------------------------
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _list(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-
-    def _commits(self) -> list[int]:
-        return sorted(int(n) for n in self._list(f"{self.path}/_commits") if n.isdigit())
-
-    def _commit(self, number: int | None = None) -> dict:
-        """A commit, by default the newest; an empty one for a table that is not there yet."""
-        found = self._commits()
-        if not found:
-            return {"generation": 0, "live": {}, "types": {}, "mark": None}
-        fs, p = self._fs(f"{self.path}/_commits/{number or found[-1]:012d}")
-        stream = fs.open(p)
-        try:
-            commit = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-        for name in ("keys", "buckets"):
-            if commit[name] != getattr(self, name):
-                raise ValueError(f"{self.path} was written with {name}={commit[name]}, not {getattr(self, name)}")
-        return commit
-
-    def _write_commit(self, commit: dict) -> None:
-        """Complete or not at all, and never over another writer's commit of the same number."""
-        name = f"{commit['generation']:012d}"
-        fs, staged = self._fs(f"{self.path}/_commits/.{name}-{uuid.uuid4().hex}")
-        stream = fs.create(staged)
-        try:
-            stream.write(bytearray(json.dumps(commit).encode()))
-        finally:
-            stream.close()
-        _, final = self._fs(f"{self.path}/_commits/{name}")
-        if fs.exists(final) or not fs.rename(staged, final):
-            fs.delete(staged, False)
-            raise RuntimeError(f"{self.path}: another writer has committed generation {commit['generation']}")
-
-    # -- reading -----------------------------------------------------------------
-    def _folders(self, commit: dict, buckets: Sequence[int] | None = None) -> list[str]:
-        live = {int(b): g for b, g in commit["live"].items()}
-        return [f"{self.path}/gen={live[b]}/kb={b}" for b in (live if buckets is None else buckets) if b in live]
-
-    def _schema(self, commit: dict) -> StructType:
-        """Columns of the table, which every merge carries on."""
-        return StructType.fromJson(commit["schema"])
+        self.tasks_per_bucket, self.bucket_by = tasks_per_bucket, list(bucket_by or keys)
+        #: the partition column names what it was made from, so a table that was written otherwise is noticed
+        self.bucket = f"kb_{buckets}_" + "_".join(self.bucket_by)
+        self._stored()
+
+    def _folders(self, pattern: str) -> list[str]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.globStatus(path(f"{self.path}/{pattern}")) or []]
+
+    def _stored(self) -> DataFrame | None:
+        """All rows with the columns of every bucket, which a merge elsewhere need not have."""
+        found = self._folders("kb_*=*")
+        other = {n.split("=")[0] for n in found} - {self.bucket}
+        if other:
+            raise ValueError(f"{self.path} was written with {sorted(other)}, not {self.bucket}")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path) if found else None
 
     def read(self, with_deleted: bool = False) -> DataFrame | None:
-        commit = self._commit()
-        if not commit["live"]:
+        rows = self._stored()
+        if rows is None:
             return None
-        rows = self.spark.read.schema(self._schema(commit)).parquet(*self._folders(commit))
+        rows = rows.drop(self.bucket)
         return rows if with_deleted or "_is_deleted" not in rows.columns else drop_deleted(rows)
 
-    def consumed(self) -> str | None:
-        """The mark that the last merge committed with its rows."""
-        return self._commit()["mark"]
+    def _fitted(self, df: DataFrame, stored: DataFrame) -> DataFrame:
+        """Columns in their stored types: a bucket is a hash, and hashes differ between types.  What does not fit fails."""
+        types, names = dict(stored.dtypes), dict(df.dtypes)
 
-    # -- writing -----------------------------------------------------------------
-    def _typed(self, df: DataFrame, types: dict[str, str]) -> DataFrame:
-        """Keys in the table's types: a bucket is a hash, and hashes differ between types.  A key that does not fit fails."""
+        def fit(c: str):
+            bad = F.concat(F.lit(f"{c} does not fit {types[c]}: "), F.col(c).cast("string"))
+            return F.coalesce(F.col(c).try_cast(types[c]), F.when(F.col(c).isNotNull(), F.raise_error(bad)).cast(types[c]))
 
-        def key(k: str):
-            bad = F.concat(F.lit(f"key {k} does not fit {types[k]}: "), F.col(k).cast("string"))
-            return F.coalesce(F.col(k).try_cast(types[k]), F.when(F.col(k).isNotNull(), F.raise_error(bad)).cast(types[k]))
+        return df.withColumns({c: fit(c) for c in names if c in types and types[c] != names[c]})
 
-        other = [k for k in self.keys if k in types and dict(df.dtypes)[k] != types[k]]
-        return df.withColumns({k: key(k) for k in other}) if other else df
+    def _place(self):
+        return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
 
-    def _bucket(self):
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).alias("kb")
+    def _buckets_of(self, df: DataFrame) -> list[int]:
+        """At most ``buckets`` numbers."""
+        return sorted(r[0] for r in df.select(self._place()).distinct().collect())
 
-    def merge(self, source: DataFrame, touched_by: DataFrame | None = None, mark: str | None = None) -> int:
-        """Upsert ``source``; returns the new generation number.
+    def beside(self, batch: DataFrame) -> DataFrame | None:
+        """The stored rows of the buckets a batch falls in: its other folders are not opened."""
+        stored = self._stored()
+        if stored is None:
+            return None
+        keys = self._fitted(batch.select(*self.bucket_by), stored)
+        return stored.where(F.col(self.bucket).isin(self._buckets_of(keys))).drop(self.bucket)
 
-        ``touched_by`` is any cheaper frame with the same keys (the raw batch), used
-        to find the buckets; the answer has at most ``buckets`` numbers.  ``mark`` is
-        committed with the rows; without one the table keeps the mark it has.
+    def merge(self, source: DataFrame, touched_by: DataFrame | None = None) -> list[int]:
+        """Upsert ``source``; returns the buckets that were overwritten.
+
+        ``touched_by`` is any cheaper frame with the same keys (the raw batch), used to find the buckets.
         """
-        commit = self._commit()
-        types = commit["types"] or {k: t for k, t in source.dtypes if k in self.keys}
-        incoming = self._typed(source, types)
-        keys = incoming if touched_by is None else self._typed(touched_by, types)
-        touched = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
-        generation = max([commit["generation"], *(int(n.split("=")[1]) for n in self._list(self.path) if n.startswith("gen="))]) + 1
-        folders = self._folders(commit, touched)
-        if commit["live"] and not self.sync_columns:
-            incoming = append_new_columns(self.spark.createDataFrame([], self._schema(commit)), incoming)
-        split = F.pmod(F.xxhash64(*self.keys), F.lit(self.tasks_per_bucket)).alias("_part")
-        incoming = incoming.withColumns({"kb": self._bucket(), "_part": split})
-        n = max(1, len(touched) * self.tasks_per_bucket)
+        stored = self._stored()
+        incoming = source if stored is None else self._fitted(source, stored)
+        keys = source if touched_by is None else touched_by
+        keys = keys.select(*self.bucket_by) if stored is None else self._fitted(keys.select(*self.bucket_by), stored)
+        touched = self._buckets_of(keys)
+        if not touched:
+            return []
+        if stored is not None:
+            gone = [c for c in stored.columns if c not in source.columns and c != self.bucket]
+            if self.sync_columns and gone:  # a column goes from every bucket
+                stored, touched = stored.drop(*gone), [int(n.split("=")[1]) for n in self._folders("kb_*=*")] + touched
+            stored = stored.where(F.col(self.bucket).isin(touched)).drop(self.bucket)
+        split = F.pmod(F.xxhash64(*self.keys), F.lit(self.tasks_per_bucket))
+
+        def placed(df: DataFrame) -> DataFrame:
+            return df.withColumns({self.bucket: self._place(), "_part": split})
+
         # one shuffle by bucket serves the window and the partitioned write
-        if folders:
-            stored = self.spark.read.schema(self._schema(commit)).parquet(*folders)
-            if self.sync_columns:
-                stored = stored.select(*[c for c in stored.columns if c in source.columns])
-            stored = stored.withColumns({"kb": self._bucket(), "_part": split})
-            merged = upsert(stored, incoming, self.keys, self.order, self.set_once, ["kb", "_part"], n)
+        n = len(set(touched)) * self.tasks_per_bucket
+        if stored is None:
+            merged = placed(incoming).repartition(n, self.bucket, "_part")
         else:
-            merged = incoming.repartition(n, "kb", "_part")
-        merged = merged.drop("_part")
-        # a lost run may have left a folder of this number: it is not in any commit
-        merged.write.mode("error").partitionBy("kb").parquet(f"{self.path}/gen={generation}")
-        schema = StructType([f for f in merged.schema if f.name != "kb"])
-        live = {**commit["live"], **{str(b): generation for b in touched}}
-        self._write_commit({
-            "generation": generation, "live": live, "keys": self.keys, "buckets": self.buckets, "types": types,
-            "schema": json.loads(schema.json()), "mark": mark if mark is not None else commit["mark"],
-        })
-        return generation
-
-    def vacuum(self, keep: int = 2) -> list[str]:
-        """Remove what none of the last ``keep`` commits and the newest one refers to; returns the folders that went.
-
-        Readers that opened the table before then must have finished, and no merge may be running.
-        """
-        commits = self._commits()
-        kept = commits[-(keep + 1) :]
-        used = {f for n in kept for f in self._folders(self._commit(n))}
-        gone = []
-        for name in [n for n in self._list(self.path) if n.startswith("gen=")]:
-            folders = [f"{self.path}/{name}/{n}" for n in self._list(f"{self.path}/{name}") if n.startswith("kb=")]
-            old = [f for f in folders if f not in used]
-            gone += old
-            # a folder nobody refers to goes whole, so the list of generations stays short
-            for f in [f"{self.path}/{name}"] if len(old) == len(folders) else old:
-                fs, p = self._fs(f)
-                fs.delete(p, True)
-        for n in commits[: -(keep + 1)]:
-            fs, p = self._fs(f"{self.path}/_commits/{n:012d}")
-            fs.delete(p, False)
-        return gone
+            merged = upsert(placed(stored), placed(incoming), self.keys, self.order, self.set_once, [self.bucket, "_part"], n)
+        writer = merged.drop("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.bucket).parquet(self.path)
+        return sorted(set(touched))
+
+    def remember(self, mark: int) -> None:
+        """Notes how far the source has been consumed: one row in a side folder, written after the rows it stands for."""
+        self.spark.createDataFrame([(mark,)], "mark bigint").coalesce(1).write.mode("append").parquet(f"{self.path}/_consumed")
+
+    def consumed(self) -> int | None:
+        """The largest mark noted; a run lost between rows and mark is repeated, which changes nothing."""
+        if not self._folders("_consumed/part-*"):
+            return None
+        return self.spark.read.schema("mark bigint").parquet(f"{self.path}/_consumed").agg(F.max("mark")).first()[0]

@@ -24,7 +24,9 @@ from marelake.operators import (
     high_watermark,
     latest_per_key,
     loaded_since,
+    merge_into,
     silver_audit,
+    supports_merge,
     window_start_ms,
 )
 from marelake.sources import conform_change, read_topic, union_topics
@@ -155,21 +157,26 @@ def current_state(batch: DataFrame, spec: SilverSpec, as_of: Column, run_id: str
 
 
 def load_silver(
-    spark: SparkSession, spec: SilverSpec, batch: DataFrame, target: str, as_of: Column, run_id: str, buckets: int = 256
-) -> KeyedTable:
-    """Merge a bronze batch into the silver table at ``target``.
-
-    The batch is the part of the log not consumed yet (``fresh_rows``).  The newest
-    load time it holds is committed with the rows; ``consumed_until`` gives it back
-    to the next run.
+    spark: SparkSession, spec: SilverSpec, batch: DataFrame, target: str, as_of: Column, run_id: str, buckets: int = 256,
+    catalog_table: str | None = None,
+) -> KeyedTable | DataFrame:
+    """Merge a bronze batch into the silver table.
+
+    A ``catalog_table`` that takes ``MERGE INTO`` is merged by its catalog; else the key buckets below ``target`` are
+    rewritten.  The batch is the part of the log not consumed yet (``fresh_rows``).  The newest load time it holds is
+    noted below ``target`` after the rows; ``consumed_until`` gives it back to the next run.
     """
     table = KeyedTable(spark, target, spec.keys, buckets)
+    rows = silver_rows(batch, spec, as_of, run_id)
     newest = batch.agg(F.unix_micros(F.max("_bronze_loaded_at"))).first()[0]
-    table.merge(
-        silver_rows(batch, spec, as_of, run_id), touched_by=batch.select(*spec.keys),
-        mark=None if newest is None else str(max(newest, int(table.consumed() or newest))),
-    )
-    return table
+    by_catalog = catalog_table is not None and supports_merge(spark, catalog_table)
+    if by_catalog:
+        merge_into(rows, catalog_table, spec.keys)
+    else:
+        table.merge(rows, touched_by=batch.select(*spec.keys))
+    if newest is not None:
+        table.remember(newest)
+    return spark.table(catalog_table) if by_catalog else table
 
 
 def consumed_until(spark: SparkSession, spec: SilverSpec, target: str, buckets: int = 256) -> dt.datetime | None:
@@ -178,7 +185,7 @@ def consumed_until(spark: SparkSession, spec: SilverSpec, target: str, buckets:
     if mark is None:
         return None
     # the driver's local clock, as Spark reads and writes Python datetimes
-    return spark.sql(f"SELECT timestamp_micros({int(mark)})").first()[0]
+    return spark.sql(f"SELECT timestamp_micros({mark})").first()[0]
 
 
 def create_databases(spark: SparkSession) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,21 +120,27 @@ def test_stored_state_equals_batch_in_any_order(spark):
     assert 9 in stamps  # first insert (local clock) survives later updates
 
 
+def files_of(folder):
+    return {str(p): p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet") if "_consumed" not in str(p)}
+
+
+def opened(df):
+    return [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
+
+
 def test_merge_rewrites_only_touched_buckets_and_adds_columns(spark):
     path = shared_dir(spark, "state")
     table = op.KeyedTable(spark, path, ["k"], buckets=16, order=("v",), set_once=())
     table.merge(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")))
-    before = table._commit()["live"]
-    table.merge(spark.createDataFrame([(7, 2, "new")], "k bigint, v int, extra string"))
-    after = table._commit()["live"]
-    assert sum(before[b] != after[b] for b in before) == 1
+    before = files_of(path)
+    batch = spark.createDataFrame([(7, 2, "new")], "k bigint, v int, extra string")
+    assert len(opened(table.beside(batch))) == 1
+    assert len(table.merge(batch)) == 1
+    after = files_of(path)
+    assert len(set(before) - set(after)) == 1 and all(after[f] == t for f, t in before.items() if f in after)
     rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
     assert rows[7] == (2, "new") and rows[8] == (1, None) and len(rows) == 100
-    # an unfinished generation is not seen
-    spark.range(1).select(F.lit(7).cast("bigint").alias("k"), F.lit(9).alias("v")).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{path}/gen=3/kb=0")
-    assert {r.k: r.v for r in table.read().collect()}[7] == 2
+    assert table.merge(batch.where("k < 0")) == [] and files_of(path) == after
 
 
 def test_a_merge_elsewhere_keeps_added_columns_and_sync_drops_them(spark):
@@ -143,21 +151,34 @@ def test_a_merge_elsewhere_keeps_added_columns_and_sync_drops_them(spark):
     table.merge(spark.createDataFrame([(8, 3), (500, 3)], "k bigint, v int"))  # other buckets, no such column
     rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
     assert rows[7] == (2, "new") and rows[8] == (3, None) and len(rows) == 101
-    assert len(table.vacuum(keep=1)) >= 1 and {r.k: (r.v, r.extra) for r in table.read().collect()} == rows
     synced = op.KeyedTable(spark, path, ["k"], buckets=16, order=(), set_once=(), sync_columns=True)
     synced.merge(spark.createDataFrame([(9, 4)], "k bigint, v int"))
     assert synced.read().columns == ["k", "v"] and synced.read().count() == 101
 
 
+def test_a_repeated_or_half_done_merge_is_completed_by_the_next(spark):
+    path = shared_dir(spark, "state")
+    table = op.KeyedTable(spark, path, ["k"], buckets=4, order=("v",), set_once=(), tasks_per_bucket=3)
+    table.merge(spark.range(40).select(F.col("id").alias("k"), F.lit(1).alias("v")))
+    batch = spark.range(10, 50).select(F.col("id").alias("k"), F.lit(2).alias("v"))
+    table.merge(batch.where(F.pmod(F.hash("k"), F.lit(4)) == 1))  # as if the job had been lost after one bucket
+    table.merge(batch)
+    table.merge(batch)
+    assert {r.k: r.v for r in table.read().collect()} == {k: 1 if k < 10 else 2 for k in range(50)} and table.read().count() == 50
+    table.remember(5)
+    table.remember(3)
+    assert op.KeyedTable(spark, path, ["k"], buckets=4).consumed() == 5
+
+
 @pytest.mark.parametrize("stored,batch", [("bigint", "int"), ("int", "bigint")])
 def test_merge_hashes_keys_in_the_type_they_are_stored_in(spark, stored, batch):
     path = shared_dir(spark, "state")
     table = op.KeyedTable(spark, path, ["k"], buckets=8, order=("v",), set_once=())
-    table.merge(spark.range(100).select(F.col("id").cast(stored).alias("k"), F.lit(1).alias("v")), mark="a")
+    table.merge(spark.range(100).select(F.col("id").cast(stored).alias("k"), F.lit(1).alias("v")))
     table.merge(spark.createDataFrame([(3, 2), (50, 2), (99, 2)], "k bigint, v int").select(F.col("k").cast(batch), "v"))
     rows = {r.k: r.v for r in table.read().collect()}
     assert len(rows) == 100 == table.read().count() and {k for k, v in rows.items() if v == 2} == {3, 50, 99}
-    assert dict(table.read().dtypes)["k"] == stored and table.consumed() == "a"
+    assert dict(table.read().dtypes)["k"] == stored and table.consumed() is None
     if stored == "int":
         with pytest.raises(Exception, match="does not fit"):
             table.merge(spark.createDataFrame([(2**40, 1)], "k bigint, v int"))
@@ -171,14 +192,72 @@ def test_keyed_table_refuses_other_buckets_and_keys(spark):
             op.KeyedTable(spark, path, keys, buckets=buckets)
 
 
-def test_vacuum_leaves_short_lists(spark):
-    path = shared_dir(spark, "state")
-    table = op.KeyedTable(spark, path, ["k"], buckets=4, order=("v",), set_once=(), tasks_per_bucket=3)
-    for v in range(6):
-        table.merge(spark.range(40).select(F.col("id").alias("k"), F.lit(v).alias("v")))
-    table.vacuum(keep=1)
-    assert len(table._commits()) == 2 and len([n for n in table._list(path) if n.startswith("gen=")]) == 2
-    assert {r.v for r in table.read().collect()} == {5} and table.read().count() == 40
+def test_merge_into_is_a_statement_of_the_catalog(spark):
+    """A Parquet table takes no row-level merge: the statement is resolved, then refused by the catalog."""
+    schema = "nr_item bigint, ds string, _cdc_ts_ms bigint, _cdc_txid bigint, _silver_processed_at timestamp"
+    spark.createDataFrame([], schema).write.mode("overwrite").saveAsTable("plain_items")
+    assert not op.supports_merge(spark, "plain_items")
+    with pytest.raises(Exception, match="MERGE INTO"):
+        op.merge_into(spark.createDataFrame([], schema), "plain_items", ["nr_item"])
+    spark.sql("DROP TABLE plain_items")
+
+
+# -- history by loads --------------------------------------------------------------------------
+
+
+def versions_of(rows):
+    """(k, start) -> (payload, end, current); the last given of one key and start counts."""
+    held = {(k, t): v for k, t, v in rows}
+    out = {}
+    for (k, t), v in held.items():
+        later = [u for (j, u) in held if j == k and u is not None and t is not None and u > t]
+        out[k, t] = (v, min(later, default=None), t is not None and not later)
+    return out
+
+
+def stored_versions(table):
+    return {(r.k, r["_valid_from"]): (r.v, r["_valid_to"], r["_is_current"]) for r in table.read().collect()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_history_by_loads_equals_one_load(spark, seed):
+    rng, schema = random.Random(seed), "k int, at timestamp, v string"
+    start = dt.datetime(2024, 1, 1)
+    rows = [(rng.choice([0, 0, rng.randrange(9)]), start + dt.timedelta(minutes=rng.randrange(5000)), f"v{i}") for i in range(160)]
+    rows = list({(k, t): (k, t, v) for k, t, v in rows}.values())  # one version per start
+    rng.shuffle(rows)
+    path = shared_dir(spark, "history")
+    batches = [rows[i::3] for i in range(3)] + [rows[:20]]  # late ones, and a replay
+    for batch in batches:
+        table = op.load_history(spark, path, spark.createDataFrame(batch, schema), ["k"], "at", buckets=4)
+    assert stored_versions(table) == versions_of(rows) and table.read().count() == len(rows)
+    whole = op.version_history(spark.createDataFrame(rows, schema), ["k"], "at")
+    assert {tuple(r) for r in table.read().select(*whole.columns).collect()} == {tuple(r) for r in whole.collect()}
+
+
+def test_history_closes_splits_and_replaces(spark):
+    day, schema = lambda d: dt.datetime(2024, 1, d), "k int, at timestamp, v string"
+    stored = op.version_history(spark.createDataFrame([(1, day(1), "a"), (1, day(5), "b"), (1, day(9), "c"), (2, day(1), "x")], schema), ["k"], "at")
+    batch = spark.createDataFrame([(1, day(7), "late"), (1, day(9), "c2"), (3, day(2), "new"), (4, None, "no start")], schema)
+    got = {(r.k, r.at): (r.v, r["_valid_to"], r["_is_current"]) for r in op.history_changes(stored, batch, ["k"], "at").collect()}
+    assert got == {
+        (1, day(5)): ("b", day(7), False), (1, day(7)): ("late", day(9), False), (1, day(9)): ("c2", None, True),
+        (3, day(2)): ("new", None, True), (4, None): ("no start", None, False),
+    }
+
+
+def test_a_history_load_opens_only_its_buckets(spark):
+    path, schema = shared_dir(spark, "history"), "k int, at timestamp"
+    rows = [(k, dt.datetime(2024, 1, d)) for k in range(64) for d in (1, 2, 3)]
+    table = op.load_history(spark, path, spark.createDataFrame(rows, schema), ["k"], "at", buckets=16)
+    before = files_of(path)
+    batch = spark.createDataFrame([(5, dt.datetime(2024, 1, 2, 12))], schema)
+    beside = table.beside(batch)
+    bucket = re.search(r"(kb_16_k=\d+)", opened(beside)[0])[1]
+    assert len(opened(beside)) == 1 and re.search(r"PartitionFilters: \[[^]]*kb_16_k", beside._jdf.queryExecution().toString())
+    op.load_history(spark, path, batch, ["k"], "at", buckets=16)
+    after = files_of(path)
+    assert all(after.get(f) == t for f, t in before.items() if bucket not in f) and table.read().where("k = 5").count() == 4
 
 
 def test_day_folders_keep_everything_that_is_not_surely_old(spark):
