@@ -6,12 +6,15 @@ one piece unchanged (pigeonhole), at about the place the piece has in the item;
 Aho-Corasick pass over the text.  Each hit names a window that any such passage must lie in, and Myers' bit-parallel
 algorithm, on one integer of m bits, finds the least distance inside it.
 
+An item of fewer than ``whole_below`` characters forgives nothing and counts only where its words stand whole: its one
+piece goes through the same automaton, and a hit inside a longer word is none.
+
 Items are searched in blocks of at most ``block`` characters in all, so what a task is sent is bounded however large
 the benchmark grows; the text is read once for each block.
 
-Defined results: null and empty texts hold nothing; null or empty items, and items with fewer than ``least`` characters
-left, are not searched; repeated items are separate items; repeated rows give repeated results; an empty table gives
-an empty result; other columns are ignored.
+Defined results: null and empty texts hold nothing; null items, and items without a letter or digit, are not searched;
+repeated items are separate items; of passages at equal distance the first counts; very long texts are searched whole,
+in one pass; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -75,11 +78,12 @@ class Myers:
 class Matcher:
     """All items of one block over one Aho-Corasick automaton of their pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, whole_below: int):
         import ahocorasick
 
         self.items = items
-        self.budget = [edits(len(text), rate) for _, text in items]
+        self.whole = [len(text) < whole_below for _, text in items]
+        self.budget = [0 if whole else edits(len(text), rate) for (_, text), whole in zip(items, self.whole, strict=True)]
         self.myers = [Myers(text) for _, text in items]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text) in enumerate(items):
@@ -93,8 +97,14 @@ class Matcher:
     def find(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item, distance, item length, start of the window, end of the passage): the best passage of every item found."""
         windows: dict[int, list[tuple[int, int]]] = {}
+        words: dict[int, tuple[int, int]] = {}
         for last, (size, owners) in self.automaton.iter(text):
             for number, at in owners:
+                if self.whole[number]:
+                    a, b = last + 1 - size, last + 1
+                    if number not in words and text[a - 1 : a] in ("", " ") and text[b : b + 1] in ("", " "):
+                        words[number] = (a, b)
+                    continue
                 budget, start = self.budget[number], last + 1 - size - at
                 window = (max(0, start - budget), start + len(self.items[number][1]) + budget)
                 mine = windows.setdefault(number, [])
@@ -102,7 +112,7 @@ class Matcher:
                     # hits of one passage, and of passages that overlap, share a window
                     window = (min(window[0], mine[-1][0]), max(window[1], mine.pop()[1]))
                 mine.append(window)
-        out = []
+        out = [(self.items[number][0], 0, b - a, a, b) for number, (a, b) in words.items()]
         for number, mine in windows.items():
             best = None
             for a, b in mine:
@@ -116,12 +126,12 @@ class Matcher:
         return out
 
 
-def _blocks(benchmark: DataFrame, least: int, block: int):
+def _blocks(benchmark: DataFrame, block: int):
     """Items in turn, at most ``block`` characters of them at once."""
     some, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL").orderBy("item_id", "text")
     for row in rows.toLocalIterator():
-        if len(text := plain(row["text"])) >= least:
+        if text := plain(row["text"]):
             if some and size + len(text) > block:
                 yield some
                 some, size = [], 0
@@ -131,15 +141,15 @@ def _blocks(benchmark: DataFrame, least: int, block: int):
         yield some
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least: int = 30, block: int = 1_000_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole_below: int = 30, block: int = 1_000_000) -> DataFrame:
     """(doc_id, item_id, distance, item_chars, start, end): each document's best passage for each item it holds.
 
     ``start`` and ``end`` count characters of the plain text; the passage lies between them.
     """
     found = None
     texts = documents(docs)
-    for items in _blocks(benchmark, least, block):
-        part = arrow_map(texts, _search(items, rate), HITS)
+    for items in _blocks(benchmark, block):
+        part = arrow_map(texts, _search(items, rate, whole_below), HITS)
         if found is not None:
             found = found.unionAll(part)
         else:
@@ -147,10 +157,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, leas
     return found if found is not None else docs.sparkSession.createDataFrame([], HITS)
 
 
-def _search(items: list[tuple[int, str]], rate: float):
+def _search(items: list[tuple[int, str]], rate: float, whole_below: int):
     class Search:
         def __init__(self):
-            self.matcher = Matcher(items, rate)
+            self.matcher = Matcher(items, rate, whole_below)
 
         def __call__(self, batch):
             rows = [(doc, *hit) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for hit in self.matcher.find(plain(text))]
@@ -160,14 +170,14 @@ def _search(items: list[tuple[int, str]], rate: float):
     return Search
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least: int = 30, block: int = 1_000_000) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole_below: int = 30, block: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows that hold a passage of an item; all columns stay."""
     fields: T.StructType = docs.schema
-    for items in _blocks(benchmark, least, block):
+    for items in _blocks(benchmark, block):
 
         class Keep:
             def __init__(self, items=items):
-                self.matcher = Matcher(items, rate)
+                self.matcher = Matcher(items, rate, whole_below)
 
             def __call__(self, batch):
                 import pyarrow as pa

@@ -12,13 +12,18 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 NAME = re.compile(r"[a-z]+")
 #: fixed values of the HTML standard: elements without an end, with raw text, inside a line, and those that end an open one of their kind
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math object canvas title".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style template iframe textarea title".split())
+FOREIGN = frozenset("svg math".split())
+INLINE = FOREIGN | frozenset("a abbr acronym b bdi bdo big br canvas cite code data del dfn em font i img ins kbd label mark noscript object q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table select body html article section main div aside nav header footer form".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+#: a tag of these ends drawings and formulas that are still open; all other tags in them stand inside the line
+LEAVES = ENDS_P | frozenset(CLOSES) | frozenset("body head html".split())
+
+
 class Block(NamedTuple):
     tags: tuple[str, ...]
     names: frozenset[str]
@@ -51,6 +56,9 @@ def blocks(page: str) -> list[Block]:
             if stack[i][0] in scopes:
                 return
 
+    def in_line(tag):
+        return tag in INLINE or tag not in LEAVES and any(t in FOREIGN for t, _ in stack)
+
     at, end = 0, len(page)
     while at < end:
         found = TAG.search(page, at)
@@ -68,7 +76,7 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = found[3].lower()
         if found[2]:
-            if tag not in INLINE:
+            if not in_line(tag):
                 flush()
             drop((tag,), frozenset() if tag in SCOPES else SCOPES)
             continue
@@ -79,8 +87,12 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag not in INLINE:
+        if not in_line(tag):
             flush()
+            for i, (t, _) in enumerate(stack):
+                if t in FOREIGN:
+                    del stack[i:]
+                    break
             # what stands inside a line ends with its block
             while stack and stack[-1][0] in INLINE:
                 stack.pop()

@@ -13,7 +13,8 @@ whole radius; there a fingerprint also visits the shards whose boundary its ball
 
 Defined results: null and empty texts have fingerprint zero and are linked; rows that repeat a ``doc_id`` are linked
 when their fingerprints are; a document without ``doc_id`` gets a fingerprint, and a component only from documents
-that have one; an empty table gives an empty result; other columns are ignored.
+that have one; very long texts are hashed in chunks of ``CHUNK`` shingles; an empty table gives an empty result; other
+columns are ignored, and stay in ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -224,12 +225,41 @@ def _whole_shards(tree: Tree) -> set[int]:
     return found
 
 
+def _rooted(classes: DataFrame, radius: int) -> DataFrame:
+    """Adds ``root``, one fingerprint per component, to a table of different fingerprints."""
+    classes = store(classes, "classes")
+    found = components(links(classes, radius))
+    return classes.join(found, classes["fp"] == found["node"], "left").select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one(docs: DataFrame, radius: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+    """One row of each component: that of the smallest id, of rows with one id that of the smallest text digest.
+
+    Rows are told apart by id and text, so a row that shares its id with a copy elsewhere stays on its own account, and
+    rows without an id come after those with one.  Of rows equal in both, one stays.
+    """
+    own = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), own.alias("row_key"))
+
+    def one(batch):
+        found = [fingerprint(t.as_buffer().to_pybytes(), words, seed) for t in batch.column("text")]
+        return {"doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"), "fp": np.array(found, np.uint64).view(np.int64)}
+
+    rows = store(arrow_map(keyed, one, "doc_id long, row_key string, fp long"), "row_fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
+    named = _rooted(rows.groupBy("fp").agg(first), radius)
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))
+    gone = rows.select("row_key").distinct().join(kept, "row_key", "left_anti").select(F.col("row_key").alias("_gone"))
+    left = docs.withColumn("_own", own).join(gone, F.col("_own") == F.col("_gone"), "left_anti")
+    if rows.groupBy("row_key").count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates(["_own"])
+    return left.select(docs.columns)
+
+
 def near_duplicates(docs: DataFrame, radius: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
     fps = store(fingerprints(docs, words, seed), "fingerprints")
-    classes = store(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    found = components(links(classes, radius))
-    named = classes.join(found, classes["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
+    named = _rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), radius)
     heads = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     component = named.join(heads, "root").select("fp", "component_id")
     return fps.join(component, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

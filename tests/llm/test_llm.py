@@ -246,6 +246,51 @@ def test_decontaminate(spark, odd_rows, empty):
     assert not decontaminate.contaminated(frame(spark, rows), benchmark.limit(0)).collect()
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    texts = {1: "Say (Yes)!", 2: "yesterday; eyes", 3: "what is\nthe CAPITAL of France?", 4: "the capital of Francesca what is", 5: "ten letter", 6: "tenletters", 7: None, 8: "x " * 400_000 + "yes"}
+    items = [(1, "yes"), (2, "What is the capital of France?"), (3, "ten-letter"), (4, " ?! "), (5, None), (6, "é"), (7, "yes")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, list(texts.items()))
+    got = {(x["doc_id"], x["item_id"]): (x["distance"], x["start"], x["end"]) for x in decontaminate.contaminated(docs, benchmark).collect()}
+    want = set()
+    for i, t in texts.items():
+        for n, q in items:
+            if (q := decontaminate.plain(q or "")) and f" {q} " in f" {decontaminate.plain(t or '')} ":
+                want.add((i, n))
+    assert set(got) == want == {(1, 1), (1, 7), (3, 2), (5, 3), (8, 1), (8, 7)} and got[1, 1] == (0, 4, 7)
+    assert {x["doc_id"] for x in decontaminate.keep_clean(docs, benchmark).collect()} == {2, 4, 6, 7}
+
+
+def test_passages_against_every_stretch(spark):
+    """Distances of all items in all texts, by a plain table over every stretch."""
+    def distance(item, text):
+        row = list(range(len(item) + 1))
+        best = row[-1]
+        for c in text:
+            new = [0]
+            for j, d in enumerate(item, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row, best = new, min(best, new[-1])
+        return best
+
+    r = random.Random(8)
+    items = [(n, prose(r, r.randint(6, 14))) for n in range(6)]
+    rows = []
+    for i in range(40):
+        text = list(prose(r, 8) + " " + r.choice(items)[1] + " " + prose(r, 8))
+        for _ in range(r.choice([0, 2, 5, 9])):
+            text[r.randrange(len(text))] = r.choice("qz ")
+        rows.append((i, "".join(text)))
+    got = {(x["doc_id"], x["item_id"]): x["distance"] for x in decontaminate.contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {}
+    for i, t in rows:
+        for n, q in items:
+            q = decontaminate.plain(q)
+            if (k := distance(q, decontaminate.plain(t))) <= decontaminate.edits(len(q), 0.08):
+                want[i, n] = k
+    assert got == want and want
+
+
 # toxicity
 
 
@@ -482,6 +527,31 @@ def test_viterbi_is_the_best_labelling():
         assert field.decode(page) == best
 
 
+def test_drawings_formulas_and_fallbacks_are_kept():
+    def texts(page):
+        return [b.text for b in html_pages.blocks(page)]
+
+    assert texts("<article><p>One</p><svg><p>Two</p><p>Three</p></article><p>Four") == ["One", "Two", "Three", "Four"]
+    assert texts("<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds</p><p>on") == ["so E=m holds", "on"]
+    assert texts("<p>a <svg><g><title>no</title><text>label</text></g></svg> b</p>") == ["a label b"]
+    assert texts("<object data=x><p>instead</p></object><noscript>no <b>script</b></noscript><canvas>drawn") == ["instead", "no scriptdrawn"]
+    assert texts("<p>a</p><noscript><p>b</p><p>c") == ["a", "b", "c"] and texts("<p>a<math><mi>x<p>b</p></p><div>c</div>") == ["ax", "b", "c"]
+    assert texts("<p>a</p><script>if (1 < 2) b()") == ["a"] and texts("<p>a<template><p>b</p></template>c") == ["ac"]
+    assert len(texts("<p>" + "long " * 400_000 + "<svg>" * 50 + "<p>end")) == 2
+
+
+def test_keep_one_of_each_group(spark):
+    """By row, not by id: repeated ids, missing ids and repeated rows."""
+    r = random.Random(21)
+    a, b, c = (prose(r, 80) for _ in range(3))
+    rows = [(1, a), (5, a + " "), (5, b), (7, b), (None, a), (None, c), (None, c), (None, prose(r, 50)), (9, c), (9, c), (10, None), (11, "")]
+    kept = simhash.keep_one(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    got = sorted(((x["doc_id"], x["text"] or "") for x in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (9, c), (None, rows[7][1]), (10, "")], key=repr)
+    assert simhash.keep_one(frame(spark, [])).collect() == []
+
+
 # registered queries and the pipeline
 
 
@@ -504,6 +574,23 @@ def test_query_equals_its_sql(spark, name):
     assert not compare(df.columns, df.collect(), [c[0] for c in cur.description], cur.fetchall())
 
 
+def test_pipeline_on_odd_rows(spark, odd_rows, tmp_path):
+    """Null and empty texts, repeated and missing ids, very long texts, columns of other names, and no rows at all."""
+    import corpus_pipeline as cp
+
+    for name, rows in (("odd", odd_rows), ("none", [])):
+        folder = str(tmp_path / name)
+        frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(5, 0, 1)], "doc_id long, quality int, toxic int").limit(len(rows)).write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, prose(random.Random(1), 30)), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        docs = cp.table(spark, folder, "documents")
+        for i, (_, stage) in enumerate(cp.STAGES):
+            before, docs = docs, cp.store(stage(spark, docs, folder), "stage")
+            if i < 4:
+                assert docs.columns == before.columns and docs.count() <= before.count()
+        assert (docs.count() > 0) == bool(rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
