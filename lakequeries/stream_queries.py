@@ -40,6 +40,36 @@ def q37(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("q37_stream_topic_schemas", """
+  SELECT 'events' AS topic, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds FROM events
+  UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT), CAST(count(DISTINCT o_orderstatus) AS BIGINT) FROM orders
+  UNION ALL SELECT 'parts', count(*), CAST(sum(p_partkey) AS BIGINT), CAST(count(DISTINCT p_brand) AS BIGINT) FROM part""")
+def q37_schemas(spark: SparkSession, d: str) -> DataFrame:
+    """Topics that differ in columns, layout and format arrive through one stream, in two runs; orders gain a column."""
+    work = shared_dir(spark, "stream")
+    events, orders, parts = (S.table(spark, d, t) for t in ("events", "orders", "part"))
+    envelope = events.select(F.struct("event_id", "event_type").alias("after"), F.lit(None).cast("struct<event_id:bigint,event_type:string>").alias("before"))
+    wide = parts.select("p_partkey", "p_brand")
+    topics = {
+        "events": lambda spark, paths: st.topic_files()(spark, paths).select("after.event_id", "after.event_type"),
+        "orders": st.topic_files(),
+        "parts": st.topic_files("json", wide.schema),
+    }
+    for run in range(2):
+        half = F.col("o_orderkey") % 2 == run
+        own = orders.where(half).select("o_orderkey", "o_orderstatus", *(["o_custkey"] if run else []))
+        own.write.parquet(f"{work}/in/orders/run={run}")
+        envelope.where(F.col("after.event_id") % 2 == run).write.parquet(f"{work}/in/events/run={run}")
+        wide.where(F.col("p_partkey") % 2 == run).write.json(f"{work}/in/parts/run={run}")
+        st.fan_out(st.arriving_files(spark, f"{work}/in", files_per_batch=3), f"{work}/in", topics, f"{work}/log", f"{work}/checkpoint")
+
+    def counted(topic: str, key: str, kind: str) -> DataFrame:
+        log = spark.read.option("mergeSchema", "true").parquet(f"{work}/log/{topic}")
+        return log.agg(F.count(F.lit(1)).alias("n"), F.sum(key).cast("bigint").alias("ids"), F.countDistinct(kind).alias("kinds")).select(F.lit(topic).alias("topic"), "*")
+
+    return counted("events", "event_id", "event_type").unionAll(counted("orders", "o_orderkey", "o_orderstatus")).unionAll(counted("parts", "p_partkey", "p_brand"))
+
+
 @query("q38_stream_drop_replays", f"""
   SELECT event_id, user_id, event_type, strftime(ts, {P.INSTANT}) AS event_at FROM events""")
 def q38(spark: SparkSession, d: str) -> DataFrame:

@@ -5,7 +5,7 @@ from .compaction import compact_hour, compact_topics, compaction_plan, file_heal
 from .current import drop_deleted, latest_per_key  # noqa: F401
 from .history import history_changes, load_history, version_history  # noqa: F401
 from .joins import frequent_keys, lookup_join  # noqa: F401
-from .measures import monthly_measures, reaggregate  # noqa: F401
+from .measures import exact_median, monthly_measures, reaggregate  # noqa: F401
 from .merge import (  # noqa: F401
     KeyedTable,
     append_new_columns,

@@ -26,20 +26,23 @@ class Check:
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(model, column, check, failures) for every check.
 
-    All not_null and accepted_values checks of a model share one pass over it;
-    uniqueness and relationships need a shuffle on their column each.
+    The not_null and accepted_values checks of a model are one pass over it.  All
+    unique checks are one pass per model and one aggregate; all relationships are one
+    pass per child and one per parent, whose keys are made distinct once for every
+    check on them, and one join.
     """
-    parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    for model, own in by_model.items():
-        df = tables[model]
-        row_wise = [c for c in own if c.kind in ("not_null", "accepted_values")]
-        if row_wise:
-            parts.append(_row_wise(df, model, row_wise))
-        parts += [_unique(df, c) for c in own if c.kind == "unique"]
-        parts += [_relationship(df, tables[c.to], c) for c in own if c.kind == "relationships"]
+        if c.kind in ("not_null", "accepted_values"):
+            by_model.setdefault(c.model, []).append(c)
+    parts = [_row_wise(tables[model], model, own) for model, own in by_model.items()]
+    numbered = list(enumerate(checks))
+    unique = [(i, c) for i, c in numbered if c.kind == "unique"]
+    related = [(i, c) for i, c in numbered if c.kind == "relationships"]
+    if unique:
+        parts.append(_named(_repeated(tables, unique), unique))
+    if related:
+        parts.append(_named(_orphans(tables, related), related))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -67,33 +70,77 @@ def _row_wise(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.explode(rows).alias("r")).select(F.lit(model).alias("model"), "r.*")
 
 
-def _filtered(df: DataFrame, check: Check) -> DataFrame:
-    kept = df.where(F.col(check.column).isNotNull())
-    return kept if check.where is None else kept.where(check.where)
+def _named(failures: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """A row for every check, those without failures too."""
+    rows = [(i, c.model, c.column, c.kind) for i, c in checks]
+    listed = failures.sparkSession.createDataFrame(rows, "_no int, model string, column string, check string")
+    found = listed.join(F.broadcast(failures), "_no", "left")  # a row per check
+    return found.select("model", "column", "check", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 
-def _result(df: DataFrame, check: Check, failures: Column) -> DataFrame:
-    return df.agg(failures.cast("bigint").alias("failures")).select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.kind).alias("check"),
-        "failures",
-    )
+def _text(c: Column, kind: str) -> Column:
+    """A value as text, so that columns of any type share one aggregate."""
+    if kind in ("double", "float"):
+        return (c + F.lit(0.0)).cast("string")  # one zero
+    return F.hex(c) if kind == "binary" else F.to_json(c) if kind.startswith(("struct", "map", "array")) else c.cast("string")
+
+
+def _unpivoted(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
+    """One row for each of ``rows`` (structs) that is there; one scan of ``df``."""
+    return df.select(F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    """Failures are the values held by more than one row."""
-    repeated = _filtered(df, check).groupBy(check.column).count().where(F.col("count") > 1)
-    return _result(repeated, check, F.count(F.lit(1)))
+def _grouped(checks: Sequence[tuple[int, Check]]) -> dict[str, list[tuple[int, Check]]]:
+    out: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in checks:
+        out.setdefault(c.model, []).append((i, c))
+    return out
 
 
-def _relationship(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Failures are the rows whose value the parent lacks.
+def _held(check: Check, value: Column) -> Column:
+    """Whether a row takes part: its value is there and the check's condition holds."""
+    return value.isNotNull() if check.where is None else value.isNotNull() & F.expr(check.where)
+
+
+def _repeated(tables: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """Per check the values held by more than one row."""
+    parts = []
+    for model, own in _grouped(checks).items():
+        kinds = dict(tables[model].dtypes)
+        rows = [
+            F.when(_held(c, F.col(c.column)), F.struct(F.lit(i).alias("_no"), _text(F.col(c.column), kinds[c.column]).alias("_v")))
+            for i, c in own
+        ]
+        parts.append(_unpivoted(tables[model], rows))
+    counts = reduce(DataFrame.unionAll, parts).groupBy("_no", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where("_n > 1").groupBy("_no").agg(F.count(F.lit(1)).alias("failures"))
+
+
+def _orphans(tables: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """Per check the rows whose value the parent lacks.
 
     Child rows are counted per value first, so a value that fills a third of the
-    table is one row in the join.
+    table is one row in the join.  Values are compared in the parent's type.
     """
-    child = _filtered(df, check).groupBy(F.col(check.column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(check.field).alias("_p")).distinct()
-    orphans = child.join(known, F.col("_v") == F.col("_p"), "left_anti")
-    return _result(orphans, check, F.coalesce(F.sum("_n"), F.lit(0)))
+    ends = sorted({(c.to, c.field) for _, c in checks})
+    parents = []
+    for table in sorted({t for t, _ in ends}):
+        kinds = dict(tables[table].dtypes)
+        rows = [
+            F.when(F.col(f).isNotNull(), F.struct(F.lit(n).alias("_end"), _text(F.col(f), kinds[f]).alias("_v")))
+            for n, (t, f) in enumerate(ends) if t == table
+        ]
+        parents.append(_unpivoted(tables[table], rows))
+    known = reduce(DataFrame.unionAll, parents).distinct()
+    children = []
+    for model, own in _grouped(checks).items():
+        kinds, rows = dict(tables[model].dtypes), []
+        for i, c in own:
+            kind, value = dict(tables[c.to].dtypes)[c.field], F.col(c.column)
+            as_parent = _text(value if kinds[c.column] == kind else value.try_cast(kind), kind)
+            # what the parent's type can't hold, the parent lacks
+            as_parent = F.coalesce(as_parent, F.concat(F.lit("other type: "), value.cast("string")))
+            rows.append(F.when(_held(c, value), F.struct(F.lit(i).alias("_no"), F.lit(ends.index((c.to, c.field))).alias("_end"), as_parent.alias("_v"))))
+        children.append(_unpivoted(tables[model], rows))
+    counts = reduce(DataFrame.unionAll, children).groupBy("_no", "_end", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.join(known, ["_end", "_v"], "left_anti").groupBy("_no").agg(F.sum("_n").alias("failures"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -96,6 +97,50 @@ def test_compaction_keeps_late_files_and_new_columns(spark, monkeypatch):
         op.compact_hour(spark, topic, hour, fmt="parquet")
 
 
+@pytest.mark.parametrize("how", [{}, {"parts": 4, "few": 2}, {"parts": 3, "few": 1}, {"parts": 64, "few": 50}])
+def test_exact_median_of_any_group(spark, how):
+    r = random.Random(5)
+    rows = [("hot", r.choice([r.random() * 10 ** r.randint(-9, 9), -float(r.randint(0, 40))])) for _ in range(4001)]
+    rows += [("even", float(x)) for x in (1, 2, 2, 9)] + [("two", 1.0), ("two", 4.0), ("one", 7.0), (None, 3.0), (None, 5.0), ("none", None)]
+    rows += [("same", 2.0)] * 50 + [("wide", float("-inf")), ("wide", float("inf")), ("wide", 1e308), ("wide", -1e308), ("wide", 0.5), ("nan", float("nan")), ("nan", 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {r.g: r.m for r in df.where("NOT isnan(v)").groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    assert {r.g: r.median_v for r in op.exact_median(df, ["g"], "v", **how).collect()} == {g: m for g, m in want.items() if g != "none"}
+
+
+def test_exact_median_of_decimals_and_no_group(spark):
+    df = spark.range(5000).select((F.col("id") * F.col("id") / 7).cast("decimal(18,4)").alias("v"), (F.col("id") % 2).alias("g"))
+    whole = op.reaggregate(df, [], median=["v"]).first()
+    assert whole.median_v == df.agg(F.percentile("v", F.lit(0.5))).first()[0]
+    assert "percentile" not in op.reaggregate(df, ["g"], additive=["v"], median=["v"])._jdf.queryExecution().toString()
+    assert op.exact_median(df.where("v < 0"), ["g"], "v").collect() == []
+
+
+def test_checks_of_a_kind_share_scans_and_shuffles(spark):
+    t = spark.range(40).select("id", (F.col("id") % 7).cast("int").alias("a"), (F.col("id") / 2).alias("b"), F.col("id").cast("string").alias("c"))
+    t = t.withColumn("d", F.when(F.col("id") > 35, F.lit(None)).otherwise(F.lit(0.0) * F.when(F.col("id") % 2 == 0, -1).otherwise(1)))
+    t.write.mode("overwrite").saveAsTable("checked")
+    table = spark.table("checked")
+    unique = [Check("t", c, "unique") for c in ("id", "a", "b", "c", "d")] + [Check("t", "a", "unique", where="id < 7")]
+    found = op.run_checks({"t": table}, unique)
+    assert [(r["column"], r.failures) for r in found.collect()] == [("id", 0), ("a", 7), ("b", 0), ("c", 0), ("d", 1), ("a", 0)]
+    plan = op.run_checks({"t": table}, unique)._jdf.queryExecution().executedPlan().toString()
+    # by value, and the counts of each check
+    assert plan.count("FileScan") == 1 and plan.count(" Exchange hashpartitioning(_no") == 2
+    parent = spark.createDataFrame([(1, "1"), (2, "x"), (2, "7")], "k bigint, s string")
+    parent.write.mode("overwrite").saveAsTable("parent_of_checked")
+    tables = {"t": table, "p": spark.table("parent_of_checked")}
+    related = [Check("t", c, "relationships", to="p", field=f) for c in ("a", "c") for f in ("k", "s")] + [Check("t", "a", "relationships", to="p", field="k", where="id < 3")]
+    found = op.run_checks(tables, related)
+    rows = t.collect()
+    lacks = lambda c, known: sum(str(r[c]) not in known for r in rows)
+    want = [lacks("a", "12"), lacks("a", ("1", "x", "7")), lacks("c", ("1", "2")), lacks("c", ("1", "x", "7")), 1]
+    assert [r.failures for r in found.collect()] == want
+    assert op.run_checks(tables, related)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    for name in ("checked", "parent_of_checked"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_median_of_bounded_size(spark):
     fact = spark.range(10001).select(F.lit(20240105).alias("d"), F.col("id").alias("v"))
     for accuracy in (None, 1000):
