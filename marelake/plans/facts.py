@@ -76,7 +76,7 @@ def producao_medica(procedures: DataFrame) -> DataFrame:
             "nk_sequencia_procedimento": "nr_sequencia", "nk_atendimento": "nr_atendimento",
             "nk_paciente": "cd_pessoa_fisica", "nk_medico_solicitante": "cd_medico",
             "nk_medico_executor": "cd_medico_executor", "nk_procedimento": "cd_procedimento",
-            "nk_convenio": "cd_convenio",
+            "nk_convenio": "cd_convenio", "dt_procedimento_raw": "dt_procedimento",
         },
         keep="atend_ie_tipo_atendimento atend_ie_clinica ie_funcao_medico ie_origem_proced cd_setor_atendimento cd_especialidade",
         measures="qt_procedimento vl_procedimento vl_medico vl_anestesista vl_materiais vl_auxiliares "
