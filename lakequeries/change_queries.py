@@ -56,6 +56,23 @@ def q02(spark: SparkSession, d: str) -> DataFrame:
     return scan(raw).withColumnsRenamed({f"__{c}": c for c in ("deleted", "op", "ts_ms", "source_table", "source_txid")})
 
 
+@query("q02_mixed_layouts", """
+  SELECT user_id AS nr_usuario, event_type AS ie_evento, CASE WHEN event_id % 2 = 0 THEN CAST(props->>'k' AS BIGINT) END AS nr_k,
+         CASE WHEN event_id % 2 = 1 THEN value END AS vl_evento, CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS deleted,
+         epoch_us(ts) // 1000 AS ts_ms, 'events' AS source_table, CAST(event_id AS VARCHAR) AS source_txid
+  FROM events WHERE ts >= TIMESTAMP '2024-01-10'""")
+def q02_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """A topic that changed its layout: flat and envelope files side by side in one folder, read in one scan."""
+    topic = shared_dir(spark, "topic")
+    flat, envelopes = S.event_changes(spark, d), S.event_envelopes(spark, d)
+    flat.where(F.col("__source_txid").cast("bigint") % 2 == 1).write.mode("append").parquet(topic)
+    envelopes.where(F.col("source.txId").cast("bigint") % 2 == 0).write.mode("append").parquet(topic)
+    rows = src.read_topic(spark, topic, "parquet", 1704844800000)
+    return rows.select(
+        "nr_usuario", "ie_evento", "nr_k", "vl_evento", *[F.col(f"__{c}").alias(c) for c in ("deleted", "ts_ms", "source_table", "source_txid")]
+    )
+
+
 @query("q03_union_topics", """
   SELECT user_id AS nr_usuario, event_type AS ie_evento, NULL AS nr_k, value AS vl_evento, epoch_us(ts) // 1000 AS ts_ms, event_id AS txid
   FROM events

@@ -16,4 +16,4 @@ from .merge import (  # noqa: F401
     upsert,
 )
 from .quality import Check, run_checks  # noqa: F401
-from .watermark import high_watermark, loaded_since, window_start_ms  # noqa: F401
+from .watermark import footer_watermark, high_watermark, loaded_since, window_start_ms  # noqa: F401

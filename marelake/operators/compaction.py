@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -181,14 +182,62 @@ def _all_columns(spark: SparkSession, fmt: str, paths: Sequence[str]) -> DataFra
     """The files with the columns of all of them; Avro has no merged schema, so its files are united by name."""
     if fmt != "avro":
         return spark.read.format(fmt).option("mergeSchema", "true").load(list(paths))
-    frames = [spark.read.format(fmt).options(**AVRO_READ_OPTIONS).load(p) for p in paths]
-    same: dict[str, list[str]] = {}
-    for frame, path in zip(frames, paths, strict=True):
-        same.setdefault(frame.schema.json(), []).append(path)
+    same = avro_schemas(spark, paths)
     parts = [spark.read.format(fmt).options(**AVRO_READ_OPTIONS).load(group) for group in same.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def avro_schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Avro files by the schema in their headers.
+
+    Tasks read the headers, so ten thousand small files cost the driver one job, and it gets each different schema once.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    heads = files.mapInArrow(_headers, "path string, avro_schema string")
+    rows = heads.groupBy("avro_schema").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return {r.avro_schema: r.paths for r in rows}
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [avro_header_schema(c.as_buffer()) for c in b.column("content")]
+        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(found, pa.string())], ["path", "avro_schema"])
+
+
+def avro_header_schema(content: bytes) -> str:
+    """The schema in the header of an Avro container file: a map of names to bytes after the magic number."""
+    data = memoryview(content).cast("B")
+    if bytes(data[:4]) != b"Obj\x01":
+        raise ValueError("not an Avro container file")
+    at = 4
+
+    def number() -> int:
+        nonlocal at
+        n = shift = 0
+        while True:
+            byte, at = data[at], at + 1
+            n |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                return n >> 1 ^ -(n & 1)
+            shift += 7
+
+    def text() -> bytes:
+        nonlocal at
+        size = number()
+        at += size
+        return bytes(data[at - size : at])
+
+    while count := number():
+        if count < 0:  # then the block's size in bytes follows
+            count = -count
+            number()
+        for _ in range(count):
+            name, value = text(), text()
+            if name == b"avro.schema":
+                return value.decode()
+    raise ValueError("no schema in the header")
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p

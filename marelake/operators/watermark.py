@@ -24,6 +24,23 @@ def high_watermark(target: DataFrame | None, column: str = "_cdc_ts_ms") -> int:
     return int(top or 0)
 
 
+def footer_watermark(spark: SparkSession, path: str, column: str = "_cdc_ts_ms") -> int:
+    """Largest value of a whole-number column of Parquet files, from their footers: no row is read.
+
+    Spark pushes ``max`` down in its V2 reader alone, so the read goes through a session of its own with that reader on;
+    the caller's settings stay.  Files whose footers lack the statistics are read instead.
+    """
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        return high_watermark(other.read.parquet(path), column)
+    except Exception as e:  # noqa: BLE001  the JVM's error has no class of its own
+        if "aggregatePushdown" not in str(e):
+            raise
+        return high_watermark(spark.read.parquet(path), column)
+
+
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """The table if it exists: tells a first run from a later one."""
     return spark.table(name) if spark.catalog.tableExists(name) else None

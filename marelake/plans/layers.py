@@ -21,7 +21,7 @@ from marelake.operators import (
     KeyedTable,
     bronze_audit,
     drop_deleted,
-    high_watermark,
+    footer_watermark,
     latest_per_key,
     loaded_since,
     merge_into,
@@ -83,12 +83,13 @@ def load_bronze(
 def log_watermark(spark: SparkSession, target: str) -> int:
     """High watermark of a day-partitioned log: the largest event time lies in its newest day.
 
-    The newest day is a folder name, so one column of one day is read, however long the log is.
+    The newest day is a folder name, and its largest event time stands in the file footers, so no row is read,
+    however long the log is.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     days = [s.getPath().getName() for s in fs.globStatus(path(f"{target}/_cdc_day=[0-9]*")) or []]
-    return high_watermark(spark.read.parquet(f"{target}/{max(days)}") if days else None)
+    return footer_watermark(spark, f"{target}/{max(days)}") if days else 0
 
 
 def read_log(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame:

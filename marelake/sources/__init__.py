@@ -8,6 +8,7 @@ from .changes import (  # noqa: F401
     read_topic,
     scan_envelope,
     scan_flat,
+    scan_mixed,
     union_topics,
 )
 from .files import day_folders, hour_folder_globs, list_files, merged_topics, partition_hour, topic_name  # noqa: F401

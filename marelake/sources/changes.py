@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,8 +35,10 @@ AVRO_READ_OPTIONS = {"datetimeRebaseMode": "LEGACY"}
 
 
 def detect_layout(df: DataFrame) -> str:
-    """``envelope`` when the root has both ``before`` and ``after``, else ``flat``."""
-    return "envelope" if {"before", "after"} <= set(df.columns) else "flat"
+    """``envelope`` when the root has both ``before`` and ``after``, ``mixed`` when it has flat metadata too, else ``flat``."""
+    if not {"before", "after"} <= set(df.columns):
+        return "flat"
+    return "mixed" if FLAT_TS in df.columns else "envelope"
 
 
 def scan_flat(raw: DataFrame, from_ms: int = 0, null_ts_as_zero: bool = False) -> DataFrame:
@@ -62,6 +64,45 @@ def scan_envelope(raw: DataFrame, from_ms: int = 0, null_ts_as_zero: bool = True
     ).select("row.*", *CHANGE_META)
 
 
+def scan_mixed(raw: DataFrame, from_ms: int = 0, flat_null_as_zero: bool = False, envelope_null_as_zero: bool = True) -> DataFrame:
+    """Records of a topic that changed from one layout to the other, in flat form: each row in the layout of its file.
+
+    One scan serves both: a row is an envelope if it has an image or an operation.  The bound on either event time is
+    pushed to the scan.  A column is that of the envelope's image or of the flat record, whichever the row has; where
+    the two differ in type and one is text, it is text.
+    """
+    both = F.when(_is_envelope(), _at_or_after(raw, ENVELOPE_TS, from_ms, envelope_null_as_zero))
+    kept = raw.where(both.otherwise(_at_or_after(raw, FLAT_TS, from_ms, flat_null_as_zero)))
+    if from_ms > 0:  # in a form the scan understands
+        kept = kept.where((F.col(ENVELOPE_TS) >= F.lit(int(from_ms))) | (F.col(FLAT_TS) >= F.lit(int(from_ms))))
+    image = {f.name: f.dataType.simpleString() for f in raw.schema["after"].dataType.fields}
+    own = {"before", "after", "op", "source", ENVELOPE_TS, "transaction"}
+    flat = {n: k for n, k in raw.dtypes if n not in own and n not in CHANGE_META}
+    row = F.coalesce("after", "before")
+
+    def column(name: str) -> Column:
+        kinds = {k for k in (image.get(name), flat.get(name)) if k}
+        parts = [x for x in (row[name] if name in image else None, F.col(name) if name in flat else None) if x is not None]
+        return F.coalesce(*[p.cast("string") if len(kinds) > 1 and "string" in kinds else p for p in parts]).alias(name)
+
+    def meta(name: str, of_envelope: Column) -> Column:
+        of_flat = F.col(name).cast(CHANGE_META[name]) if name in raw.columns else F.lit(None).cast(CHANGE_META[name])
+        return F.when(_is_envelope(), of_envelope).otherwise(of_flat).alias(name)
+
+    return kept.select(
+        *[column(n) for n in dict.fromkeys([*image, *flat])],
+        meta("__deleted", F.when(F.col("op") == "d", F.lit("true")).otherwise(F.lit("false"))),
+        meta("__op", F.col("op")),
+        meta("__ts_ms", F.col(ENVELOPE_TS).cast("bigint")),
+        meta("__source_table", F.col("source.table").cast("string")),
+        meta("__source_txid", F.col("source.txId").cast("string")),
+    )
+
+
+def _is_envelope() -> Column:
+    return F.col("before").isNotNull() | F.col("after").isNotNull() | F.col("op").isNotNull()
+
+
 def _at_or_after(raw: DataFrame, column: str, from_ms: int, null_ts_as_zero: bool):
     ts = F.col(column)
     if raw.schema[column].dataType.simpleString() != "bigint":
@@ -108,7 +149,7 @@ def read_topic(
     schema: StructType | None = None,
     **options: str,
 ) -> DataFrame:
-    """Read a topic of either layout; the layout is seen from the schema alone.
+    """Read a topic of either layout, or of both in turn; the layouts are seen from the schema alone.
 
     Only folders the window can touch are listed; ``from_ms`` also goes to the scan
     as a filter.  Columns are those of every file: Parquet and ORC gather them from
@@ -123,11 +164,13 @@ def read_topic(
     reader = reader if schema is None else reader.schema(schema)
     if not paths:  # nothing arrived since: an empty frame of the topic's schema
         raw = reader.load(roots).where(F.lit(False))
-        return scan_envelope(raw) if detect_layout(raw) == "envelope" else raw
+        scan = {"envelope": scan_envelope, "mixed": scan_mixed}.get(detect_layout(raw))
+        return scan(raw) if scan else raw
     raw = reader.load(paths)
-    if detect_layout(raw) == "envelope":
-        return scan_envelope(raw, from_ms, null_ts_as_zero)
-    return scan_flat(raw, from_ms, null_ts_as_zero)
+    layout = detect_layout(raw)
+    if layout == "mixed":
+        return scan_mixed(raw, from_ms, null_ts_as_zero, null_ts_as_zero)
+    return (scan_envelope if layout == "envelope" else scan_flat)(raw, from_ms, null_ts_as_zero)
 
 
 def one_row(spark: SparkSession, **values: object) -> DataFrame:

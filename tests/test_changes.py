@@ -275,6 +275,43 @@ def test_day_folders_keep_everything_that_is_not_surely_old(spark):
     assert {r.id for r in src.read_topic(spark, topic, "parquet").collect()} == set(places.values())
 
 
+def test_a_topic_that_changed_its_layout(spark):
+    topic = shared_dir(spark, "topic")
+    flat = "id int, code string, gone string, __deleted string, __op string, __ts_ms bigint"
+    spark.createDataFrame([(1, "a", "g", "true", "d", 5), (2, "b", None, None, None, 9), (3, "c", None, None, "u", None)], flat).write.parquet(f"{topic}/1")
+    image = "struct<id:int,code:int,added:double>"
+    envelope = f"before {image}, after {image}, op string, ts_ms bigint, source struct<table:string,txId:bigint>"
+    rows = [((4, 7, 1.5), None, "d", 8, ("t", 3)), (None, (5, 8, None), "c", 4, ("t", 4)), ((6, 1, None), (6, 2, None), "u", None, None)]
+    spark.createDataFrame(rows, envelope).write.parquet(f"{topic}/2")
+
+    def read(*how):
+        return sorted(tuple(r) for r in src.read_topic(spark, topic, "parquet", *how).select("id", "code", "gone", "added", "__deleted", "__ts_ms", "__source_table").collect())
+
+    everything = [
+        (1, "a", "g", None, "true", 5, None), (2, "b", None, None, None, 9, None), (3, "c", None, None, None, None, None),
+        (4, "7", None, 1.5, "true", 8, "t"), (5, "8", None, None, "false", 4, "t"), (6, "2", None, None, "false", None, None),
+    ]
+    assert read(0, True) == everything
+    assert [r[0] for r in read(5)] == [1, 2, 4]
+    plan = src.read_topic(spark, topic, "parquet", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "GreaterThanOrEqual(ts_ms,5)" in plan.split("PushedFilters")[1]
+
+
+def test_watermark_comes_from_the_footers(spark):
+    path = shared_dir(spark, "log")
+    spark.range(1000).select((F.col("id") * 7).alias("_cdc_ts_ms"), F.lit("x" * 50).alias("t")).repartition(4).write.parquet(path)
+    assert op.footer_watermark(spark, path) == 6993
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "avro")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = other.read.parquet(path).agg(F.max("_cdc_ts_ms"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(_cdc_ts_ms)]" in plan
+    nothing = shared_dir(spark, "log")  # all NULL: no statistics to push
+    spark.range(3).select(F.lit(None).cast("bigint").alias("_cdc_ts_ms")).write.parquet(nothing)
+    assert op.footer_watermark(spark, nothing) == 0
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
 def test_a_code_that_is_text_in_one_topic_stays_text(spark):
     a = spark.createDataFrame([("A7", 1)], "code string, __ts_ms bigint")
     b = spark.createDataFrame([(5, 1)], "code int, __ts_ms bigint")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marelake import operators as op
 from marelake import sources as src
+from marelake.operators import compaction
 from marelake.operators.compaction import hour_before
 from marelake.operators.quality import Check
 from marelake.plans import checks, specs
@@ -141,6 +142,35 @@ def test_checks_of_a_kind_share_scans_and_shuffles(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def avro_file(schema: str, blocks: int = 1) -> bytes:
+    def number(n):
+        n, out = n << 1 ^ n >> 63, b""
+        while n > 0x7F:
+            out, n = out + bytes([n & 0x7F | 0x80]), n >> 7
+        return out + bytes([n])
+
+    def text(b):
+        return number(len(b)) + b
+
+    first = text(b"avro.codec") + text(b"deflate")
+    last = text(b"avro.schema") + text(schema.encode())
+    if blocks == 1:
+        return b"Obj\x01" + number(2) + first + last + number(0) + b"s" * 16 + b"rows"
+    return b"Obj\x01" + number(-1) + number(len(first)) + first + number(1) + last + number(0) + b"s" * 16
+
+
+def test_schemas_of_many_files_are_read_by_tasks(spark, tmp_path):
+    schemas = ['{"type":"record","name":"r","fields":[]}', '{"type":"record","name":"é","fields":[' + '"x",' * 5000 + '"y"]}']
+    for i in range(400):
+        (tmp_path / f"{i:03d}.avro").write_bytes(avro_file(schemas[i % 7 == 0], 1 + i % 2))
+    paths = sorted(str(p) for p in tmp_path.iterdir())
+    found = compaction.avro_schemas(spark, paths)
+    assert set(found) == set(schemas) and [len(found[s]) for s in schemas] == [342, 58]
+    assert sorted(p.removeprefix("file:") for group in found.values() for p in group) == paths
+    with pytest.raises(ValueError, match="not an Avro"):
+        compaction.avro_header_schema(b"PAR1....")
+
+
 def test_median_of_bounded_size(spark):
     fact = spark.range(10001).select(F.lit(20240105).alias("d"), F.col("id").alias("v"))
     for accuracy in (None, 1000):
