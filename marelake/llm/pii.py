@@ -16,7 +16,11 @@ Everything runs as DataFrame expressions, in one pass over the text and without
 
 Offsets count code points, ends are exclusive.
 
-Defined results: null and empty texts have no spans; repeated rows give repeated results; a table without candidates
+Work grows with a text's length: a pattern is tried where a run of its characters begins and nowhere inside, positions
+are running sums, and overlaps are found by sorting.
+
+Defined results: null and empty texts have no spans; very long texts, unbroken runs and any number of spans are read
+whole; added spans of one kind never overlap, as one pattern finds them; repeated rows give repeated results; a table without candidates
 adds nothing; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -34,8 +38,9 @@ from .common import documents
 KINDS = ("email", "ip", "card", "phone")
 # Loops over groups are possessive: nothing follows them, and Java runs them without recursion.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
-    "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    # a match begins where its run of characters does, or where the last match ended: no run is tried from within
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     # a run of fewer digits fails its check, and no later start in it can have more
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -62,22 +67,44 @@ FEATURES = ("digits", "groups", "marks", "before", "after", "near", "lead", "for
 WINDOW = 24
 
 
+SPAN = "struct<kind:string,start:int,end:int,hit:string,pre:string,post:string>"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _running(items: str, zero: str, step: str, emit: str, kind: str) -> str:
+    """``emit`` for each of ``items`` (a name), where ``s`` is the state before it and ``x`` the item.
+
+    Items go in runs of 256: an array that grows by one element is copied each time, so only short ones grow.
+    """
+    return f"""IF(size({items}) = 0, CAST(array() AS array<{kind}>), flatten(transform(aggregate(
+      sequence(0, (size({items}) - 1) div 256), array(named_struct('s', {zero}, 'o', CAST(array() AS array<{kind}>))),
+      (runs, i) -> array_append(runs, aggregate(
+        slice({items}, i * 256 + 1, 256), named_struct('s', element_at(runs, -1).s, 'o', CAST(array() AS array<{kind}>)),
+        (r, x) -> {_let('r.s', 's', f"named_struct('s', {step}, 'o', array_append(r.o, {emit}))")}))), run -> run.o)))"""
+
+
 def _found(kind: str, patterns: dict[str, str]) -> Column:
-    """Spans of a pattern: the text between matches tells where each match begins."""
+    """Spans of a pattern, with the characters around them: the text between matches tells where each match begins."""
     pattern = patterns[kind].replace("\\", "\\\\")
-    return F.expr(f"""
-      aggregate(
-        zip_with(split(text, '{pattern}', -1), regexp_extract_all(text, '{pattern}', 0), (g, h) -> named_struct('gap', g, 'hit', h)),
-        named_struct('at', 0, 'out', CAST(array() AS array<struct<kind:string,start:int,end:int,hit:string>>)),
-        (acc, x) -> named_struct(
-          'at', acc.at + length(x.gap) + coalesce(length(x.hit), 0),
-          'out', IF(x.hit IS NULL, acc.out, array_append(acc.out, named_struct(
-            'kind', '{kind}', 'start', acc.at + length(x.gap), 'end', acc.at + length(x.gap) + length(x.hit), 'hit', x.hit)))),
-        acc -> acc.out)""")
+    parts = f"""zip_with(zip_with(m.gaps, m.hits, (g, h) -> named_struct('gap', g, 'hit', h)),
+      zip_with(slice(m.gaps, 2, size(m.gaps)), slice(m.hits, 2, size(m.gaps)), (g, h) -> IF(g <> '', left(g, 1), left(h, 1))),
+      (p, n) -> named_struct('gap', p.gap, 'hit', p.hit, 'post', n))"""
+    zero = "named_struct('at', 0, 'tail', '')"
+    step = f"""named_struct('at', s.at + length(x.gap) + coalesce(length(x.hit), 0),
+      'tail', right(concat(s.tail, right(x.gap, {WINDOW}), coalesce(right(x.hit, {WINDOW}), '')), {WINDOW}))"""
+    emit = f"""named_struct('kind', '{kind}', 'start', s.at + length(x.gap), 'end', s.at + length(x.gap) + length(x.hit), 'hit', x.hit,
+      'pre', right(concat(s.tail, right(x.gap, {WINDOW})), {WINDOW}), 'post', coalesce(x.post, ''))"""
+    matches = f"named_struct('gaps', split(text, '{pattern}', -1), 'hits', regexp_extract_all(text, '{pattern}', 0))"
+    spans = _let(matches, "m", _let(parts, "items", _running("items", zero, step, emit, SPAN)))
+    return F.filter(F.expr(spans), lambda x: x["hit"].isNotNull())
 
 
 def _none() -> Column:
-    return F.expr("CAST(array() AS array<struct<kind:string,start:int,end:int,hit:string>>)")
+    return F.expr(f"CAST(array() AS array<{SPAN}>)")
 
 
 def _valid(x: Column) -> Column:
@@ -125,7 +152,7 @@ def candidates() -> Column:
     def described(x: Column) -> Column:
         digits = F.length(F.regexp_replace(x["hit"], "[^0-9]", ""))
         groups = F.size(F.split(F.trim(F.regexp_replace(x["hit"], "[^0-9A-Za-z]+", " ")), " "))
-        near = F.substring("text", F.greatest(x["start"] - WINDOW + 1, F.lit(1)), F.least(x["start"], F.lit(WINDOW)))
+        near = x["pre"]
         named = F.lit(False)
         for k in KINDS:
             named = F.when(x["kind"] == k, near.rlike(NEAR[k])).otherwise(named)
@@ -133,8 +160,8 @@ def candidates() -> Column:
             x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
             F.least(digits, F.lit(20)).alias("digits"), F.least(groups, F.lit(6)).alias("groups"),
             (F.when(x["hit"].contains("("), 1).otherwise(0) + F.when(x["hit"].rlike("[-/]"), 2).otherwise(0) + F.when(x["hit"].contains(" "), 4).otherwise(0) + F.when(x["hit"].contains("."), 8).otherwise(0)).alias("marks"),
-            _class(F.when(x["start"] == 0, "").otherwise(F.substring("text", x["start"], F.lit(1)))).alias("before"),
-            _class(F.substring("text", x["end"] + 1, F.lit(1))).alias("after"),
+            _class(F.right(x["pre"], F.lit(1))).alias("before"),
+            _class(x["post"]).alias("after"),
             named.cast("int").alias("near"),
             F.when(x["hit"].startswith("00"), 1).when(x["hit"].startswith("0"), 2).when(x["hit"].startswith("("), 3).when(x["hit"].startswith("+"), 4).otherwise(0).alias("lead"),
             # how an address is written out: 1 in brackets, 2 both words, 3 and 4 "at" alone before a part with and without signs
@@ -320,7 +347,8 @@ def examples(count: int = 12_000, seed: int = 4) -> list[tuple[int, str, str, in
 def fit(spark: SparkSession, precision: float) -> tuple[float, list, list[float]]:
     """Trees and a threshold per kind, from the feature classes of generated candidates: half for each."""
     texts = spark.createDataFrame(examples(), "number int, text string, kind string, start int, end int")
-    found = texts.select("number", F.struct("kind", "start", "end").alias("real"), F.explode(_free(candidates(), base_spans())).alias("c"))
+    texts = texts.select("number", "text", F.struct("kind", "start", "end").alias("real"))
+    found = _with_candidates(texts, "number", "real").select("number", "real", F.explode("candidates").alias("c"))
     is_real = ((F.col("c.kind") == F.col("real.kind")) & (F.col("c.start") == F.col("real.start")) & (F.col("c.end") == F.col("real.end"))).cast("int")
     held_out = F.floor(F.col("number") / (4 * len(KINDS))) % 2
     counts = found.select("c.kind", *(f"c.{f}" for f in FEATURES), is_real.alias("real"), held_out.alias("half")).groupBy("kind", *FEATURES, "half").agg(
@@ -343,18 +371,32 @@ def fit(spark: SparkSession, precision: float) -> tuple[float, list, list[float]
     return start, trees, cuts
 
 
-def _free(spans: Column, base: Column) -> Column:
-    """The spans that touch no base span."""
-    return F.filter(spans, lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+def _free(spans: str, base: str, kind: str) -> str:
+    """The spans (of type ``kind``) that touch no base span; both are names or short expressions.
+
+    Both are sorted together and run through twice: forwards with the furthest end of a base span so far, backwards with
+    the nearest start of one.
+    """
+    both = f"""concat(
+      transform({base}, b -> named_struct('start', b.start, 'no', 0, 'end', b.end, 'span', CAST(NULL AS {kind}))),
+      transform({spans}, c -> named_struct('start', c.start, 'no', 1, 'end', c.end, 'span', c)))"""
+    from_left = _running("rows", "-1", "IF(x.no = 0, greatest(s, x.end), s)", "s > x.start", "boolean")
+    from_right = _let("reverse(rows)", "back", _running("back", "2147483647", "IF(x.no = 0, least(s, x.start), s)", "s < x.end", "boolean"))
+    touched = f"zip_with({from_left}, reverse({from_right}), (a, b) -> a OR b)"
+    kept = f"transform(filter(zip_with(rows, {touched}, (r, t) -> named_struct('r', r, 't', t)), z -> z.r.no = 1 AND NOT z.t), z -> z.r.span)"
+    return f"IF(size({base}) = 0 OR size({spans}) = 0, {spans}, {_let(f'array_sort({both})', 'rows', kept)})"
+
+
+def _with_candidates(texts: DataFrame, *others: str) -> DataFrame:
+    """``base``, and the ``candidates`` that touch none of it."""
+    found = texts.select(*others, base_spans().alias("base"), candidates().alias("candidates"))
+    kind = found.schema["candidates"].dataType.elementType.simpleString()
+    return found.select(*others, "base", F.expr(_free("candidates", "base", kind)).alias("candidates"))
 
 
 def find(docs: DataFrame, precision: float = 0.97) -> DataFrame:
     """(doc_id, base, spans): arrays of (kind, start, end), by start and then kind."""
     start, trees, cuts = fit(docs.sparkSession, precision)
-    texts = documents(docs).withColumn("base", base_spans())
-    found = texts.select(
-        "doc_id", F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end"))).alias("base"),
-        _free(candidates(), F.col("base")).alias("candidates"))
 
     def chosen(x: Column) -> Column:
         cut = F.lit(math.inf)
@@ -362,12 +404,20 @@ def find(docs: DataFrame, precision: float = 0.97) -> DataFrame:
             cut = F.when(x["kind"] == k, value).otherwise(cut)
         return _score(x, start, trees) >= cut
 
+    def bare(spans) -> Column:
+        return F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+
     def ordered(c: Column) -> Column:
         keyed = F.transform(c, lambda s: F.struct(s["start"].alias("start"), _kind_no(s["kind"]).alias("no"), s["end"].alias("end"), s["kind"].alias("kind")))
         return F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
-    found = found.select("doc_id", "base", F.transform(F.filter("candidates", chosen), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("added"))
-    single = F.filter("added", lambda x: ~F.exists("added", lambda y: (_kind_no(y["kind"]) < _kind_no(x["kind"])) & (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    found = _with_candidates(documents(docs), "doc_id").select("doc_id", bare("base").alias("base"), bare(F.filter("candidates", chosen)).alias("added"))
+    first = f"filter(added, a -> a.kind = '{KINDS[0]}')"
+    later = [
+        _free(f"filter(added, a -> a.kind = '{k}')", f"filter(added, a -> a.kind IN ({', '.join(map(repr, KINDS[:i]))}))", "struct<kind:string,start:int,end:int>")
+        for i, k in enumerate(KINDS) if i
+    ]
+    single = F.expr(f"IF(size(added) < 2, added, concat({', '.join([first, *later])}))")
     return found.select("doc_id", ordered(F.col("base")).alias("base"), ordered(F.concat("base", single)).alias("spans"))
 
 

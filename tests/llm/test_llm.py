@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -398,6 +399,44 @@ def test_pii_base_spans(spark, odd_rows, empty):
     assert not pii.find(empty).collect()
 
 
+def test_pii_base_spans_of_random_texts(spark):
+    """Runs, restarts after a match and broken patterns, from an alphabet of what the patterns are made of."""
+    r = random.Random(6)
+    texts = ["".join(r.choice("ab1.2@+- _(9)é0") for _ in range(r.randint(1, 120))) for _ in range(1500)]
+    texts += ["".join(r.choice(["a@b.c", "_d", "@", ".", "1.2.3.4", "5", "+1 234567890", " ", "4111111111111111"]) for _ in range(r.randint(1, 30))) for _ in range(1500)]
+    got = {x["doc_id"]: x["b"] for x in pii.find(frame(spark, list(enumerate(texts)))).select("doc_id", pii.written(F.col("base")).alias("b")).collect()}
+    assert got == {i: spans_by_hand(t) for i, t in enumerate(texts)}
+
+
+def test_pii_sweep_against_all_pairs(spark):
+    r = random.Random(7)
+    def spans(n):
+        return [(a, a + r.randint(1, 9)) for a in (r.randint(0, 60) for _ in range(n))]
+
+    rows = [(i, spans(r.choice([0, 1, 5, 300])), spans(r.choice([0, 1, 4, 600]))) for i in range(60)]
+    kind = "struct<start:int,end:int>"
+    df = spark.createDataFrame(rows, f"id int, base array<{kind}>, cs array<{kind}>")
+    for x in df.select("id", F.expr(pii._free("cs", "base", kind)).alias("free")).collect():
+        base, cs = rows[x["id"]][1:]
+        want = [c for c in cs if not any(a < c[1] and c[0] < b for a, b in base)]
+        assert Counter(map(tuple, x["free"])) == Counter(want)
+
+
+def test_pii_of_long_runs_and_many_spans(spark):
+    """Work grows with the text: unbroken runs of a megabyte and ten thousand spans take seconds, not hours."""
+    n, many = 1_000_000, 10_000
+    texts = {
+        1: "a" * n + " x@y.zz", 2: "A1b." * (n // 4) + "@ x@y.zz", 3: "7" * n + " 1.2.3.4", 4: "+" * n, 5: "-@" * (n // 2),
+        6: "1.2.3.4 " * many, 7: "a@b.cc " * many, 8: "john at host dot com, " * 4000 + "a@b.cc " * 4000,
+    }
+    began = time.time()
+    got = {x["doc_id"]: x["b"] for x in pii.find(frame(spark, list(texts.items()))).select("doc_id", pii.written(F.col("base")).alias("b")).collect()}
+    took = time.time() - began
+    assert got[1] == f"email:{n + 1}:{n + 7}" and got[2] == f"email:{n + 2}:{n + 8}" and got[3] == f"ip:{n + 1}:{n + 8}" and got[4] == got[5] == ""
+    assert all(got[i] == spans_by_hand(texts[i]) for i in (6, 7, 8))
+    assert took < 120
+
+
 def test_pii_adds_what_looks_alike(spark):
     """National telephone numbers share format and context with base ones, numbers in other contexts do not."""
     r = random.Random(9)
