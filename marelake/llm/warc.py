@@ -11,7 +11,7 @@ time stamp, completed to the second; its type follows the content (version block
 anything else: resource); payload and block digests are SHA-1 of the bytes.  Of responses with equal payloads (digest and
 length) of at least ``min_bytes`` the one with the smallest page id is the response and the others become revisits,
 which hold the HTTP header alone.  Records of unequal digests share no task: the rows that decide are narrow, and
-the contents are dealt by record identifier, which no other row has.
+the contents, still packed as they lay in the archive, are dealt by record identifier, which no other row has.
 
 *Files.*  A task packs its records into archives of about ``archive_bytes``, one gzip member per record, and hands each
 archive as one row to Spark's text sink, one row per file: Spark's commit protocol decides which files exist, so a
@@ -66,7 +66,7 @@ NO_DATE = "1970-01-01T00:00:00Z"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:marelake:arc-to-warc")
 END_MARK = gzip.compress(b"", mtime=0)
 INDEX = "record_id string, kind string, uri string, date string, page_id long, payload_digest string, payload_bytes long"
-CONTENT = "record_id string, kind string, uri string, ip string, date string, mime string, info_id string, cut boolean, packed binary"
+CONTENT = "record_id string, kind string, uri string, ip string, date string, mime string, info_id string, cut boolean, skip int, size int, packed binary"
 RECORDS = "record_id string, kind string, uri string, date string, page_id long, payload_digest string, payload_bytes long, refers_to_id string"
 
 
@@ -198,26 +198,65 @@ def write_arc(pages: DataFrame, path: str, archive_bytes: int = 1 << 26) -> str:
     return write_files(narrow, pack, path)
 
 
+def members(data: bytes, begin: int = 0, most: int = 1 << 26) -> Iterator[tuple[int, int, bytes | None]]:
+    """(begin, end, content) of each gzip member; the last has no content if it unpacks to more than ``most`` bytes."""
+    view = memoryview(data)
+    while begin < len(data):
+        unpack, at, parts, size = zlib.decompressobj(31), begin, [], 0
+        while not unpack.eof and at < len(data):
+            parts.append(unpack.decompress(view[at : at + (1 << 16)]))
+            size += len(parts[-1])
+            at += 1 << 16
+            if size > most:
+                yield begin, len(data), None
+                return
+        end = min(at, len(data)) - len(unpack.unused_data)
+        yield begin, end, b"".join(parts)
+        begin = end
+
+
 def arc_records(data: bytes) -> Iterator[dict]:
-    """The records of one ARC file: header fields, offset, content, and whether the file ends inside it."""
-    stream, at, version, name = opened(data), 0, 1, ""
+    """The records of one ARC file: header fields, offset, content, and whether the file ends inside it.
+
+    Where a gzip member holds one record, the record has it as ``packed``, with ``skip`` bytes before the content.
+    Files that are plain, or packed otherwise, are read as one stream.
+    """
+    state = {"at": 0, "version": 1, "archive": ""}
+    if data[:2] != b"\x1f\x8b":
+        yield from _arc_stream(io.BufferedReader(io.BytesIO(data)), state)
+        return
+    for begin, end, plain in members(data):
+        before = dict(state)
+        found = [] if plain is None else list(_arc_stream(io.BytesIO(plain), state))
+        after = plain and plain[found[0]["skip"] - before["at"] + len(found[0]["content"]) if found else 0 :]
+        if plain is None or len(found) > 1 or any(r["cut"] for r in found) or after.strip():
+            yield from _arc_stream(opened(data[begin:]), before)
+            return
+        state["at"] = before["at"] + len(plain)
+        for r in found:
+            yield r | {"packed": data[begin:end], "skip": r["skip"] - before["at"]}
+
+
+def _arc_stream(stream, state: dict) -> Iterator[dict]:
+    """Records of a stream; ``state`` carries offset, version and name of the archive over its parts."""
     while line := stream.readline():
-        here, at = at, at + len(line)
+        here = state["at"]
+        state["at"] += len(line)
         head = line.rstrip(b"\r\n")
         opens = head.startswith(b"filedesc://")
-        found = (ARC_LINES[2].fullmatch(head) or ARC_LINES[1].fullmatch(head)) if opens else ARC_LINES[version].fullmatch(head)
+        found = (ARC_LINES[2].fullmatch(head) or ARC_LINES[1].fullmatch(head)) if opens else ARC_LINES[state["version"]].fullmatch(head)
         if found is None:
             continue
-        length = int(found["length"])
+        length, skip = int(found["length"]), state["at"]
         content = stream.read(length)
-        at += len(content)
+        state["at"] += len(content)
         if opens:
             first = content.split(b"\n", 1)[0].split()
-            version = int(first[0]) if first and first[0] in (b"1", b"2") else 1
-            name = found["url"][len(b"filedesc://"):].decode("utf-8", "replace")
+            state["version"] = int(first[0]) if first and first[0] in (b"1", b"2") else 1
+            state["archive"] = found["url"][len(b"filedesc://"):].decode("utf-8", "replace")
         yield {
-            "archive": name, "offset": here, "filedesc": opens, "version": version, "content": content, "cut": len(content) < length,
-            **{k: found[k].decode("utf-8", "replace") for k in ("url", "ip", "date", "mime")},
+            "archive": state["archive"], "offset": here, "filedesc": opens, "version": state["version"], "content": content, "cut": len(content) < length,
+            "skip": skip, **{k: found[k].decode("utf-8", "replace") for k in ("url", "ip", "date", "mime")},
         }
 
 
@@ -272,10 +311,12 @@ def _index_rows(data: bytes) -> Iterator[tuple]:
 
 def _content_rows(data: bytes) -> Iterator[tuple]:
     for r in converted(data):
-        content = r["content"]
+        content, packed, skip = r["content"], r.get("packed"), r["skip"]
         if r["kind"] == "warcinfo":
-            content = f"software: marelake\r\nformat: WARC File Format 1.1\r\nisPartOf: {r['archive']}\r\ndescription: ARC version {r['version']}\r\n".encode()
-        yield r["record_id"], r["kind"], r["url"], r["ip"], r["warc_date"], r["mime"], r["info_id"], r["cut"], zlib.compress(content, 1)
+            content, packed = f"software: marelake\r\nformat: WARC File Format 1.1\r\nisPartOf: {r['archive']}\r\ndescription: ARC version {r['version']}\r\n".encode(), None
+        if packed is None:
+            packed, skip = member(content), 0
+        yield r["record_id"], r["kind"], r["url"], r["ip"], r["warc_date"], r["mime"], r["info_id"], r["cut"], skip, len(content), packed
 
 
 def revisits(index: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -293,7 +334,7 @@ def warc_record(fields: dict[str, str | None], block: bytes) -> bytes:
 
 
 def _as_warc(row: dict, to: dict | None) -> bytes:
-    content = zlib.decompress(row["packed"])
+    content = zlib.decompress(row["packed"], 31)[row["skip"] : row["skip"] + row["size"]]
     kind = "revisit" if to else row["kind"]
     head = head_length(content) if kind in ("response", "revisit") else 0
     block = content[:head] if to else content

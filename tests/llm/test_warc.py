@@ -125,3 +125,20 @@ def test_old_archives_convert(spark, tmp_path):
     assert got["http://x/a b c"][:3] == got["http://w/"][:3] or {got["http://x/a b c"][0], got["http://w/"][0]} == {"response", "revisit"}
     assert got["http://w/"][1:3] == (3, warc.sha1(b"abc")) and got["dns:z"][:2] == ("resource", 7) and len(got) == 5
     assert all(v[3] is None for v in got.values())
+
+
+@pytest.mark.parametrize("cuts", [[], [60], "records", "some"])
+def test_archives_packed_in_any_way_give_the_same_records(cuts):
+    """One member, members that cut records, a member per record, and records of which two share a member."""
+    plain = list(warc.arc_records(OLD_1))
+    if isinstance(cuts, str):
+        cuts = [r["offset"] for r in plain][1 :: 1 if cuts == "records" else 2]
+    places = [0, *cuts, len(OLD_1)]
+    data = b"".join(gzip.compress(OLD_1[a:b]) for a, b in zip(places, places[1:], strict=False)) + warc.END_MARK
+    got = list(warc.arc_records(data))
+    drop = lambda r: {k: v for k, v in r.items() if k not in ("packed", "skip")}
+    assert [drop(r) for r in got] == [drop(r) for r in plain]
+    for r in got:
+        if "packed" in r:
+            assert gzip.decompress(r["packed"])[r["skip"] : r["skip"] + len(r["content"])] == r["content"]
+    assert all(p is not None for *_, p in warc.members(data)) and [x[2] for x in warc.members(gzip.compress(b"x" * 200_000), most=1000)] == [None]
