@@ -208,6 +208,46 @@ def test_top_k(spark, block):
     assert not topk.top_k(df.limit(0), df.limit(0)).collect()
 
 
+def test_top_k_of_repeated_rows_and_large_components(spark):
+    r = random.Random(9)
+    vectors = [(20, [r.uniform(-1, 1) for _ in range(6)])] * 9 + [(40, [1.5] * 6)] * 3 + [(i, [r.uniform(-1, 1) for _ in range(6)]) for i in range(1, 9)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    for block in (1, 4, 16):
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), k=5, block=block).groupBy("query_id", "rank").count().collect()
+        assert {(x["query_id"], x["rank"], x["count"]) for x in got} == {(q, n, c) for q, c in ((20, 9), (40, 3)) for n in range(1, 6)}
+    for size in (1e6, 1e7, 1e30, 1e306):
+        large = [(i, [r.choice([-1, 1]) * size * (1 + i), float(i), size]) for i in range(0, 60)]
+        df = spark.createDataFrame(large, "vec_id long, embedding array<double>")
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), k=7)
+        most = 2**63 - 1
+        want = set()
+        whole = [(i, [int(np.clip(np.floor(64.0 * float(x)), -1e300, 1e300)) for x in v]) for i, v in large]
+        for q, a in whole[::20]:
+            scores = sorted((-max(-most, min(most, sum(x * y for x, y in zip(a, b, strict=True)))), i) for i, b in whole if i != q)
+            want |= {(q, n, i, -x) for n, (x, i) in enumerate(scores[:7], 1)}
+        assert {tuple(x) for x in got.collect()} == want, size
+
+
+@pytest.mark.parametrize("slices", [1, 2, 3, 5])
+def test_top_k_leaves_out_most_later_slices(slices):
+    """Groups of near vectors: few pairs are summed beyond the first slice, and none that reaches the cutoff is lost."""
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(100, 48))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    v = np.floor(64 * (centres[np.arange(1000) % 100] + r.normal(size=(1000, 48)) * 0.03))
+    q = v[:40]
+    scores = q @ v.T
+    other = np.arange(40)[:, None] != np.arange(1000)[None]
+    cutoff = np.sort(np.where(other, scores, -1e9), axis=1)[:, -5].astype(np.int64)
+    cutoff[7] = topk.NONE
+    for some in (cutoff, np.delete(cutoff, 7)):
+        keep = np.ones(40, bool) if len(some) == 40 else np.arange(40) != 7
+        at_q, at_v, got, done = topk.collect(q[keep], v, other[keep], some, topk._runs(48, slices))
+        want = other[keep] & ((scores[keep] >= some[:, None]) | (some == topk.NONE)[:, None])
+        assert set(zip(at_q, at_v, got, strict=True)) == {(a, b, scores[keep][a, b]) for a, b in zip(*np.nonzero(want), strict=True)}
+        assert done <= want.size * (48 - 48 // slices) * (0.05 if slices == 2 else 1)
+
+
 # decontamination
 
 
