@@ -3,8 +3,8 @@
 Vectors are parted by rows over the tasks, and each vector in ``slices`` runs of components, those with most energy
 first, whose partial inner products sum to the score.  Queries come in blocks of bounded size; for a block:
 
-1. every task gathers, per query, the exact scores of the rows that are its k best by the first slice.  They belong to
-   different vectors, so the k-th largest of all lists is a score that the answer reaches: a safe cutoff;
+1. every task gathers, per query, the k largest exact scores of the rows that are best by the first slice (k of every
+   1,024).  They belong to different vectors, so the k-th largest of all lists is a score that the answer reaches: a safe cutoff;
 2. the cutoffs, one number for each query of the block, go to all tasks.  A vector whose partial scores all lie
    below cutoff / slices cannot reach it, so only pairs are collected whose first slice lies at or above this uniform
    threshold or whose norms let a later slice do so, and whose first slice plus the norms' bound on the others
@@ -139,29 +139,19 @@ def _local_scores(ids: np.ndarray, q: np.ndarray, k: int, order: np.ndarray, sca
     schema = arrow_schema(T._parse_datatype_string("q int, scores array<long>"))
 
     def run(batches):
-        part, best = np.full((len(q), k), -np.inf), np.full((len(q), k), NONE)
+        best = np.full((len(q), k), NONE)
         for vec_id, v in _scan(batches, order, scale):
             n = min(k, len(vec_id))
             for g in _groups(len(q)):
                 exact = _largest(q[g], v) < 2**52
-                local = q[g, first] @ v[:, first].T if exact else _whole(q[g], v).astype(float)
+                whole = None if exact else _whole(q[g], v)
+                local = q[g, first] @ v[:, first].T if exact else whole.astype(float)
                 local[ids[g][:, None] == vec_id[None]] = -np.inf
-                low = part[g].min(1)[:, None]
-                rows = np.flatnonzero((local > low).any(1))
-                if not len(rows):
-                    continue
-                top = np.argpartition(-local[rows], n - 1, axis=1)[:, :n]
-                value = np.take_along_axis(local[rows], top, 1)
-                new = value > low[rows]
-                at_q, at = np.nonzero(new)
-                score = np.full(new.shape, NONE)
-                if exact:
-                    score[new] = _pairs(q[g][rows], v, at_q, top[at_q, at]).astype(np.int64)
-                else:
-                    score[new] = _whole(q[g], v)[rows[at_q], top[at_q, at]]
-                rows = rows + g.start
-                best[rows] = np.sort(np.concatenate([best[rows], score], 1), 1)[:, -k:]
-                part[rows] = np.sort(np.concatenate([part[rows], np.where(new, value, -np.inf)], 1), 1)[:, -k:]
+                top = np.argpartition(-local, n - 1, axis=1)[:, :n]
+                at_q = np.repeat(np.arange(len(top)), n)
+                score = _pairs(q[g], v, at_q, top.ravel()).astype(np.int64) if exact else whole[at_q, top.ravel()]
+                score[local[at_q, top.ravel()] == -np.inf] = NONE
+                best[g] = np.sort(np.concatenate([best[g], score.reshape(-1, n)], 1), 1)[:, -k:]
         held = best > NONE
         if held.any():
             scores = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], held.sum(1).cumsum()]), pa.int32()), pa.array(best[held]))
