@@ -7,8 +7,8 @@ Three steps, of which only the first touches text:
 2. the histogram of piece lengths, at most ``max_len`` numbers however many documents there are, is packed:
    lengths are placed longest first, each into the pack with the most room, and equal packs are kept as one
    pattern with a count;
-3. pieces get a rank within their length.  Rows are range-partitioned by (length, document), so a length that a
-   third of all pieces share is spread over many tasks; the rank is the row's place in its task plus the count of
+3. pieces get a rank within their length.  Rows are range-partitioned by (length, document, start, row), so a length
+   that a third of all pieces share is spread over many tasks, whatever their documents; the rank is the row's place in its task plus the count of
    that length in earlier tasks.  The rank tells pattern, copy of the pattern, and offset.
 
 Defined results: null text is the empty text, an empty document is the one end id; rows that repeat a ``doc_id``
@@ -200,8 +200,10 @@ def _places(df: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int = 1) -> DataFrame:
     """``pieces`` of all documents with their ``sequence_id`` and ``offset``."""
     spark = docs.sparkSession
-    cut = store(pieces(docs, tokenizer_path, max_len, end_id), "pieces")
-    ranged = cut.repartitionByRange(partitions(spark), "length", "doc_id", "start").sortWithinPartitions("length", "doc_id", "start")
+    # the stored row number tells apart pieces of equal length, document and start, such as those without doc_id
+    cut = store(pieces(docs, tokenizer_path, max_len, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    by = ("length", "doc_id", "start", "row")
+    ranged = cut.repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by).drop("row")
     placed = store(_places(ranged.withColumn("part", F.spark_partition_id())), "places")
     # at most one row for each task and length, and only neighbouring tasks share a length
     per_task = sorted((r["length"], r["part"], r["n"]) for r in placed.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).collect())
