@@ -19,6 +19,10 @@ columns are ignored, and stay in ``keep_one``, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import combinations
+from math import comb
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,35 +138,58 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def shard_links(fp: np.ndarray, home: np.ndarray, radius: int, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+def _flips(mask: int, radius: int) -> tuple[int, Iterator[np.uint64]]:
+    """How many values differ from one in 1 to ``radius`` bits outside ``mask``, and the bits that differ."""
+    bits = [1 << b for b in range(64) if not mask >> b & 1]
+    number = sum(comb(len(bits), d) for d in range(1, radius + 1))
+    return number, (np.uint64(sum(some)) for d in range(1, radius + 1) for some in combinations(bits, d))
+
+
+def shard_links(fp: np.ndarray, home: np.ndarray, radius: int, mask: np.uint64, longest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect all points of a shard within the radius, at least one of a pair at home here.
 
     Points are ordered by the bits of the shard's metric when its query radius is 0: only equal ones can be
-    linked.  Neighbours at ever larger steps are compared as long as any such pair is left.  Links are folded
-    to their components on the way, so a dense group never holds all of its pairs.
+    linked.  Neighbours at ever larger steps are compared as long as any such pair is left.  In a run of more than
+    ``longest`` equal ones, such as a dense group that no vantage point splits, every point instead looks up the
+    values its ball holds, so the work grows with the points and not with their pairs.  Links are folded to their
+    components on the way, so a dense group never holds all of its pairs.
     """
     order = np.argsort(fp & mask, kind="stable")
     fp, key = fp[order], (fp & mask)[order]
     at_home = home[order]
     a, b, n_links = [], [], 0
-    live = np.arange(len(fp))
+
+    def link(one: np.ndarray, other: np.ndarray) -> None:
+        nonlocal a, b, n_links
+        held = at_home[one] | at_home[other]
+        if held.any():
+            a.append(one[held])
+            b.append(other[held])
+            n_links += len(a[-1])
+        if n_links > 2_000_000:
+            root = _roots(len(fp), np.concatenate(a), np.concatenate(b))
+            moved = np.flatnonzero(root != np.arange(len(fp)))
+            a, b, n_links = [moved], [root[moved]], len(moved)
+
+    number, flips = _flips(int(mask), radius)
+    _, run, size = np.unique(key, return_inverse=True, return_counts=True)
+    # a look-up costs about as much as 16 comparisons, and a pair is compared once
+    long = size[run] > (32 * number if longest is None else longest)
+    live = np.flatnonzero(~long)
     step = 1
-    while True:
-        live = live[live + step < len(fp)]
-        if mask != 0:
-            live = live[key[live] == key[live + step]]
-        if not len(live):
-            break
-        near = live[(np.bitwise_count(fp[live] ^ fp[live + step]) <= radius) & (at_home[live] | at_home[live + step])]
-        if len(near):
-            a.append(near)
-            b.append(near + step)
-            n_links += len(near)
-            if n_links > 2_000_000:
-                root = _roots(len(fp), np.concatenate(a), np.concatenate(b))
-                moved = np.flatnonzero(root != np.arange(len(fp)))
-                a, b, n_links = [moved], [root[moved]], len(moved)
+    while len(live := live[live + step < len(fp)]):
+        live = live[key[live] == key[live + step]]
+        near = live[np.bitwise_count(fp[live] ^ fp[live + step]) <= radius]
+        link(near, near + step)
         step += 1
+    dense = np.flatnonzero(long)
+    dense = dense[np.argsort(fp[dense])]
+    for bits in flips if len(dense) else ():
+        value = fp[dense] ^ bits
+        up = np.flatnonzero(value > fp[dense])
+        at = np.minimum(np.searchsorted(fp[dense], value[up]), len(dense) - 1)
+        there = fp[dense[at]] == value[up]
+        link(dense[up[there]], dense[at[there]])
     if not a:
         return fp[:0], fp[:0]
     root = _roots(len(fp), np.concatenate(a), np.concatenate(b))

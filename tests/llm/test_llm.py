@@ -109,6 +109,12 @@ def test_packing_round_trip(spark, odd_rows, empty):
     assert not packing.pack(empty, queries.tokenizer_file()).collect()
 
 
+def test_pieces_without_an_id_are_spread_over_tasks(spark):
+    rows = [(None, "same words")] * 400 + [(1, "same words")] * 5
+    spread = packing.pack(frame(spark, rows).repartition(8), queries.tokenizer_file()).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in spread) == 405 and max(r["count"] for r in spread) < 200
+
+
 def test_histogram_packing_is_tight():
     r = random.Random(5)
     counts = Counter(min(2048, max(1, int(r.expovariate(1 / 500)))) for _ in range(5000))
@@ -174,6 +180,33 @@ def test_forest_finds_every_link(spark, leaf, sample):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("mask", [0, 0xFFFF])
+@pytest.mark.parametrize("longest", [0, 40, 10_000, None])
+def test_links_of_a_dense_shard(mask, longest):
+    """Look-ups and comparisons name the same groups, also where only some points are at home."""
+    r = random.Random(mask + 5)
+    centres = [r.getrandbits(64) for _ in range(4)]
+    points = sorted({c ^ sum(1 << b for b in r.sample(range(16, 64), r.randint(0, 3))) for c in centres for _ in range(400)} | {r.getrandbits(64) for _ in range(300)})
+    home = [r.random() < 0.5 for _ in points]
+    a, b = simhash.shard_links(np.array(points, np.uint64), np.array(home), 2, np.uint64(mask), longest)
+
+    def groups(pairs):
+        root = {p: p for p in points}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for x, y in pairs:
+            x, y = sorted((find(x), find(y)))
+            root[y] = x
+        return [find(p) for p in points]
+
+    near = [(p, q) for i, p in enumerate(points) for j, q in enumerate(points[:i]) if (p ^ q).bit_count() <= 2 and (home[i] or home[j]) and not (p ^ q) & mask]
+    assert groups(zip(a.tolist(), b.tolist(), strict=True)) == groups(near) and near
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1002), (1002, 1000)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.components(links).collect()}
@@ -524,6 +557,27 @@ def test_language_id(spark, odd_rows, empty):
     assert not language_id.train_and_identify(docs.limit(0)).collect()
 
 
+def test_language_by_plain_sizes(spark):
+    """The whole prediction from the sizes that zstandard's one-call interface gives."""
+    import zstandard as z
+
+    r = random.Random(3)
+    tongues = {"xx": "kala mira tolu sana wiku".split(), "yy": "grot brek stiv plonk drum".split(), "zz": "kala brek ün tolu drum".split()}
+    rows = [(i, " ".join(r.choice(tongues[lang]) for _ in range(r.choice([1, 2, 9, 300, 4000]))), lang) for i in range(60) for lang in [r.choice(sorted(tongues))]]
+    docs = spark.createDataFrame([*rows, (99, "", None)], "doc_id long, text string, lang string")
+    learned = language_id.learn_dictionaries(docs)
+    got = {x["doc_id"]: x for x in language_id.identify(docs, learned).collect()}
+    for i, t, _ in rows:
+        raw, sizes = language_id.letters(t), []
+        for lang, content in learned.items():
+            press = z.ZstdCompressor(level=6, dict_data=z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes.append((sum(len(press.compress(raw[at : at + 1024])) for at in range(0, len(raw), 1024)), len(sizes), lang))
+        sizes.sort()
+        assert got[i]["lang_pred"] == sizes[0][2] and got[i]["rejected"] == ((sizes[1][0] - sizes[0][0]) / sizes[1][0] < 0.01)
+        shares = [2 ** (-40 * (n - sizes[0][0]) / sizes[0][0]) for n, _, _ in sizes]
+        assert abs(got[i]["score"] - 1 / sum(shares)) < 1e-9
+
+
 # suffix order
 
 
