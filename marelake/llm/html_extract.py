@@ -9,7 +9,8 @@ labelled pages; pages are extracted where they lie, without a shuffle.
 The given tables hold no labels, so the labelled pages come from the grammar in ``html_pages``, in which every block
 knows the part of the page it belongs to; ``train`` takes any other labelled pages as well.
 
-Defined results: null and empty pages, and pages without an article, give the empty text with 0 characters; repeated
+Defined results: null and empty pages, and pages without an article, give the empty text with 0 characters; very long
+pages are read whole; of two labellings of equal weight the one with fewer article blocks at the end is taken; repeated
 rows give repeated results; an empty table gives an empty result; other columns are ignored.
 """
 

@@ -6,7 +6,7 @@ short to serve as its own dictionary, so long texts are told apart as well as sh
 language's share when every byte saved against the worst one counts; a text whose two best sizes lie closer than
 ``margin`` is ``rejected`` (its best guess is still given).
 
-Defined results: a null text or one without a letter is ``und`` with score 0; null ``lang`` values teach nothing;
+Defined results: very long texts are compressed whole, block by block; equal sizes go to the commoner language; a null text or one without a letter is ``und`` with score 0; null ``lang`` values teach nothing;
 without any labelled text every result is ``und``; repeated rows give repeated results; an empty table gives an
 empty result; other columns are ignored.
 """

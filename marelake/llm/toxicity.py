@@ -14,7 +14,8 @@ Only a bounded sample of labelled rows fits the model (``max_labelled``); every
 
 Defined results: null and empty texts, and texts without a letter, get the score of a text without hits; without
 labelled rows of both classes every score is the share of toxic labels, 0 without labels; repeated rows give repeated
-results, and a document labelled twice counts twice; null labels teach nothing; an empty table gives an empty result;
+results, and a document labelled twice counts twice; null labels teach nothing; of equally near terms the first in alphabetical order is hit; very long texts
+are scored whole; an empty table gives an empty result;
 other columns are ignored.
 """
 
