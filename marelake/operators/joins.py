@@ -16,6 +16,8 @@ def lookup_join(
     on: Mapping[str, str],
     hot: Sequence[object] = (),
     salts: int = SALTS,
+    spread_by: Sequence[str] = (),
+    grows: bool = False,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``{left column: right column}``.
 
@@ -32,7 +34,13 @@ def lookup_join(
     ``hot`` is for keys known to be heavy where that is not wanted (AQE off, or a
     single key far over the size of a task): their left rows, and those with NULL,
     get one of ``salts`` salts derived from the whole row, and right rows with such
-    a key are repeated once per salt.
+    a key are repeated once per salt.  ``spread_by`` names columns that tell rows apart
+    (the key of ``left``), so that the salt does not ask for every column.
+
+    ``grows`` is for a ``right`` that grows with the business.  Spark measures a table
+    by the size of its files, which are packed, and counts a row of an exploded one
+    once, so such a side may be called small and sent through the driver whole; it is
+    shuffled at every size instead.
     """
     pairs = list(on.items())
     renamed = right.select(
@@ -45,7 +53,7 @@ def lookup_join(
     if salts > 1 and hot:
         lead = pairs[0][0]
         heavy_left = F.col(lead).isin(list(hot)) | F.col(lead).isNull()
-        spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", F.when(heavy_left, spread).otherwise(F.lit(0)))
         all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
         heavy_right = F.col("_r0").isin(list(hot))
@@ -54,6 +62,8 @@ def lookup_join(
         )
         condition.append(F.col("_salt") == F.col("_rsalt"))
         drop += ["_salt", "_rsalt"]
+    if grows:
+        renamed = renamed.hint("merge")
     return left.join(renamed, condition, "left").drop(*drop)
 
 

@@ -77,6 +77,11 @@ def lookup(df: DataFrame, key: str, names: str, suffix: str = "", prefix: str =
     )
 
 
+def _lookup_entity(left: DataFrame, right: DataFrame, on: dict[str, str], key: str) -> DataFrame:
+    """Lookup in a table that grows with the business; ``key`` tells the rows of ``left`` apart."""
+    return lookup_join(left, right, on, grows=True)
+
+
 def _zero(name: str) -> Column:
     return F.coalesce(name, F.lit(0))
 
@@ -101,7 +106,8 @@ def atendimento(encounters: DataFrame, accounts: DataFrame) -> DataFrame:
     taken = {_stem(c) for c in left.columns}
     names = [c for c in business(accounts).columns if c != "nr_atendimento"]
     renames = {c: f"conta_{c}" if _stem(c) in taken else c for c in names}
-    joined = lookup_join(left, lookup(accounts, "nr_atendimento", "", **renames), {"nr_atendimento": "nr_atendimento"})
+    account = lookup(accounts, "nr_atendimento", "", **renames)
+    joined = lookup_join(left, account, {"nr_atendimento": "nr_atendimento"}, grows=True)
     own = {c: c for c in left.columns if c != "nr_atendimento"}
     return joined.withColumns(
         _restandardize(joined, "atendimento_paciente", own) | _restandardize(joined, "conta_paciente", renames)
@@ -112,9 +118,9 @@ def _stem(name: str) -> str:
     return name[3:] if name[:3] in ("dt_", "dh_") else name
 
 
-def _with_encounter(left: DataFrame, encounters: DataFrame, names: str) -> DataFrame:
+def _with_encounter(left: DataFrame, encounters: DataFrame, names: str, key: str) -> DataFrame:
     picked = lookup(encounters, "nr_atendimento", names, prefix="atend_")
-    joined = lookup_join(left, picked, {"nr_atendimento": "nr_atendimento"})
+    joined = _lookup_entity(left, picked, {"nr_atendimento": "nr_atendimento"}, key)
     renames = {n: f"atend_{n}" for n in names.split()}
     return joined.withColumns(_restandardize(joined, "atendimento_paciente", renames))
 
@@ -124,7 +130,7 @@ def movimentacao_paciente(stays: DataFrame, encounters: DataFrame) -> DataFrame:
     left = business(stays, "nr_atendimento")
     own = {c: c for c in left.columns if c != "nr_seq_interno"}
     left = left.withColumns(_restandardize(left, "atend_paciente_unidade", own))
-    return _with_encounter(left, encounters, " ".join(["cd_pessoa_fisica", *ENCOUNTER_FACTS]))
+    return _with_encounter(left, encounters, " ".join(["cd_pessoa_fisica", *ENCOUNTER_FACTS]), "nr_seq_interno")
 
 
 def procedimento(procedures: DataFrame, insurer_codes: DataFrame, encounters: DataFrame) -> DataFrame:
@@ -137,9 +143,10 @@ def procedimento(procedures: DataFrame, insurer_codes: DataFrame, encounters: Da
     own = {c: c for c in left.columns if c != "nr_sequencia"}
     left = left.withColumns(_restandardize(left, "procedimento_paciente", own))
     coding = "ds_procedimento cd_unidade_medida tx_conversao_qtde cd_grupo nr_proc_interno"
-    joined = lookup_join(left, lookup(insurer_codes, "nr_seq_procedimento", coding), {"nr_sequencia": "nr_seq_procedimento"})
+    coded = lookup(insurer_codes, "nr_seq_procedimento", coding)
+    joined = lookup_join(left, coded, {"nr_sequencia": "nr_seq_procedimento"}, grows=True)
     joined = joined.withColumns(_restandardize(joined, "proc_paciente_convenio", {c: c for c in coding.split()}))
-    return _with_encounter(joined, encounters, " ".join(ENCOUNTER_FACTS))
+    return _with_encounter(joined, encounters, " ".join(ENCOUNTER_FACTS), "nr_sequencia")
 
 
 # -- prescriptions ------------------------------------------------------------------
@@ -170,7 +177,7 @@ def prescricao(prescriptions: DataFrame, items: DataFrame) -> DataFrame:
             F.max(unsentinel("dt_lib_farmacia")).alias("dt_ultima_lib_farmacia"),
         )
     )
-    joined = lookup_join(head, per_head, {"nr_prescricao": "nr_prescricao"})
+    joined = lookup_join(head, per_head, {"nr_prescricao": "nr_prescricao"}, grows=True)
     joined = joined.withColumns({name: _zero(name) for name in ("qt_itens", *counts)})
     medicine = F.col("qt_medicamentos") > 0
     return joined.withColumns(
@@ -200,7 +207,7 @@ def erro_prescricao(errors: DataFrame, prescriptions: DataFrame, rules: DataFram
         rules, "nr_sequencia", "ds_regra ie_tipo_regra ie_exibe_farmacia",
         ds_mensagem="ds_mensagem_regra", ie_criticidade="ie_criticidade_regra", ie_acao="ie_acao_regra",
     )
-    joined = lookup_join(left, head, {"nr_prescricao": "nr_prescricao"})
+    joined = _lookup_entity(left, head, {"nr_prescricao": "nr_prescricao"}, "nr_sequencia")
     joined = lookup_join(joined, rule, {"nr_regra": "nr_sequencia"})
     resolved = unsentinel("dt_resolucao").isNotNull()
     return joined.withColumns(
@@ -219,7 +226,7 @@ def analise_farmaceutica(reviews: DataFrame, prescriptions: DataFrame) -> DataFr
         "nr_atendimento cd_medico cd_setor_atendimento cd_estabelecimento dt_prescricao",
         dt_liberacao="dt_liberacao_prescricao",
     )
-    joined = lookup_join(left, head, {"nr_prescricao": "nr_prescricao"})
+    joined = _lookup_entity(left, head, {"nr_prescricao": "nr_prescricao"}, "nr_sequencia")
     return joined.withColumn("ie_tem_intervencao", yes_no(has_text("ds_intervencao"))).withColumnRenamed(
         "nr_sequencia", "nr_seq_analise"
     )
@@ -248,7 +255,7 @@ def dispensacao(lots: DataFrame, items: DataFrame, classes: DataFrame, shifts: D
     )
     kind = lookup(classes, "nr_sequencia", "ds_classificacao", ie_momento="ie_momento_classif", ie_tipo_lote="ie_tipo_classif")
     shift = lookup(shifts, "nr_sequencia", "ds_turno", hr_inicio="hr_turno_inicio", hr_fim="hr_turno_fim")
-    joined = lookup_join(left, per_lot, {"nr_sequencia": "nr_seq_lote"})
+    joined = lookup_join(left, per_lot, {"nr_sequencia": "nr_seq_lote"}, grows=True)
     joined = lookup_join(joined, kind, {"nr_seq_classif": "nr_sequencia"})
     joined = lookup_join(joined, shift, {"nr_seq_turno": "nr_sequencia"})
     begun = unsentinel(F.col("dt_inicio_dispensacao").cast("date")).isNotNull()
@@ -282,9 +289,9 @@ def item_dispensacao(items: DataFrame, lots: DataFrame, materials: DataFrame, ho
         hours, "nr_sequencia", "dt_horario dt_lib_horario dt_administracao ie_agrupador ie_status_execucao ie_suspenso",
         suffix="_prescrito",
     )
-    joined = lookup_join(left, lot, {"nr_seq_lote": "nr_sequencia"})
-    joined = lookup_join(joined, material_, {"cd_material": "cd_material"})
-    joined = lookup_join(joined, hour, {"nr_seq_mat_hor": "nr_sequencia"})
+    joined = _lookup_entity(left, lot, {"nr_seq_lote": "nr_sequencia"}, "nr_sequencia")
+    joined = _lookup_entity(joined, material_, {"cd_material": "cd_material"}, "nr_sequencia")
+    joined = _lookup_entity(joined, hour, {"nr_seq_mat_hor": "nr_sequencia"}, "nr_sequencia")
     linked = F.col("nr_seq_mat_hor") != -1
     return joined.withColumn("ie_vinculado_horario", yes_no(linked)).withColumnRenamed("nr_sequencia", "nr_seq_item")
 
@@ -311,9 +318,10 @@ def movimento_estoque(
         ds_reduzida="ds_material_reduzida", ie_controlado="ie_controlado_material",
         ie_medicamento="ie_medicamento_material",
     )
-    joined = lookup_join(left, cost, {"nr_movimento_estoque": "nr_movimento_estoque"})
+    joined = lookup_join(left, cost, {"nr_movimento_estoque": "nr_movimento_estoque"}, grows=True)
+    joined = _lookup_entity(joined, material_, {"cd_material": "cd_material"}, "nr_movimento_estoque")
     joined = lookup_join(joined, operation, {"cd_operacao_estoque": "cd_operacao_estoque"})
-    joined = lookup_join(joined, material_, {"cd_material": "cd_material"})
+    joined = joined.select(*left.columns, *cost.columns[1:], *operation.columns[1:], *material_.columns[1:])
     op = F.col("cd_operacao_estoque")
     direction = F.col("ie_entrada_saida_operacao")
     kind = first_true(
@@ -340,7 +348,7 @@ def consumo_material(charges: DataFrame, materials: DataFrame) -> DataFrame:
         materials, "cd_material", MATERIAL_TEXTS + " ie_tipo_material", ds_reduzida="ds_material_reduzida",
         **MATERIAL_RISKS, **also,
     )
-    joined = lookup_join(left, material_, {"cd_material": "cd_material"})
+    joined = _lookup_entity(left, material_, {"cd_material": "cd_material"}, "nr_seq_consumo")
     return joined.withColumn("vl_margem_bruta", margin("vl_convenio", "vl_custo_medio"))
 
 

@@ -7,9 +7,13 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from lakequeries import model_queries as M
+from lakequeries import standins as S
 from marelake import operators as op
 from marelake.plans import context, dimensions, facts
 
+SF = "/root/testdata/sf0.001"
+
 
 def hot(n, seed):
     rng = random.Random(seed)
@@ -76,3 +80,17 @@ def test_relationship_failures_count_rows_not_values(spark):
     check = op.Check("c", "k", "relationships", to="p", field="k")
     zero = Counter(hot(1000, 4))[0]
     assert op.run_checks({"c": child, "p": parent}, [check]).first().failures == zero
+
+
+def joins_of(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")
+
+
+def test_lookups_in_growing_tables_do_not_go_through_the_driver(spark):
+    """Valuations are an exploded table: Spark takes their size for that of the packed file they come from."""
+    # valuations and materials are shuffled, the table of operations is small
+    assert joins_of(M.movimento_estoque(spark, SF)) == (2, 1)
+    left, right = spark.range(9).select(F.col("id").alias("k")), spark.range(5).select("id", F.lit("n").alias("name"))
+    assert joins_of(op.lookup_join(left, right, {"k": "id"})) == (0, 1)
+    assert joins_of(op.lookup_join(left, right, {"k": "id"}, grows=True)) == (1, 0)
