@@ -94,3 +94,11 @@ def test_lookups_in_growing_tables_do_not_go_through_the_driver(spark):
     left, right = spark.range(9).select(F.col("id").alias("k")), spark.range(5).select("id", F.lit("n").alias("name"))
     assert joins_of(op.lookup_join(left, right, {"k": "id"})) == (0, 1)
     assert joins_of(op.lookup_join(left, right, {"k": "id"}, grows=True)) == (1, 0)
+
+
+def test_models_of_the_declared_checks_broadcast_small_tables_only(spark):
+    models = {
+        "procedimento": (2, 0), "dispensacao": (1, 2), "item_dispensacao": (3, 0), "prescricao": (1, 0),
+        "erro_prescricao": (1, 1), "analise_farmaceutica": (1, 0), "consumo_material": (1, 0), "movimento_estoque": (2, 1),
+    }
+    assert {n: joins_of(getattr(M, n)(spark, SF)) for n in models} == models
