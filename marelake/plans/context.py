@@ -31,6 +31,7 @@ from .specs import SILVER
 ON = "s"
 MEDICINE, SUPPLY = "1", "2"
 COPY_ORIGINS = (924, 950)
+NOT_INFORMED = (-1,)
 AVERAGE_COST = 7
 PATIENT_DOCUMENT, PATIENT_OPERATION = "3", 3
 RETURN_OPERATION, PURCHASE_OPERATION = 37, 7
@@ -78,7 +79,7 @@ def lookup(df: DataFrame, key: str, names: str, suffix: str = "", prefix: str =
 
 
 def _lookup_entity(left: DataFrame, right: DataFrame, on: dict[str, str], key: str) -> DataFrame:
-    """Lookup in a table that grows with the business; ``key`` tells the rows of ``left`` apart."""
+    """Lookup in a table that grows with the business; rows of ``left``, told apart by ``key``, may lack the code."""
     return lookup_join(left, right, on, grows=True)
 
 
@@ -289,9 +290,11 @@ def item_dispensacao(items: DataFrame, lots: DataFrame, materials: DataFrame, ho
         hours, "nr_sequencia", "dt_horario dt_lib_horario dt_administracao ie_agrupador ie_status_execucao ie_suspenso",
         suffix="_prescrito",
     )
-    joined = _lookup_entity(left, lot, {"nr_seq_lote": "nr_sequencia"}, "nr_sequencia")
+    # the widest lookup last: its texts are not shuffled again
+    joined = _lookup_entity(left, hour, {"nr_seq_mat_hor": "nr_sequencia"}, "nr_sequencia")
+    joined = _lookup_entity(joined, lot, {"nr_seq_lote": "nr_sequencia"}, "nr_sequencia")
     joined = _lookup_entity(joined, material_, {"cd_material": "cd_material"}, "nr_sequencia")
-    joined = _lookup_entity(joined, hour, {"nr_seq_mat_hor": "nr_sequencia"}, "nr_sequencia")
+    joined = joined.select(*left.columns, *lot.columns[1:], *material_.columns[1:], *hour.columns[1:])
     linked = F.col("nr_seq_mat_hor") != -1
     return joined.withColumn("ie_vinculado_horario", yes_no(linked)).withColumnRenamed("nr_sequencia", "nr_seq_item")
 

@@ -102,3 +102,18 @@ def test_models_of_the_declared_checks_broadcast_small_tables_only(spark):
         "erro_prescricao": (1, 1), "analise_farmaceutica": (1, 0), "consumo_material": (1, 0), "movimento_estoque": (2, 1),
     }
     assert {n: joins_of(getattr(M, n)(spark, SF)) for n in models} == models
+
+
+def test_texts_of_the_materials_are_shuffled_once(spark):
+    """The widest lookup comes last, so its texts cross the network with the materials and never with the items."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        model = M.item_dispensacao(spark, SF)
+        plan = model._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan.split("\n")
+    # below the topmost join: its left side has no text of a material yet
+    tops = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+    assert "cd_material" in lines[tops[0]] and "nr_seq_lote" in lines[tops[1]] and "nr_seq_mat_hor" in lines[tops[2]]
+    assert model.columns.index("ds_material") < model.columns.index("dt_horario_prescrito")  # columns lie as before
