@@ -80,7 +80,7 @@ def lookup(df: DataFrame, key: str, names: str, suffix: str = "", prefix: str =
 
 def _lookup_entity(left: DataFrame, right: DataFrame, on: dict[str, str], key: str) -> DataFrame:
     """Lookup in a table that grows with the business; rows of ``left``, told apart by ``key``, may lack the code."""
-    return lookup_join(left, right, on, grows=True)
+    return lookup_join(left, right, on, hot=NOT_INFORMED, spread_by=(key,), grows=True)
 
 
 def _zero(name: str) -> Column:

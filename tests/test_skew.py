@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakequeries import model_queries as M
@@ -117,3 +118,27 @@ def test_texts_of_the_materials_are_shuffled_once(spark):
     tops = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
     assert "cd_material" in lines[tops[0]] and "nr_seq_lote" in lines[tops[1]] and "nr_seq_mat_hor" in lines[tops[2]]
     assert model.columns.index("ds_material") < model.columns.index("dt_horario_prescrito")  # columns lie as before
+
+
+@pytest.fixture()
+def dealt_once(spark):
+    """Shuffles as they are dealt out, without what AQE merges or splits."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield spark
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def largest_share(df):
+    parts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(parts) / sum(parts)
+
+
+def test_items_without_a_lot_hour_or_material_are_spread(dealt_once):
+    items = dealt_once.range(8000).select(F.col("id").alias("nr_sequencia"), *[F.lit(-1).cast("bigint").alias(c) for c in ("nr_seq_lote", "cd_material", "nr_seq_mat_hor")])
+    none = dealt_once.createDataFrame([(-1, -1, "d", "Indefinido")], "nr_sequencia bigint, cd_material bigint, ie_status_lote string, ds_material string")
+    model = context.item_dispensacao(items, none, none, none)
+    assert model.where("ie_status_lote = 'd' AND ds_material = 'Indefinido'").count() == 8000  # the code's own row is found
+    assert largest_share(model.select("nr_seq_item", "ds_material")) < 0.4
+    # the salt asks for the item's key, not for every column of it
+    wide = M.item_dispensacao(dealt_once, SF).select("nr_seq_item", "ds_material")
+    assert "l_extendedprice" not in wide._jdf.queryExecution().executedPlan().toString()
