@@ -142,3 +142,12 @@ def test_items_without_a_lot_hour_or_material_are_spread(dealt_once):
     # the salt asks for the item's key, not for every column of it
     wide = M.item_dispensacao(dealt_once, SF).select("nr_seq_item", "ds_material")
     assert "l_extendedprice" not in wide._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stays_without_an_encounter_are_spread(dealt_once):
+    stays = dealt_once.range(8000).select(F.col("id").alias("nr_seq_interno"), F.when(F.col("id") < 4000, F.col("id")).alias("nr_atendimento"))
+    encounters = dealt_once.range(2000).select(F.col("id").alias("nr_atendimento"), F.lit(7).cast("bigint").alias("cd_pessoa_fisica"))
+    model = context.movimentacao_paciente(stays, encounters)
+    assert model.count() == 8000 and model.where("atend_cd_pessoa_fisica = 7").count() == 2000
+    assert model.where("nr_atendimento = -1 AND atend_cd_pessoa_fisica = -1").count() == 4000
+    assert largest_share(model.select("nr_seq_interno", "atend_cd_pessoa_fisica")) < 0.4
