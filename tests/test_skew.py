@@ -151,3 +151,12 @@ def test_stays_without_an_encounter_are_spread(dealt_once):
     assert model.count() == 8000 and model.where("atend_cd_pessoa_fisica = 7").count() == 2000
     assert model.where("nr_atendimento = -1 AND atend_cd_pessoa_fisica = -1").count() == 4000
     assert largest_share(model.select("nr_seq_interno", "atend_cd_pessoa_fisica")) < 0.4
+
+
+def test_procedures_without_an_encounter_are_spread(dealt_once):
+    one = F.lit(1).cast("bigint")
+    procedures = dealt_once.range(8000).select(F.col("id").alias("nr_sequencia"), F.lit(None).cast("bigint").alias("nr_atendimento"), one.alias("cd_medico"))
+    codes = dealt_once.range(8000).select(F.col("id").alias("nr_seq_procedimento"), F.lit("x").alias("ds_procedimento"))
+    encounters = dealt_once.range(5).select(F.col("id").alias("nr_atendimento"), F.lit("e").alias("ie_tipo_atendimento"))
+    fact = facts.producao_medica(context.procedimento(procedures, codes, encounters))
+    assert fact.count() == 8000 and largest_share(fact.select("sk_producao", "atend_ie_tipo_atendimento")) < 0.4
