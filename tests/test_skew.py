@@ -160,3 +160,8 @@ def test_procedures_without_an_encounter_are_spread(dealt_once):
     encounters = dealt_once.range(5).select(F.col("id").alias("nr_atendimento"), F.lit("e").alias("ie_tipo_atendimento"))
     fact = facts.producao_medica(context.procedimento(procedures, codes, encounters))
     assert fact.count() == 8000 and largest_share(fact.select("sk_producao", "atend_ie_tipo_atendimento")) < 0.4
+
+
+def test_both_passes_over_the_procedures_shuffle_alike_at_every_size(spark):
+    # the fold by both keys lies above two shuffled lookups; only the stored dimension may be broadcast
+    assert joins_of(M.q34(spark, SF)) == (2, 2)
