@@ -14,6 +14,7 @@ EVENT_ORDER = ("_cdc_ts_ms", "_cdc_txid")
 SET_ONCE = ("_silver_processed_at",)
 # Table formats with row-level operations.
 MERGE_PROVIDERS = ("iceberg", "delta")
+ROWS_PER_TASK = 250_000
 
 
 def append_new_columns(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -115,14 +116,17 @@ class KeyedTable:
         sync_columns: bool = False,
         tasks_per_bucket: int = 1,
         bucket_by: Sequence[str] = (),
+        rows_per_task: int = ROWS_PER_TASK,
     ):
         """``sync_columns`` lets a merge drop columns its source lacks (facts); else columns are only added.
 
-        ``tasks_per_bucket`` splits the rows of a bucket by key over several tasks and files.
+        A merge splits the rows of a bucket by key over ``tasks_per_bucket`` tasks and files, and over more where the
+        fullest bucket would give a task more than ``rows_per_task``: tasks stay alike while the buckets grow.
         """
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.buckets, self.order, self.set_once, self.sync_columns = buckets, order, set_once, sync_columns
         self.tasks_per_bucket, self.bucket_by = tasks_per_bucket, list(bucket_by or keys)
+        self.rows_per_task = rows_per_task
         #: the partition column names what it was made from, so a table that was written otherwise is noticed
         self.bucket = f"kb_{buckets}_" + "_".join(self.bucket_by)
         self._stored()
@@ -160,9 +164,12 @@ class KeyedTable:
     def _place(self):
         return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
 
+    def _rows_of(self, df: DataFrame) -> dict[int, int]:
+        """Rows per bucket that ``df`` falls in: at most ``buckets`` numbers."""
+        return {r[0]: r[1] for r in df.groupBy(self._place().alias("b")).count().collect()}
+
     def _buckets_of(self, df: DataFrame) -> list[int]:
-        """At most ``buckets`` numbers."""
-        return sorted(r[0] for r in df.select(self._place()).distinct().collect())
+        return sorted(self._rows_of(df))
 
     def beside(self, batch: DataFrame) -> DataFrame | None:
         """The stored rows of the buckets a batch falls in: its other folders are not opened."""
@@ -181,21 +188,26 @@ class KeyedTable:
         incoming = source if stored is None else self._fitted(source, stored)
         keys = source if touched_by is None else touched_by
         keys = keys.select(*self.bucket_by) if stored is None else self._fitted(keys.select(*self.bucket_by), stored)
-        touched = self._buckets_of(keys)
+        rows = self._rows_of(keys)
+        touched = sorted(rows)
         if not touched:
             return []
         if stored is not None:
             gone = [c for c in stored.columns if c not in source.columns and c != self.bucket]
             if self.sync_columns and gone:  # a column goes from every bucket
                 stored, touched = stored.drop(*gone), [int(n.split("=")[1]) for n in self._folders("kb_*=*")] + touched
-            stored = stored.where(F.col(self.bucket).isin(touched)).drop(self.bucket)
-        split = F.pmod(F.xxhash64(*self.keys), F.lit(self.tasks_per_bucket))
+            stored = stored.where(F.col(self.bucket).isin(touched))
+            for bucket, n in stored.groupBy(self.bucket).count().collect():  # row counts stand in the file footers
+                rows[int(bucket)] = rows.get(int(bucket), 0) + n
+            stored = stored.drop(self.bucket)
+        tasks = max(self.tasks_per_bucket, -(-max(rows.values()) // self.rows_per_task))
+        split = F.pmod(F.xxhash64(*self.keys), F.lit(tasks))
 
         def placed(df: DataFrame) -> DataFrame:
             return df.withColumns({self.bucket: self._place(), "_part": split})
 
         # one shuffle by bucket serves the window and the partitioned write
-        n = len(set(touched)) * self.tasks_per_bucket
+        n = len(set(touched)) * tasks
         if stored is None:
             merged = placed(incoming).repartition(n, self.bucket, "_part")
         else:

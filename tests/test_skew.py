@@ -165,3 +165,20 @@ def test_procedures_without_an_encounter_are_spread(dealt_once):
 def test_both_passes_over_the_procedures_shuffle_alike_at_every_size(spark):
     # the fold by both keys lies above two shuffled lookups; only the stored dimension may be broadcast
     assert joins_of(M.q34(spark, SF)) == (2, 2)
+
+
+def test_a_full_bucket_is_merged_by_several_tasks(dealt_once, tmp_path):
+    """Rows of a task stay bounded while the buckets grow; the stored rows count too."""
+    def batch(value, ids):
+        return dealt_once.range(ids).select(F.col("id").alias("k"), F.lit(value).alias("v"))
+
+    table = op.KeyedTable(dealt_once, str(tmp_path / "t"), ["k"], buckets=2, order=(), set_once=(), rows_per_task=500)
+    table.merge(batch("a", 8000))
+    file = F.col("_metadata.file_path")
+    stored = dealt_once.read.parquet(table.path).groupBy(file).count()
+    assert stored.agg(F.max("count")).first()[0] < 3000  # one task for each bucket would write 4,000
+    table.merge(batch("b", 10))
+    rows = {r.k: r.v for r in table.read().collect()}
+    assert rows == {k: "b" if k < 10 else "a" for k in range(8000)} and table.read().count() == 8000
+    files = dealt_once.read.parquet(table.path).groupBy(file).count()
+    assert files.agg(F.max("count")).first()[0] < 3000
