@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,24 +26,65 @@ class Check:
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(model, column, check, failures) for every check.
 
-    The not_null and accepted_values checks of a model are one pass over it.  All
-    unique checks are one pass per model and one aggregate; all relationships are one
-    pass per child and one per parent, whose keys are made distinct once for every
-    check on them, and one join.
+    One pass over each table, whatever checks it takes part in and in whatever part: the
+    pass gives a row per broken not_null or accepted_values check, per value of a unique
+    check and per value of either end of a relationship.  All rows meet in one count by
+    (check, value), which combines map-side, and the relationships in one window over what
+    is left of them, a row per check and value.
     """
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            by_model.setdefault(c.model, []).append(c)
-    parts = [_row_wise(tables[model], model, own) for model, own in by_model.items()]
-    numbered = list(enumerate(checks))
-    unique = [(i, c) for i, c in numbered if c.kind == "unique"]
-    related = [(i, c) for i, c in numbered if c.kind == "relationships"]
-    if unique:
-        parts.append(_named(_repeated(tables, unique), unique))
-    if related:
-        parts.append(_named(_orphans(tables, related), related))
-    return reduce(DataFrame.unionAll, parts)
+    ends = sorted({(c.to, c.field) for c in checks if c.kind == "relationships"})
+    kinds = {t: dict(tables[t].dtypes) for t in sorted({c.model for c in checks} | {t for t, _ in ends})}
+    passes = []
+    for table, own_kinds in kinds.items():
+        rows = [_row(_end_no(n), F.col(f).isNotNull(), _text(F.col(f), own_kinds[f])) for n, (t, f) in enumerate(ends) if t == table]
+        for i, c in enumerate(checks):
+            if c.model == table:
+                rows.append(_checked(i, c, kinds))
+        passes.append(_unpivoted(tables[table], rows))
+    counts = reduce(DataFrame.unionAll, passes).groupBy("_no", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    failed = counts
+    unique = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    if unique:  # a value held by more than one row fails once
+        n = F.when(~F.col("_no").isin(unique), F.col("_n")).when(F.col("_n") > 1, F.lit(1))
+        failed = counts.withColumn("_n", n).where(F.col("_n").isNotNull())
+    if ends:
+        failed = _orphans(failed, [ends.index((c.to, c.field)) if c.kind == "relationships" else None for c in checks])
+    return _named(failed.groupBy("_no").agg(F.sum("_n").alias("failures")), list(enumerate(checks)))
+
+
+def _end_no(end: int) -> int:
+    """Number of the rows that the parent's end of a relationship gives; checks are numbered from 0."""
+    return -1 - end
+
+
+def _row(no: int, there: Column, value: Column) -> Column:
+    return F.when(there, F.struct(F.lit(no).alias("_no"), value.alias("_v")))
+
+
+def _checked(no: int, check: Check, kinds: Mapping[str, Mapping[str, str]]) -> Column:
+    """What a row of the table gives to a check, or NULL."""
+    value = F.col(check.column)
+    if check.kind == "unique":
+        return _row(no, _held(check, value), _text(value, kinds[check.model][check.column]))
+    if check.kind == "relationships":
+        # values are compared in the parent's type
+        kind = kinds[check.to][check.field]
+        as_parent = _text(value if kinds[check.model][check.column] == kind else value.try_cast(kind), kind)
+        # what the parent's type can't hold, the parent lacks
+        return _row(no, _held(check, value), F.coalesce(as_parent, F.concat(F.lit("other type: "), value.cast("string"))))
+    return _row(no, _violation(check), F.lit(None).cast("string"))
+
+
+def _orphans(counts: DataFrame, end_of: Sequence[int | None]) -> DataFrame:
+    """``counts`` without the parents' rows and the values that the parent holds.
+
+    Child rows are counted per value before, so a value that fills a third of the table
+    is one row here, and the rows of a value are at most as many as the checks.
+    """
+    no = F.col("_no")
+    end = F.when(no < 0, F.lit(-1) - no).otherwise(F.get(F.array(*[F.lit(e).cast("int") for e in end_of]), no))
+    known = F.max(no < 0).over(Window.partitionBy("_end", "_v"))
+    return counts.withColumn("_end", end).withColumn("_known", known).where(~F.col("_known")).select("_no", "_n")
 
 
 def _violation(check: Check) -> Column:
@@ -52,24 +93,6 @@ def _violation(check: Check) -> Column:
     return bad if check.where is None else F.expr(check.where) & bad
 
 
-def _row_wise(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    counts = df.agg(
-        *[
-            F.coalesce(F.sum(F.when(_violation(c), F.lit(1)).otherwise(F.lit(0))), F.lit(0))
-            .cast("bigint")
-            .alias(f"c{i}")
-            for i, c in enumerate(checks)
-        ]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c.column).alias("column"), F.lit(c.kind).alias("check"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(checks)
-        ]
-    )
-    return counts.select(F.explode(rows).alias("r")).select(F.lit(model).alias("model"), "r.*")
-
-
 def _named(failures: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
     """A row for every check, those without failures too."""
     rows = [(i, c.model, c.column, c.kind) for i, c in checks]
@@ -90,57 +113,6 @@ def _unpivoted(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
     return df.select(F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
-def _grouped(checks: Sequence[tuple[int, Check]]) -> dict[str, list[tuple[int, Check]]]:
-    out: dict[str, list[tuple[int, Check]]] = {}
-    for i, c in checks:
-        out.setdefault(c.model, []).append((i, c))
-    return out
-
-
 def _held(check: Check, value: Column) -> Column:
     """Whether a row takes part: its value is there and the check's condition holds."""
     return value.isNotNull() if check.where is None else value.isNotNull() & F.expr(check.where)
-
-
-def _repeated(tables: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """Per check the values held by more than one row."""
-    parts = []
-    for model, own in _grouped(checks).items():
-        kinds = dict(tables[model].dtypes)
-        rows = [
-            F.when(_held(c, F.col(c.column)), F.struct(F.lit(i).alias("_no"), _text(F.col(c.column), kinds[c.column]).alias("_v")))
-            for i, c in own
-        ]
-        parts.append(_unpivoted(tables[model], rows))
-    counts = reduce(DataFrame.unionAll, parts).groupBy("_no", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where("_n > 1").groupBy("_no").agg(F.count(F.lit(1)).alias("failures"))
-
-
-def _orphans(tables: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """Per check the rows whose value the parent lacks.
-
-    Child rows are counted per value first, so a value that fills a third of the
-    table is one row in the join.  Values are compared in the parent's type.
-    """
-    ends = sorted({(c.to, c.field) for _, c in checks})
-    parents = []
-    for table in sorted({t for t, _ in ends}):
-        kinds = dict(tables[table].dtypes)
-        rows = [
-            F.when(F.col(f).isNotNull(), F.struct(F.lit(n).alias("_end"), _text(F.col(f), kinds[f]).alias("_v")))
-            for n, (t, f) in enumerate(ends) if t == table
-        ]
-        parents.append(_unpivoted(tables[table], rows))
-    known = reduce(DataFrame.unionAll, parents).distinct()
-    children = []
-    for model, own in _grouped(checks).items():
-        kinds, rows = dict(tables[model].dtypes), []
-        for i, c in own:
-            kind, value = dict(tables[c.to].dtypes)[c.field], F.col(c.column)
-            as_parent = _text(value if kinds[c.column] == kind else value.try_cast(kind), kind)
-            # what the parent's type can't hold, the parent lacks
-            as_parent = F.coalesce(as_parent, F.concat(F.lit("other type: "), value.cast("string")))
-            rows.append(F.when(_held(c, value), F.struct(F.lit(i).alias("_no"), F.lit(ends.index((c.to, c.field))).alias("_end"), as_parent.alias("_v"))))
-        children.append(_unpivoted(tables[model], rows))
-    counts = reduce(DataFrame.unionAll, children).groupBy("_no", "_end", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.join(known, ["_end", "_v"], "left_anti").groupBy("_no").agg(F.sum("_n").alias("failures"))

@@ -142,6 +142,24 @@ def test_checks_of_a_kind_share_scans_and_shuffles(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_all_checks_of_a_table_are_one_pass(spark):
+    """A table that is checked by row, for repeated values, as child and as parent is read once, so a plan holds a model once."""
+    spark.range(40).select("id", (F.col("id") % 7).alias("a")).withColumn("c", F.when(F.col("id") != 9, "x")).write.mode("overwrite").saveAsTable("one_pass")
+    spark.createDataFrame([(1, 1), (2, 50), (2, None)], "k bigint, id bigint").write.mode("overwrite").saveAsTable("other_pass")
+    tables = {"t": spark.table("one_pass"), "p": spark.table("other_pass")}
+    checks = [
+        Check("t", "a", "relationships", to="p", field="k"), Check("t", "a", "unique"), Check("t", "c", "not_null"), Check("p", "k", "unique"),
+        Check("p", "id", "relationships", to="t", field="id"), Check("t", "c", "accepted_values", values=("y",), where="id < 3"),
+        Check("t", "id", "unique"), Check("p", "id", "not_null"),
+    ]
+    found = op.run_checks(tables, checks)
+    failures = {(r.model, r["column"], r.check): r.failures for r in found.collect()}
+    assert [failures[c.model, c.column, c.kind] for c in checks] == [28, 7, 1, 1, 1, 3, 0, 1]
+    assert op.run_checks(tables, checks)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    for name in ("one_pass", "other_pass"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def avro_file(schema: str, blocks: int = 1) -> bytes:
     def number(n):
         n, out = n << 1 ^ n >> 63, b""
