@@ -458,22 +458,23 @@ def ft10(spark: SparkSession, d: str) -> DataFrame:
   SELECT a.e AS asked_by, b.e AS done_by, count(*) AS n, CAST(sum(vl_procedimento) AS DOUBLE) AS vl_procedimento
   FROM ({P.PROCEDIMENTO}) f JOIN dim a ON a.k = f.cd_medico JOIN dim b ON b.k = f.cd_medico_executor GROUP BY 1, 2""")
 def q34(spark: SparkSession, d: str) -> DataFrame:
-    """One stored physician dimension in two roles. The fact is folded by both keys before it is joined."""
+    """One stored physician dimension in two roles. The fact is folded by both codes before it is joined."""
     from pyspark.sql import functions as F
 
+    from marelake.functions import member_key
     from marelake.session import shared_dir
 
     procedures = procedimento(spark, d)
     stored = shared_dir(spark, "dim_medico")
     dimensions.dim_medico(procedures).write.parquet(stored)
     physicians = spark.read.parquet(stored).select("sk_medico", "cd_especialidade")
-    roles = ["sk_medico_solicitante", "sk_medico_executor"]
-    per_pair = facts.producao_medica(procedures).groupBy(*roles).agg(
+    # the codes are a fifth as long as the keys made of them
+    per_pair = facts.producao_medica(procedures).groupBy("nk_medico_solicitante", "nk_medico_executor").agg(
         F.count(F.lit(1)).alias("n"), F.sum("vl_procedimento").alias("vl_procedimento")
     )
-    for role, name in zip(roles, ("asked_by", "done_by")):
-        dim = physicians.select(F.col("sk_medico").alias(role), F.col("cd_especialidade").alias(name))
-        per_pair = per_pair.join(dim, role)
+    for role, name in (("medico_solicitante", "asked_by"), ("medico_executor", "done_by")):
+        dim = physicians.select(F.col("sk_medico").alias(f"sk_{role}"), F.col("cd_especialidade").alias(name))
+        per_pair = per_pair.withColumn(f"sk_{role}", member_key(f"nk_{role}")).join(dim, f"sk_{role}")
     return plain(
         per_pair.groupBy("asked_by", "done_by").agg(F.sum("n").alias("n"), F.sum("vl_procedimento").alias("vl_procedimento"))
     )

@@ -40,13 +40,16 @@ def _dimension(members: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def dim_medico(procedures: DataFrame) -> DataFrame:
-    """Physicians in either role; the specialty is that of their latest procedure."""
-    role = F.explode(F.array("cd_medico", "cd_medico_executor")).alias("cd_medico")
-    both = procedures.select(role, "cd_especialidade", "dt_procedimento").where(
-        F.col("cd_medico").isNotNull() & (F.col("cd_medico") != UNKNOWN)
-    )
+    """Physicians in either role; the specialty is that of their latest procedure.
+
+    Each role is folded by itself, right above the procedures: a maximum does not mind repeated rows, so Spark drops the
+    lookups of the context model that give no column here, and no row is doubled before it is folded.
+    """
     # date first, specialty code as tie-break
-    newest = both.groupBy("cd_medico").agg(F.max(F.struct("dt_procedimento", "cd_especialidade")).alias("n"))
+    newest = F.max(F.struct("dt_procedimento", "cd_especialidade")).alias("n")
+    roles = [procedures.groupBy(F.col(code).alias("cd_medico")).agg(newest) for code in ("cd_medico", "cd_medico_executor")]
+    both = roles[0].unionAll(roles[1]).where(F.col("cd_medico").isNotNull() & (F.col("cd_medico") != UNKNOWN))
+    newest = both.groupBy("cd_medico").agg(F.max("n").alias("n"))
     members = newest.select("cd_medico", F.col("n.cd_especialidade").cast("string").alias("cd_especialidade"))
     known = _with_unknown(members, "cd_medico")
     unknown = F.col("cd_medico") == UNKNOWN

@@ -167,6 +167,17 @@ def test_both_passes_over_the_procedures_shuffle_alike_at_every_size(spark):
     assert joins_of(M.q34(spark, SF)) == (2, 2)
 
 
+def test_roles_of_the_physicians_are_folded_without_lookups_and_by_code(spark):
+    assert joins_of(dimensions.dim_medico(M.procedimento(spark, SF))) == (0, 0)
+    # the text keys are made of the folded codes, so they don't cross the network for every procedure
+    plan = M.q34(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(nk_medico_solicitante" in plan and "hashpartitioning(sk_medico_solicitante" not in plan
+    t = "nr_sequencia bigint, cd_medico bigint, cd_medico_executor bigint, cd_especialidade int, dt_procedimento string"
+    rows = [(1, 5, 6, 1, "2024-01-01"), (2, 6, -1, 2, "2024-01-01"), (3, None, 5, 3, "2023-01-01"), (4, 7, 7, None, "2022-01-01"), (4, 7, 7, None, "2022-01-01")]
+    got = {r.nk_medico: r.cd_especialidade for r in dimensions.dim_medico(spark.createDataFrame(rows, t)).collect()}
+    assert got == {-1: "Desconhecido", 5: "1", 6: "2", 7: None}
+
+
 def test_a_full_bucket_is_merged_by_several_tasks(dealt_once, tmp_path):
     """Rows of a task stay bounded while the buckets grow; the stored rows count too."""
     def batch(value, ids):
