@@ -98,15 +98,17 @@ FACT_KEYS = {
     "gold_fct_analise_farmaceutica": "nk_analise", "gold_fct_consumo_atendimento": "nk_consumo",
     "gold_fct_dispensacao_estoque": "nk_movimento_estoque",
 }
+# column whose surrogate key is the key of the fact
+KEY_OF = {"fct_producao_medica": "nk_sequencia_procedimento", **FACT_KEYS}
 # filled in every row of the fact; a placeholder date has no calendar day
 FACT_FILLED = ("nk_sequencia_procedimento",)
 PLACEHOLDER_DAY = {"fct_producao_medica": ("dt_procedimento_raw", "dt_procedimento_raw <> DATE'1900-01-01'")}
 
 
-def key_checks(model: str, keys: tuple[str, ...]) -> list[Check]:
-    """Key columns are filled; a single key column is unique."""
+def key_checks(model: str, keys: tuple[str, ...], of: str = "") -> list[Check]:
+    """Key columns are filled; a single key column, which may be the surrogate key of another, is unique."""
     checks = [Check(model, k, "not_null") for k in keys]
-    return checks + ([Check(model, keys[0], "unique")] if len(keys) == 1 else [])
+    return checks + ([Check(model, keys[0], "unique", of=of)] if len(keys) == 1 else [])
 
 
 def code_checks(model: str) -> list[Check]:
@@ -147,10 +149,10 @@ def gold_checks(columns: dict[str, list[str]]) -> list[Check]:
     checks = key_checks("dim_tempo", ("sk_data",))
     for name in DIMENSIONS:
         own = "sk_" + name.removeprefix("gold_").removeprefix("dim_")
-        checks += key_checks(name, (own,)) + key_checks(name, ("nk_" + own[3:],))
+        checks += key_checks(name, (own,), "nk_" + own[3:]) + key_checks(name, ("nk_" + own[3:],))
         checks.append(Check(name, "_gold_loaded_at", "not_null"))
     for name, (_, key, _) in FACTS.items():
-        checks += key_checks(name, (key,)) + code_checks(name)
+        checks += key_checks(name, (key,), KEY_OF[name]) + code_checks(name)
         checks.append(Check(name, "_gold_loaded_at", "not_null"))
         if FACT_KEYS.get(name) in columns.get(name, []):
             checks += key_checks(name, (FACT_KEYS[name],))
@@ -160,7 +162,8 @@ def gold_checks(columns: dict[str, list[str]]) -> list[Check]:
             if column in FACT_LINKS:
                 dim, field = FACT_LINKS[column]
                 day = dim == "dim_tempo"
-                checks.append(Check(name, column, "relationships", to=dim, field=field, where=f"{column} IS NOT NULL" if day else None))
+                where, of = (f"{column} IS NOT NULL", "") if day else (None, "nk_" + column.removeprefix("sk_"))
+                checks.append(Check(name, column, "relationships", to=dim, field=field, where=where, of=of))
                 if not day:
                     checks.append(Check(name, column, "not_null"))
                 elif PLACEHOLDER_DAY.get(name, ("",))[0] in columns[name]:

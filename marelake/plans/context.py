@@ -290,9 +290,10 @@ def item_dispensacao(items: DataFrame, lots: DataFrame, materials: DataFrame, ho
         hours, "nr_sequencia", "dt_horario dt_lib_horario dt_administracao ie_agrupador ie_status_execucao ie_suspenso",
         suffix="_prescrito",
     )
+    # the lot first: its state tells the items that were dispensed, and the others are not shuffled again;
     # the widest lookup last: its texts are not shuffled again
-    joined = _lookup_entity(left, hour, {"nr_seq_mat_hor": "nr_sequencia"}, "nr_sequencia")
-    joined = _lookup_entity(joined, lot, {"nr_seq_lote": "nr_sequencia"}, "nr_sequencia")
+    joined = _lookup_entity(left, lot, {"nr_seq_lote": "nr_sequencia"}, "nr_sequencia")
+    joined = _lookup_entity(joined, hour, {"nr_seq_mat_hor": "nr_sequencia"}, "nr_sequencia")
     joined = _lookup_entity(joined, material_, {"cd_material": "cd_material"}, "nr_sequencia")
     joined = joined.select(*left.columns, *lot.columns[1:], *material_.columns[1:], *hour.columns[1:])
     linked = F.col("nr_seq_mat_hor") != -1
@@ -327,9 +328,9 @@ def movimento_estoque(
     joined = joined.select(*left.columns, *cost.columns[1:], *operation.columns[1:], *material_.columns[1:])
     op = F.col("cd_operacao_estoque")
     direction = F.col("ie_entrada_saida_operacao")
-    kind = first_true(
+    to_patient = (F.col("ie_origem_documento") == PATIENT_DOCUMENT) & (op == PATIENT_OPERATION)
+    rest = first_true(
         [
-            ((F.col("ie_origem_documento") == PATIENT_DOCUMENT) & (op == PATIENT_OPERATION), "dispensacao_paciente"),
             (op == RETURN_OPERATION, "devolucao_paciente"),
             (op == PURCHASE_OPERATION, "entrada_nf_compra"),
             (F.col("ie_transferencia_operacao") == ON, "transferencia"),
@@ -338,6 +339,8 @@ def movimento_estoque(
         ],
         "outro",
     )
+    # told apart from the rest, so that a filter on these moves needs no lookup and is taken before them
+    kind = F.when(to_patient, F.lit("dispensacao_paciente")).otherwise(rest)
     return joined.withColumn("ie_tipo_funcional", kind)
 
 

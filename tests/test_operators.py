@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marelake import operators as op
 from marelake import sources as src
+from marelake.functions import member_key, surrogate_key
 from marelake.operators import compaction
 from marelake.operators.compaction import hour_before
 from marelake.operators.quality import Check
@@ -160,6 +161,42 @@ def test_all_checks_of_a_table_are_one_pass(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_surrogate_keys_are_counted_as_the_numbers_they_are_made_of(spark):
+    """Where every row's key is that of its number the digests are not shuffled; one row with another key, and they are compared."""
+    fact = spark.createDataFrame([(1, 7), (2, 7), (2, None), (None, 8), (None, -1), (4, 9)], "nk bigint, nk_p bigint")
+    keyed = fact.select(surrogate_key("nk").alias("sk"), "nk", member_key("nk_p").alias("sk_p"), "nk_p")
+    parent = spark.createDataFrame([(7,), (8,), (8,), (-1,)], "nk bigint").select(surrogate_key("nk").alias("sk"), "nk")
+    checks = [
+        Check("t", "sk", "unique", of="nk"), Check("t", "nk", "unique"), Check("p", "sk", "unique", of="nk"),
+        Check("t", "sk_p", "relationships", to="p", field="sk", of="nk_p"), Check("t", "sk", "not_null"),
+        Check("t", "sk_p", "relationships", to="p", field="sk", where="nk > 1", of="nk_p"),
+    ]
+
+    def counted(t, p, as_numbers):
+        found = op.run_checks({"t": t, "p": p}, checks)
+        assert ("md5(" in found._jdf.queryExecution().optimizedPlan().toString()) is not as_numbers
+        return [r.failures for r in found.collect()]
+
+    assert counted(keyed, parent, True) == [2, 1, 1, 1, 0, 1]
+    # number 4 has the key of 1: only the digests tell
+    wrong = fact.select(surrogate_key(F.when(F.col("nk") == 4, 1).otherwise(F.col("nk"))).alias("sk"), "nk", member_key("nk_p").alias("sk_p"), "nk_p")
+    assert counted(wrong, parent, False) == [3, 1, 1, 1, 0, 1]
+    # the parent's row of 8 has the key of 9
+    other = parent.select(F.when(F.col("nk") == 8, surrogate_key(F.lit(9))).otherwise(F.col("sk")).alias("sk"), "nk")
+    assert counted(keyed, other, False) == [2, 1, 1, 1, 0, 0]
+    gone = [Check("p", "sk", "unique", of="absent"), Check("t", "sk_p", "relationships", to="p", field="sk", of="sk")]
+    assert [r.failures for r in op.run_checks({"t": keyed, "p": parent}, gone).collect()] == [1, 1]
+
+
+def test_accepted_texts_are_taken_literally(spark):
+    t = spark.createDataFrame([(v,) for v in ("a.c", "abc", "a.c\n", "(", "\\E|.*", "", "A.C", None)], "c string")
+    failures = lambda *values: op.run_checks({"t": t}, [Check("t", "c", "accepted_values", values=values)]).first().failures
+    assert (failures("a.c", "("), failures("\\E|.*"), failures("", "\\Q")) == (5, 6, 6)
+    labelled = t.select(F.when(F.col("c") == "abc", "x").otherwise("y").alias("c"))
+    plan = op.run_checks({"t": labelled}, [Check("t", "c", "accepted_values", values=("x", "y"))])._jdf.queryExecution().optimizedPlan().toString()
+    assert "abc" not in plan  # a label that is allowed in each case needs no column
+
+
 def avro_file(schema: str, blocks: int = 1) -> bytes:
     def number(n):
         n, out = n << 1 ^ n >> 63, b""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakequeries import model_queries as M
 from lakequeries import standins as S
+from lakequeries.catalog import QUERIES
 from marelake import operators as op
 from marelake.plans import context, dimensions, facts
 
@@ -193,3 +195,17 @@ def test_a_full_bucket_is_merged_by_several_tasks(dealt_once, tmp_path):
     assert rows == {k: "b" if k < 10 else "a" for k in range(8000)} and table.read().count() == 8000
     files = dealt_once.read.parquet(table.path).groupBy(file).count()
     assert files.agg(F.max("count")).first()[0] < 3000
+
+
+def test_facts_are_filtered_before_the_lookups_that_tell_nothing_of_it(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    moves = plan(facts.dispensacao_estoque(M.movimento_estoque(spark, SF)))
+    assert not [line for line in moves.splitlines() if "Filter" in line and "ie_transferencia_operacao" in line]
+    # the lot's state is known first, and the hour and the material are looked up for dispensed items only
+    assert re.findall(r"Join (\w+)", plan(facts.volume_dispensacao(M.item_dispensacao(spark, SF)))) == ["LeftOuter", "LeftOuter", "Inner"]
+
+
+def test_declared_checks_shuffle_no_digest_and_no_label(spark):
+    plan = QUERIES["q40_declared_gold_checks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    for word in ("md5(", "vl_custo_medio", "vl_movimento", "ie_quimioterapico_material"):
+        assert word not in plan
